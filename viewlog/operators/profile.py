@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewlog import schema
@@ -50,14 +50,10 @@ def activation_span(rows: DataFrame, day: str = "EventDate") -> DataFrame:
     return _with_span(bounds).select("Contract", "ActivationDays", "ActivationLevel")
 
 
-def activation_span_by_window(rows: DataFrame, day: str = "EventDate") -> DataFrame:
-    """The same through whole-partition windows and one row kept per contract.
-
-    It sorts every row of a contract into one task; ``activation_span`` is the form to use.
-    """
-    whole = Window.partitionBy("Contract")
-    bounds = rows.select("Contract", F.min(day).over(whole).alias("_first"), F.max(day).over(whole).alias("_last"))
-    return _with_span(bounds).select("Contract", "ActivationDays", "ActivationLevel").dropDuplicates(["Contract"])
+def one_per_contract(rows: DataFrame, day: str = "EventDate") -> DataFrame:
+    """One row per contract: first and last date and number of rows."""
+    return rows.groupBy("Contract").agg(
+        F.min(day).alias("FirstDate"), F.max(day).alias("LastDate"), F.count("*").alias("RowsCount"))
 
 
 def _with_span(bounds: DataFrame) -> DataFrame:

@@ -122,6 +122,47 @@ def trend_rows(facts: DataFrame, small: wh.SmallDims) -> DataFrame:
     return with_calendar(facts, small.date).join(F.broadcast(types), "ContentTypeKey")
 
 
+def days_from_logs(logs: DataFrame, small: wh.SmallDims) -> DataFrame:
+    """The frame of ``contract_summary_days`` straight from log rows, without stored star tables.
+
+    Contract and device ids stand in for their surrogate keys, which changes no result. The date
+    stays a grouping column, so a report's date filter reaches the scan of the logs.
+    """
+    known = wh.join_small_dims(rows.complete(logs, "Contract", "Mac"), small)
+    summed = aggregates.contract_days(
+        known, "EventDate", "Contract", kind="AppCategory", device="Mac", prefix="TotalDuration", total="All")
+    days = small.date.drop("DayOfWeek", "DayName", "IsWeekend")
+    named = summed.withColumnsRenamed({"EventDate": "DateValue", "Contract": "ContractID"})
+    return named.join(F.broadcast(days), "DateValue")
+
+
+def trend_from_logs(logs: DataFrame, small: wh.SmallDims) -> DataFrame:
+    """The frame of ``trend_rows`` straight from log rows."""
+    known = wh.join_small_dims(rows.complete(logs, "Contract", "Mac"), small)
+    days = small.date.select("DateValue", "Year", "Month")
+    return known.select(
+        F.col("EventDate").alias("DateValue"), F.col("AppCategory").alias("ContentType"), "Contract",
+        measures.or_zero("TotalDuration").alias("TotalDuration"), F.lit(1).alias("SessionCount"),
+    ).join(F.broadcast(days), "DateValue")
+
+
+def favourite_by_ranking(summary: DataFrame, prefix: str = "TotalDuration") -> DataFrame:
+    """Most watched category as a ranking of the row's own columns; NULL when none is positive.
+
+    Gives what ``with_favourite`` gives, by listing the (seconds, category) pairs of the row, keeping
+    the positive ones and taking the largest, the earlier category on a tie. No join and no shuffle.
+    """
+    pairs = F.array(*[
+        F.struct(measures.or_zero(f"{prefix}_{c.suffix}").alias("Duration"), F.lit(-n).alias("Priority"),
+                 F.lit(c.label).alias("ContentType"))
+        for n, c in enumerate(schema.CATEGORIES)
+    ])
+    best = F.array_max(F.filter(pairs, lambda pair: pair["Duration"] > 0))
+    return summary.withColumn("_best", best).select(
+        "*", F.col("_best.ContentType").alias("ContentType"), measures.or_zero("_best.Duration").alias("Duration"),
+    ).drop("_best")
+
+
 def load_mart(
     spark: SparkSession,
     warehouse: VersionedStore,
@@ -162,6 +203,20 @@ def load_mart(
     return run.counts
 
 
+def later_dates(warehouse: VersionedStore, days: DataFrame, touched: list[date]) -> list[date]:
+    """All dates of the contracts whose first date is among the touched ones.
+
+    When a late file brings a contract an earlier first date, its activation changes on every later
+    date as well. At most one entry per calendar day comes back.
+    """
+    if not touched:
+        return []
+    history = with_calendar(warehouse.read(wh.SUMMARY).select("DateKey", "ContractKey"), days)
+    started = rows.on_dates(first_days(history, "ContractKey"), touched, "FirstDate").select("ContractKey")
+    dates = history.join(started, "ContractKey", "left_semi").select("DateValue").distinct()
+    return [row.DateValue for row in dates.collect()]
+
+
 def _on_keys(facts: DataFrame, process_dates: list[date] | None) -> DataFrame:
     """Fact rows of the given dates, as a plain predicate on the partition column."""
     if process_dates is None:

@@ -8,10 +8,11 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from viewlog.operators import profile, rows
+from viewlog.operators.aggregates import table_counts
 from viewlog.plans import mart, quality, warehouse
+from viewlog.plans.dims import dim_date
 from viewlog.sinks import files
 from viewlog.sinks.versioned import VersionedStore
-from viewlog.operators.aggregates import table_counts
 from viewlog.sources import landing
 
 
@@ -57,6 +58,8 @@ def refresh(spark: SparkSession, root: str, dates: list[date] | None) -> dict[st
     store, marts = stores(spark, root)
     staged = files.read_staging(spark, staging_folder(root))
     counts = warehouse.load_warehouse(spark, staged, store, process_dates=dates)
+    if dates is not None:
+        dates = sorted({*dates, *mart.later_dates(store, dim_date(spark), dates)})
     return counts | mart.load_mart(spark, store, marts, process_dates=dates)
 
 
