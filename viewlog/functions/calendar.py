@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -43,3 +43,15 @@ def days_inclusive(first: Column | str, last: Column | str) -> Column:
 def day_from_name(name: Column | str) -> Column:
     """The first run of eight digits in a file or folder name, '' when there is none."""
     return F.regexp_extract(col(name), r"(\d{8})", 1)
+
+
+def with_calendar_columns(rows: DataFrame, day: str = "DateValue") -> DataFrame:
+    """Add the calendar columns of a date, computed rather than joined in."""
+    return rows.withColumns({
+        "DateKey": date_key(day),
+        "Year": F.year(day),
+        "Quarter": F.quarter(day),
+        "Month": F.month(day),
+        "MonthName": month_name(day),
+        "Day": F.dayofmonth(day),
+    })

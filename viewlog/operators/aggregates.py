@@ -51,14 +51,19 @@ def merge_partials(*partials: DataFrame, by: list[str], measure: str) -> DataFra
     return parts.groupBy(*by).agg(F.sum(measure).alias(measure))
 
 
+def side_by_side(*single_rows: DataFrame) -> DataFrame:
+    """One-row frames of counts as one row with all their columns, without a cross join."""
+    names = [name for row in single_rows for name in row.columns]
+    long = None
+    for row in single_rows:
+        part = row.unpivot([], row.columns, "_name", "_value")
+        long = part if long is None else long.unionByName(part)
+    return long.agg(*[F.max(F.when(F.col("_name") == name, F.col("_value"))).alias(name) for name in names])
+
+
 def table_counts(**tables: DataFrame) -> DataFrame:
     """Row counts of several tables as one row, one column per table."""
-    counts = None
-    for name, table in tables.items():
-        one = table.agg(F.count("*").alias("n")).select(F.lit(name).alias("t"), "n")
-        counts = one if counts is None else counts.unionByName(one)
-    picks = [F.max(F.when(F.col("t") == name, F.col("n"))).alias(name) for name in tables]
-    return counts.agg(*picks)
+    return side_by_side(*[table.agg(F.count("*").alias(name)) for name, table in tables.items()])
 
 
 def footprint(table: DataFrame, name: str, *columns: str) -> DataFrame:

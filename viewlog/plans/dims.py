@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,16 +14,12 @@ from viewlog.operators import joins, keys
 
 def dim_date(spark: SparkSession, start: str = schema.CALENDAR_START, end: str = schema.CALENDAR_END) -> DataFrame:
     """One row per calendar day, both ends included."""
-    first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
-    days = spark.range(1).select(F.explode(F.sequence(first, last)).alias("DateValue"))
-    return days.select(
-        calendar.date_key("DateValue").alias("DateKey"),
-        "DateValue",
-        F.year("DateValue").alias("Year"),
-        F.quarter("DateValue").alias("Quarter"),
-        F.month("DateValue").alias("Month"),
-        calendar.month_name("DateValue").alias("MonthName"),
-        F.dayofmonth("DateValue").alias("Day"),
+    days = (date.fromisoformat(end) - date.fromisoformat(start)).days + 1
+    day = F.date_add(F.lit(start).cast("date"), F.col("id").cast("int"))
+    return calendar.with_calendar_columns(
+        spark.range(0, days, 1, numPartitions=1).select(day.alias("DateValue"))
+    ).select(
+        "DateKey", "DateValue", "Year", "Quarter", "Month", "MonthName", "Day",
         F.dayofweek("DateValue").alias("DayOfWeek"),
         calendar.day_name("DateValue").alias("DayName"),
         calendar.is_weekend("DateValue").alias("IsWeekend"),
@@ -29,9 +27,9 @@ def dim_date(spark: SparkSession, start: str = schema.CALENDAR_START, end: str =
 
 
 def _listing(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
-    """A small constant table, kept on the JVM side."""
-    structs = [F.struct(*[F.lit(value).alias(name) for name, value in zip(names, row)]) for row in rows]
-    return spark.range(1).select(F.explode(F.array(*structs)).alias("row")).select("row.*")
+    """A small constant table, known to the optimizer as literal rows."""
+    values = ", ".join("(" + ", ".join(repr(value) for value in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(names)})")
 
 
 def dim_app(spark: SparkSession, unknown: str = "drop") -> DataFrame:
@@ -58,22 +56,36 @@ def new_contracts(rows: DataFrame, existing: DataFrame | None = None) -> DataFra
     return keys.assign_keys(ids, "ContractID", "ContractKey", existing).select("ContractKey", "ContractID")
 
 
-def first_contract_of_device(rows: DataFrame, contracts: DataFrame) -> DataFrame:
-    """Smallest contract key each device was seen under."""
-    pairs = rows.where(F.col("Mac").isNotNull() & F.col("Contract").isNotNull()).select("Mac", "Contract").distinct()
+def owned_pairs(rows: DataFrame, contracts: DataFrame) -> DataFrame:
+    """Every (contract, device) pair that occurs, with the contract's key.
+
+    A contract that nearly every device appears under is spread by the device.
+    """
+    pairs = rows.where(F.col("Mac").isNotNull() & F.col("Contract").isNotNull()).select("Contract", "Mac").distinct()
     heavy = joins.heavy_keys(pairs, "Contract")
-    found = joins.lookup(pairs, contracts, "Contract", "ContractID", heavy, spread=["Mac"])
-    return found.groupBy(F.col("Mac").alias("MacAddress")).agg(F.min("ContractKey").alias("ContractKey"))
+    return joins.lookup(pairs, contracts, "Contract", "ContractID", heavy, spread=["Mac"])
+
+
+def first_contract_of_device(owned: DataFrame) -> DataFrame:
+    """Smallest contract key each device was seen under."""
+    return owned.groupBy(F.col("Mac").alias("MacAddress")).agg(F.min("ContractKey").alias("ContractKey"))
 
 
-def new_devices(rows: DataFrame, contracts: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def new_devices(owned: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Devices the dimension lacks. A device that is already there keeps its first contract."""
-    owners = first_contract_of_device(rows, contracts)
+    owners = first_contract_of_device(owned)
     if existing is not None:
         owners = joins.not_in(owners, existing, "MacAddress", "MacAddress")
     keyed = keys.assign_keys(owners, "MacAddress", "DeviceKey", existing)
     return keyed.select("DeviceKey", "MacAddress", "ContractKey")
 
 
+def pair_keys(owned: DataFrame, devices: DataFrame) -> DataFrame:
+    """Contract and device key of every pair; a device under very many contracts is spread by contract."""
+    heavy = joins.heavy_keys(owned, "Mac")
+    keyed = devices.select("DeviceKey", "MacAddress")
+    return joins.lookup(owned, keyed, "Mac", "MacAddress", heavy, spread=["Contract"])
+
+
 def grown(existing: DataFrame | None, added: DataFrame) -> DataFrame:
     return added if existing is None else existing.unionByName(added)

@@ -122,28 +122,35 @@ def trend_rows(facts: DataFrame, small: wh.SmallDims) -> DataFrame:
     return with_calendar(facts, small.date).join(F.broadcast(types), "ContentTypeKey")
 
 
-def days_from_logs(logs: DataFrame, small: wh.SmallDims) -> DataFrame:
+def known_logs(logs: DataFrame) -> DataFrame:
+    """Log rows that would reach the facts, with their category.
+
+    The calendar is one unbroken range and the application list is fixed, so membership is a
+    predicate that reaches the scan, and no dimension has to be joined.
+    """
+    calendar_days = rows.between(logs, schema.CALENDAR_START, schema.CALENDAR_END, "EventDate")
+    listed = rows.complete(calendar_days, "Contract", "Mac").where(F.col("AppName").isin(*schema.KNOWN_APPS))
+    return listed.withColumn("AppCategory", measures.category_of("AppName"))
+
+
+def days_from_logs(logs: DataFrame) -> DataFrame:
     """The frame of ``contract_summary_days`` straight from log rows, without stored star tables.
 
     Contract and device ids stand in for their surrogate keys, which changes no result. The date
     stays a grouping column, so a report's date filter reaches the scan of the logs.
     """
-    known = wh.join_small_dims(rows.complete(logs, "Contract", "Mac"), small)
     summed = aggregates.contract_days(
-        known, "EventDate", "Contract", kind="AppCategory", device="Mac", prefix="TotalDuration", total="All")
-    days = small.date.drop("DayOfWeek", "DayName", "IsWeekend")
-    named = summed.withColumnsRenamed({"EventDate": "DateValue", "Contract": "ContractID"})
-    return named.join(F.broadcast(days), "DateValue")
+        known_logs(logs), "EventDate", "Contract",
+        kind="AppCategory", device="Mac", prefix="TotalDuration", total="All")
+    return calendar.with_calendar_columns(
+        summed.withColumnsRenamed({"EventDate": "DateValue", "Contract": "ContractID"}))
 
 
-def trend_from_logs(logs: DataFrame, small: wh.SmallDims) -> DataFrame:
+def trend_from_logs(logs: DataFrame) -> DataFrame:
     """The frame of ``trend_rows`` straight from log rows."""
-    known = wh.join_small_dims(rows.complete(logs, "Contract", "Mac"), small)
-    days = small.date.select("DateValue", "Year", "Month")
-    return known.select(
-        F.col("EventDate").alias("DateValue"), F.col("AppCategory").alias("ContentType"), "Contract",
-        measures.or_zero("TotalDuration").alias("TotalDuration"), F.lit(1).alias("SessionCount"),
-    ).join(F.broadcast(days), "DateValue")
+    renamed = known_logs(logs).withColumnsRenamed({"EventDate": "DateValue", "AppCategory": "ContentType"})
+    return calendar.with_calendar_columns(renamed).withColumns(
+        {"TotalDuration": measures.or_zero("TotalDuration"), "SessionCount": F.lit(1)})
 
 
 def favourite_by_ranking(summary: DataFrame, prefix: str = "TotalDuration") -> DataFrame:

@@ -11,8 +11,9 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from viewlog.functions import measures
 from viewlog.operators import aggregates, joins, rows
-from viewlog.plans.warehouse import SmallDims, join_small_dims
+from viewlog.plans.warehouse import SmallDims
 
 Day = date | str
 
@@ -64,51 +65,66 @@ def date_match(staging: DataFrame, small: SmallDims) -> DataFrame:
     return value_match(staging, "EventDate", small.date, "DateValue")
 
 
-def _flagged(grain: DataFrame, small: SmallDims, contracts: DataFrame, devices: DataFrame) -> DataFrame:
-    """Session grain with the key of each dimension, NULL where there is no match."""
+def _pair_counts(matched: DataFrame) -> DataFrame:
+    """Sessions per (contract, device) pair: all of them, and those matching the small dimensions."""
+    return matched.groupBy("Contract", "Mac").agg(
+        F.sum("SessionCount").alias("Sessions"),
+        F.sum(F.when(F.col("SmallMatch"), F.col("SessionCount")).otherwise(0)).alias("SmallMatches"),
+    )
+
+
+def _with_small_dims(grain: DataFrame, small: SmallDims) -> DataFrame:
+    """Session grain with the keys of the small dimensions, NULL where there is no match."""
     days = small.date.select("DateKey", F.col("DateValue").alias("EventDate"))
     types = small.content_type.select("ContentTypeKey", F.col("TypeName").alias("AppCategory"))
-    apps = small.app.select("AppKey", "AppName", "AppCategory")
     found = (
         grain.join(F.broadcast(days), "EventDate", "left")
-        .join(F.broadcast(apps), "AppName", "left")
+        .join(F.broadcast(small.app), "AppName", "left")
         .join(F.broadcast(types), "AppCategory", "left")
     )
-    found = joins.lookup(
-        found, contracts.select("ContractKey", "ContractID"), "Contract", "ContractID",
-        joins.heavy_keys(grain, "Contract"), spread=["Mac", "EventDate", "AppName"], how="left")
-    return joins.lookup(
-        found, devices.select("DeviceKey", "MacAddress"), "Mac", "MacAddress",
-        joins.heavy_keys(grain, "Mac"), spread=["Contract", "EventDate", "AppName"], how="left")
+    every = F.col("DateKey").isNotNull() & F.col("AppKey").isNotNull() & F.col("ContentTypeKey").isNotNull()
+    return found.withColumn("SmallMatch", every)
 
 
-def joinable_rows(grain: DataFrame, small: SmallDims, contracts: DataFrame, devices: DataFrame) -> DataFrame:
-    """Staging rows that find all five dimensions.
+def _with_large_dims(pairs: DataFrame, contracts: DataFrame, devices: DataFrame) -> DataFrame:
+    """Pairs with contract and device key, NULL where there is no match."""
+    pairs = joins.lookup(pairs, contracts.select("ContractKey", "ContractID"), "Contract", "ContractID",
+                         joins.heavy_keys(pairs, "Contract"), spread=["Mac"], how="left")
+    return joins.lookup(pairs, devices.select("DeviceKey", "MacAddress"), "Mac", "MacAddress",
+                        joins.heavy_keys(pairs, "Mac"), spread=["Contract"], how="left")
 
-    Only whether a key exists matters here, so each large dimension is a semi-join on the distinct
-    values of the sessions that already match the small ones.
-    """
-    matched = join_small_dims(grain, small).select("Contract", "Mac", "SessionCount")
-    pairs = rows.complete(matched, "Contract", "Mac").groupBy("Contract", "Mac").agg(
-        F.sum("SessionCount").alias("SessionCount"))
-    pairs = joins.lookup(pairs, contracts.select("ContractID"), "Contract", "ContractID",
-                         joins.heavy_keys(grain, "Contract"), spread=["Mac"])
-    pairs = joins.lookup(pairs, devices.select("MacAddress"), "Mac", "MacAddress",
-                         joins.heavy_keys(grain, "Mac"), spread=["Contract"])
-    return pairs.agg(F.coalesce(F.sum("SessionCount"), F.lit(0)).alias("RowsThatCanJoin"))
+
+def joinable_rows(grain: DataFrame, small: SmallDims, contracts: DataFrame, devices: DataFrame) -> DataFrame:
+    """Staging rows that find all five dimensions."""
+    pairs = _with_large_dims(_pair_counts(_with_small_dims(grain, small)), contracts, devices)
+    found = rows.complete(pairs, "ContractKey", "DeviceKey")
+    return found.agg(measures.or_zero(F.sum("SmallMatches")).alias("RowsThatCanJoin"))
 
 
 def unjoinable(grain: DataFrame, small: SmallDims, contracts: DataFrame, devices: DataFrame) -> DataFrame:
-    """Staging rows that miss some dimension, and the distinct values missing from each."""
-    keys = {"MissingDates": ("DateKey", "EventDate"), "MissingContracts": ("ContractKey", "Contract"),
-            "MissingDevices": ("DeviceKey", "Mac"), "MissingApps": ("AppKey", "AppName"),
-            "MissingContentTypes": ("ContentTypeKey", "AppCategory")}
-    found = _flagged(grain, small, contracts, devices)
-    missing = {name: F.when(F.col(key).isNull(), F.col(value)) for name, (key, value) in keys.items()}
-    failing = found.where(" OR ".join(f"{key} IS NULL" for key, _ in keys.values()))
-    return failing.agg(
-        F.coalesce(F.sum("SessionCount"), F.lit(0)).alias("RowsCannotJoin"),
-        *[F.countDistinct(value).alias(name) for name, value in missing.items()],
+    """Staging rows that miss some dimension, and the distinct values missing from each.
+
+    The large dimensions are matched per (contract, device) pair, so no session row is shuffled for
+    them; the three small ones are matched where the sessions lie.
+    """
+    def missing(key: str, value: str, name: str):
+        return F.countDistinct(F.when(F.col(key).isNull(), F.col(value))).alias(name)
+
+    matched = _with_small_dims(grain, small)
+    pairs = _with_large_dims(_pair_counts(matched), contracts, devices)
+    both = F.col("ContractKey").isNotNull() & F.col("DeviceKey").isNotNull()
+    failing = F.col("Sessions") - F.when(both, F.col("SmallMatches")).otherwise(0)
+    return aggregates.side_by_side(
+        pairs.agg(
+            measures.or_zero(F.sum(failing)).alias("RowsCannotJoin"),
+            missing("ContractKey", "Contract", "MissingContracts"),
+            missing("DeviceKey", "Mac", "MissingDevices"),
+        ),
+        matched.where(~F.col("SmallMatch")).agg(
+            missing("DateKey", "EventDate", "MissingDates"),
+            missing("AppKey", "AppName", "MissingApps"),
+            missing("ContentTypeKey", "AppCategory", "MissingContentTypes"),
+        ),
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from viewlog import schema
 from viewlog.functions import measures
-from viewlog.operators import aggregates, joins, rows
+from viewlog.operators import aggregates, rows
 from viewlog.plans import dims
 from viewlog.sinks.versioned import Table, VersionedStore
 
@@ -56,31 +56,22 @@ def join_small_dims(logs: DataFrame, small: SmallDims) -> DataFrame:
     return logs.join(F.broadcast(days), "EventDate").join(F.broadcast(apps), "AppName")
 
 
-def star_join(logs: DataFrame, small: SmallDims, contracts: DataFrame, devices: DataFrame) -> DataFrame:
-    """Log rows with the keys of all five dimensions; rows that miss any of them drop out.
+def star_join(grain: DataFrame, small: SmallDims, pairs: DataFrame) -> DataFrame:
+    """Session-grain rows with the keys of all five dimensions; rows that miss any of them drop out.
 
-    Give it rows at session grain where possible: they are distinct, so the rows of a heavy
-    contract spread evenly over their devices and those of a heavy device over their contracts.
+    ``pairs`` gives contract and device key together, so the sessions are shuffled once. A pair has
+    at most one session row per calendar day and listed application, so none can be lopsided.
     """
-    keyed = join_small_dims(logs, small)
-    others = ["EventDate", "AppName", "TotalDuration"]
-    keyed = joins.lookup(
-        keyed, contracts.select("ContractKey", "ContractID"), "Contract", "ContractID",
-        joins.heavy_keys(logs, "Contract"), spread=["Mac", *others])
-    return joins.lookup(
-        keyed, devices.select("DeviceKey", "MacAddress"), "Mac", "MacAddress",
-        joins.heavy_keys(logs, "Mac"), spread=["ContractKey", *others])
-
-
-def fact_viewing_session(
-    grain: DataFrame, small: SmallDims, contracts: DataFrame, devices: DataFrame
-) -> DataFrame:
+    return join_small_dims(rows.complete(grain, "Contract", "Mac"), small).join(pairs, ["Contract", "Mac"])
+
+
+def fact_viewing_session(grain: DataFrame, small: SmallDims, pairs: DataFrame) -> DataFrame:
     """Seconds and sessions per date, contract, device, application and category.
 
     Natural and surrogate keys correspond one to one, so rows already at session grain need no
     second aggregation after the joins.
     """
-    return star_join(grain, small, contracts, devices).select(
+    return star_join(grain, small, pairs).select(
         "DateKey", "ContractKey", "DeviceKey", "AppKey", "ContentTypeKey",
         measures.or_zero("TotalDuration").alias("TotalDuration"), "SessionCount",
     )
@@ -120,12 +111,12 @@ def load_warehouse(
 
     run = store.begin()
     grain = run.scratch("session_grain", aggregates.session_grain(logs), schema.SESSION_GRAIN)
-    old_contracts, old_devices = store.read(CONTRACTS), store.read(DEVICES)
-    run.write(CONTRACTS, dims.new_contracts(grain, old_contracts))
-    contracts = old_contracts.unionByName(run.read(CONTRACTS))
-    run.write(DEVICES, dims.new_devices(grain, contracts, old_devices))
-    devices = old_devices.unionByName(run.read(DEVICES))
-    run.write(FACTS, fact_viewing_session(grain, small, contracts, devices))
+    run.write(CONTRACTS, dims.new_contracts(grain, run.before(CONTRACTS)))
+    contracts = run.before(CONTRACTS).unionByName(run.read(CONTRACTS))
+    owned = run.scratch("owned_pairs", dims.owned_pairs(grain, contracts), schema.OWNED_PAIRS)
+    run.write(DEVICES, dims.new_devices(owned, run.before(DEVICES)))
+    devices = run.before(DEVICES).unionByName(run.read(DEVICES))
+    run.write(FACTS, fact_viewing_session(grain, small, dims.pair_keys(owned, devices)))
     run.write(SUMMARY, fact_contract_summary(run.read(FACTS), small))
     run.publish(replaces=process_dates)
     return run.counts

@@ -5,10 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewlog.operators import aggregates, rows
+from viewlog.operators import aggregates
 from viewlog.plans import dims, mart, pipeline
 from viewlog.plans import warehouse as wh
 from viewlog.session import scratch_path
@@ -24,7 +24,7 @@ ONE_CONTRACT = "C00007"
 
 @dataclass
 class Frames:
-    """Lazily built frames of one data folder. Only ``landing`` and ``stage`` write anything."""
+    """Frames of one data folder, each built on first use."""
 
     spark: SparkSession
     sf_dir: str
@@ -41,23 +41,37 @@ class Frames:
     def small(self) -> wh.SmallDims:
         return wh.SmallDims.build(self.spark)
 
-    @cached_property
-    def grain(self) -> DataFrame:
-        return aggregates.session_grain(self.staging)
+    def written(self, name: str, frame: DataFrame) -> DataFrame:
+        """A frame stored in the shared folder, for the plans that use it several times."""
+        path = scratch_path(self.spark, name)
+        frame.write.parquet(path)
+        return self.spark.read.schema(frame.schema).parquet(path)
 
     # Star schema with surrogate keys
 
+    @cached_property
+    def grain(self) -> DataFrame:
+        return self.written("grain", aggregates.session_grain(self.staging))
+
     @cached_property
     def contracts(self) -> DataFrame:
-        return dims.new_contracts(self.staging)
+        return self.written("contracts", dims.new_contracts(self.grain))
+
+    @cached_property
+    def owned(self) -> DataFrame:
+        return self.written("owned", dims.owned_pairs(self.grain, self.contracts))
 
     @cached_property
     def devices(self) -> DataFrame:
-        return dims.new_devices(self.staging, self.contracts)
+        return self.written("devices", dims.new_devices(self.owned))
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        return dims.pair_keys(self.owned, self.devices)
 
     @cached_property
     def facts(self) -> DataFrame:
-        return wh.fact_viewing_session(self.grain, self.small, self.contracts, self.devices)
+        return wh.fact_viewing_session(self.grain, self.small, self.pairs)
 
     @cached_property
     def summary(self) -> DataFrame:
@@ -80,34 +94,38 @@ class Frames:
 
     @cached_property
     def analytics(self) -> DataFrame:
-        days = mart.days_from_logs(self.staging, self.small)
+        days = mart.days_from_logs(self.staging)
         return mart.contract_analytics(mart.with_first_day(days, "ContractID"))
 
     @cached_property
     def daily(self) -> DataFrame:
-        return mart.daily_summary(mart.days_from_logs(self.staging, self.small))
+        return mart.daily_summary(mart.days_from_logs(self.staging))
 
     @cached_property
     def trend(self) -> DataFrame:
-        return mart.content_type_trend(mart.trend_from_logs(self.staging, self.small), "Contract")
+        return mart.content_type_trend(mart.trend_from_logs(self.staging), "Contract")
 
     # Increments: dimensions loaded from the first dates, then extended by the rest
 
+    def _loaded_before(self) -> Column:
+        return F.col("EventDate") < F.lit(LOADED_BEFORE).cast("date")
+
     @cached_property
     def early(self) -> DataFrame:
-        return self.staging.where(F.col("EventDate") < F.lit(LOADED_BEFORE).cast("date"))
+        return self.grain.where(self._loaded_before())
 
     @cached_property
     def late(self) -> DataFrame:
-        return self.staging.where(F.col("EventDate") >= F.lit(LOADED_BEFORE).cast("date"))
+        return self.grain.where(~self._loaded_before())
 
     @cached_property
     def early_contracts(self) -> DataFrame:
-        return dims.new_contracts(self.early)
+        return self.written("early-contracts", dims.new_contracts(self.early))
 
     @cached_property
     def early_devices(self) -> DataFrame:
-        return dims.new_devices(self.early, self.early_contracts)
+        owned = dims.owned_pairs(self.early, self.early_contracts)
+        return self.written("early-devices", dims.new_devices(owned))
 
     @cached_property
     def grown_contracts(self) -> DataFrame:
@@ -115,8 +133,8 @@ class Frames:
 
     @cached_property
     def grown_devices(self) -> DataFrame:
-        added = dims.new_devices(self.late, self.grown_contracts, self.early_devices)
-        return dims.grown(self.early_devices, added)
+        owned = dims.owned_pairs(self.late, self.grown_contracts)
+        return dims.grown(self.early_devices, dims.new_devices(owned, self.early_devices))
 
     # Written forms
 
@@ -144,7 +162,3 @@ class Frames:
         mart.load_mart(self.spark, *stores)
         return stores
 
-
-def known_logs(frames: Frames) -> DataFrame:
-    """Log rows that reach the facts, with category."""
-    return wh.join_small_dims(rows.complete(frames.staging, "Contract", "Mac"), frames.small)

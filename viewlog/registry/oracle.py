@@ -324,7 +324,13 @@ LIMIT 10""",
     "profile_join_activation": f"""
 SELECT *, {_BEST_EN[0]} AS MostWatchContentType, CAST({_BEST_EN[1]} AS BIGINT) AS MostWatchDuration,
   {_span('ActivationDays')} AS ActivationLevel FROM ({_PROFILE_EN})""",
-    "star_join": "SELECT * FROM star",
+    "star_join": """
+SELECT s.EventDate, s.Contract, s.Mac, s.AppName, a.AppCategory, d.DateKey, c.ContractKey, v.DeviceKey, a.AppKey,
+  t.ContentTypeKey, CAST(SUM(s.TotalDuration) AS BIGINT) AS TotalDuration, count(*) AS SessionCount
+FROM staging s JOIN dim_date d ON s.EventDate = d.DateValue JOIN dim_contract c ON s.Contract = c.ContractID
+  JOIN dim_device v ON s.Mac = v.MacAddress JOIN dim_app a ON s.AppName = a.AppName
+  JOIN dim_content_type t ON a.AppCategory = t.TypeName
+GROUP BY ALL""",
     "contract_summary_join": """
 SELECT d.DateValue, c.ContractID, t.TypeName, count(DISTINCT f.DeviceKey) AS Devices,
   CAST(SUM(TotalDuration) AS BIGINT) AS TotalDuration

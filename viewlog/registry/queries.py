@@ -12,7 +12,7 @@ from viewlog.functions import calendar, measures
 from viewlog.operators import aggregates, joins, keys, profile, rows
 from viewlog.plans import dims, mart, pipeline, quality, report
 from viewlog.plans import warehouse as wh
-from viewlog.registry.frames import AS_OF, ONE_CONTRACT, ONE_DAY, RANGE, Frames, known_logs
+from viewlog.registry.frames import AS_OF, LOADED_BEFORE, ONE_CONTRACT, ONE_DAY, RANGE, Frames
 from viewlog.session import scratch_path
 from viewlog.sinks import files
 from viewlog.sources import adapter, landing
@@ -138,17 +138,16 @@ def profile_join_activation(f: Frames) -> DataFrame:
 
 @query
 def star_join(f: Frames) -> DataFrame:
-    keyed = wh.star_join(f.staging, f.small, f.contracts, f.devices)
-    return keyed.select("DateKey", "ContractKey", "DeviceKey", "AppKey", "ContentTypeKey", "TotalDuration")
+    return wh.star_join(f.grain, f.small, f.pairs)
 
 
 @query
 def contract_summary_join(f: Frames) -> DataFrame:
-    named = mart.with_calendar(f.facts, f.small.date).join(F.broadcast(f.small.content_type), "ContentTypeKey")
-    named = joins.lookup(named, f.contracts, "ContractKey", "ContractKey",
-                         joins.heavy_keys(f.facts, "ContractKey"), spread=["DeviceKey", "DateKey", "AppKey"])
-    return named.groupBy("DateValue", "ContractID", "TypeName").agg(
+    per_type = f.facts.groupBy("DateKey", "ContractKey", "ContentTypeKey").agg(
         F.countDistinct("DeviceKey").alias("Devices"), F.sum("TotalDuration").alias("TotalDuration"))
+    named = mart.with_calendar(per_type, f.small.date).join(F.broadcast(f.small.content_type), "ContentTypeKey")
+    return named.join(f.contracts, "ContractKey").select(
+        "DateValue", "ContractID", "TypeName", "Devices", "TotalDuration")
 
 
 @query
@@ -190,7 +189,7 @@ def device_rows(f: Frames) -> DataFrame:
 
 @query
 def devices_distinct(f: Frames) -> DataFrame:
-    return profile.devices_distinct(known_logs(f), "EventDate", "Contract")
+    return profile.devices_distinct(mart.known_logs(f.staging), "EventDate", "Contract")
 
 
 @query
@@ -206,7 +205,7 @@ def duration_pivot(f: Frames) -> DataFrame:
 @query
 def conditional_sum_wide(f: Frames) -> DataFrame:
     return aggregates.contract_days(
-        known_logs(f), "EventDate", "Contract", kind="AppCategory", device="Mac", prefix="TotalDuration", total="All")
+        mart.known_logs(f.staging), "EventDate", "Contract", kind="AppCategory", device="Mac", prefix="TotalDuration", total="All")
 
 
 @query
@@ -216,7 +215,7 @@ def fact_viewing_session(f: Frames) -> DataFrame:
 
 @query
 def device_first_contract(f: Frames) -> DataFrame:
-    return dims.first_contract_of_device(f.staging, f.contracts)
+    return dims.first_contract_of_device(f.owned)
 
 
 @query
@@ -291,7 +290,7 @@ def activation_span(f: Frames) -> DataFrame:
 
 @query
 def activation_since_first(f: Frames) -> DataFrame:
-    days = mart.with_first_day(mart.days_from_logs(f.staging, f.small), "ContractID")
+    days = mart.with_first_day(mart.days_from_logs(f.staging), "ContractID")
     return mart.with_activation(days).select(
         "DateValue", "ContractID", "FirstDate", "ActivationDays", "ActivationLevel")
 
@@ -304,13 +303,13 @@ def most_watch(f: Frames) -> DataFrame:
 
 @query
 def most_watch_mart(f: Frames) -> DataFrame:
-    days = mart.with_favourite(mart.days_from_logs(f.staging, f.small), "TotalDuration")
+    days = mart.with_favourite(mart.days_from_logs(f.staging), "TotalDuration")
     return days.select("DateValue", "ContractID", "MostWatchContentType", "MostWatchDuration")
 
 
 @query
 def activation_level(f: Frames) -> DataFrame:
-    seen = profile.one_per_contract(known_logs(f))
+    seen = profile.one_per_contract(mart.known_logs(f.staging))
     return seen.select("Contract", calendar.days_inclusive("FirstDate", "LastDate").alias("Days")).select(
         "Contract", "Days",
         measures.level_of("Days", schema.SPAN_LIMITS, schema.SPAN_LEVELS).alias("SpanLevel"),
@@ -342,7 +341,8 @@ def order_by_date(f: Frames) -> DataFrame:
 
 @query
 def union_by_name(f: Frames) -> DataFrame:
-    return rows.union_by_name(f.early.drop("AppName"), f.late)
+    loaded = F.col("EventDate") < F.lit(LOADED_BEFORE).cast("date")
+    return rows.union_by_name(f.staging.where(loaded).drop("AppName"), f.staging.where(~loaded))
 
 
 @query
@@ -464,7 +464,7 @@ def dim_app(f: Frames) -> DataFrame:
 
 @query
 def dim_content_type(f: Frames) -> DataFrame:
-    counts = known_logs(f).groupBy(F.col("AppCategory").alias("TypeName")).agg(F.count("*").alias("_n"))
+    counts = mart.known_logs(f.staging).groupBy(F.col("AppCategory").alias("TypeName")).agg(F.count("*").alias("_n"))
     types = f.small.content_type.join(counts, "TypeName", "left")
     return types.withColumn("StagingRows", measures.or_zero("_n")).drop("_n")
 

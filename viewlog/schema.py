@@ -80,6 +80,8 @@ STAGING = columns(Contract="string", Mac="string", AppName="string",
 SESSION_GRAIN = columns(EventDate="date", Contract="string", Mac="string", AppName="string",
                         TotalDuration="bigint", SessionCount="bigint")
 
+OWNED_PAIRS = columns(Contract="string", Mac="string", ContractKey="bigint")
+
 DIM_CONTRACT = columns(ContractKey="bigint", ContractID="string")
 DIM_DEVICE = columns(DeviceKey="bigint", MacAddress="string", ContractKey="bigint")
 
