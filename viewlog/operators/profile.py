@@ -79,9 +79,11 @@ def contract_profile(rows: DataFrame, labels: str = "vi", day: str | None = "Eve
     One aggregation on the contract yields all of it, so the raw rows are shuffled once, after
     map-side pre-aggregation, and there is no join. ``day=None`` leaves activation out.
     """
-    names = schema.category_labels(labels)
-    kind = measures.category_of("AppName", labels)
-    sums = [F.coalesce(F.sum(F.when(kind == name, F.col("TotalDuration"))), F.lit(0)).alias(name) for name in names]
+    app, seconds = F.col("AppName"), F.col("TotalDuration")
+    members = {c: app.isin(*c.apps) for c in schema.CATEGORIES}
+    members[schema.UNKNOWN] = app.isNull() | ~app.isin(*schema.KNOWN_APPS)
+    sums = [measures.or_zero(F.sum(F.when(member, seconds))).alias(schema.label_of(c, labels))
+            for c, member in members.items()]
     bounds = [F.min(day).alias("_first"), F.max(day).alias("_last")] if day else []
     grouped = (
         rows.where(F.col("Contract").isNotNull())
