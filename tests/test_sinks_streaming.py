@@ -1,0 +1,161 @@
+from __future__ import annotations
+
+import json
+from types import SimpleNamespace
+
+import pytest
+from conftest import SF_DIR, day, values
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from viewlog.plans import mart, pipeline
+from viewlog.session import scratch_path, shared_folder
+from viewlog.sinks import files
+from viewlog.sinks.versioned import Table, VersionedStore
+from viewlog.schema import columns
+from viewlog.sources import adapter
+from viewlog.streaming import jobs
+
+
+def test_csv_round_trip_and_modes(spark, tmp_path):
+    frame = spark.createDataFrame([("C1", 1, None), ("C2", 2, "Giải Trí")], "Contract string, n int, Type string")
+    path = str(tmp_path / "out")
+    files.write_csv(frame, path, single_file=True)
+    files.write_csv(frame, path, single_file=True)
+    assert len(list((tmp_path / "out").glob("*.csv"))) == 1
+    back = spark.read.option("header", "true").schema(frame.schema).csv(path)
+    assert values(back) == values(frame)
+    with pytest.raises(AnalysisException):
+        files.write_csv(frame, path, mode="errorifexists")
+
+
+def test_staging_appends_by_load_name(spark, staged, tmp_path):
+    root = str(tmp_path / "staging")
+    a, b = staged(("C1", "M", "VOD", 1, "2024-01-01")), staged(("C2", "M", "VOD", 1, "2024-01-01"))
+    files.append_staging(a, root, "a")
+    files.append_staging(b, root, "b")
+    files.append_staging(a, root, "a")
+    assert values(files.read_staging(spark, root), "Contract") == [("C1",), ("C2",)]
+    chosen = files.read_staging(spark, root).where("EventDate = DATE'2024-01-01'")
+    assert "PartitionFilters: [isnotnull(EventDate" in chosen._jdf.queryExecution().executedPlan().toString()
+
+
+def test_empty_appends_are_refused_before_writing(staged, tmp_path):
+    nothing = staged(("C1", "M", "VOD", 1, "2024-01-01")).where("false")
+    with pytest.raises(ValueError):
+        files.append_staging(nothing, str(tmp_path / "s"), "a")
+    with pytest.raises(ValueError):
+        files.append_staging_jdbc(nothing, "jdbc:none", "Staging_RawData")
+    assert not (tmp_path / "s").exists()
+
+
+def test_newest_run_of_each_date_is_visible(spark, tmp_path):
+    table = Table("t", columns(DateValue="date", n="bigint"), dated_by="DateValue")
+    store = VersionedStore(spark, str(tmp_path), [table])
+
+    def load(dates, *lines):
+        run = store.begin()
+        run.write("t", spark.createDataFrame([(day(d), n) for d, n in lines], table.layout))
+        run.publish(None if dates is None else [day(d) for d in dates])
+
+    load(["2024-01-01"], ("2024-01-01", 1))
+    load(["2024-01-02"], ("2024-01-02", 2))
+    assert values(store.read("t"), "n") == [(1,), (2,)]
+    load(None, ("2024-01-01", 10), ("2024-01-02", 20), ("2024-01-03", 30))
+    load(["2024-01-02", "2024-01-03"], ("2024-01-02", 21))
+    assert values(store.read("t"), "n") == [(10,), (21,)]
+    load(["2024-01-03"], ("2024-01-03", 31))
+    assert values(store.read("t"), "n") == [(10,), (21,), (31,)]
+    assert VersionedStore(spark, str(tmp_path), [table]).read("t").count() == 3
+
+
+def test_a_lopsided_date_is_written_whole(spark, tmp_path):
+    table = Table("t", columns(DateKey="int", n="bigint"), dated_by="DateKey", sort_by=("n",))
+    store = VersionedStore(spark, str(tmp_path), [table])
+    lines = spark.range(5000).select(
+        F.when(F.col("id") % 3 == 0, 20240101).otherwise(20240102 + F.col("id") % 5).cast("int").alias("DateKey"),
+        F.col("id").alias("n"))
+    run = store.begin()
+    run.write("t", lines)
+    run.publish()
+    assert run.counts == {"t": 5000}
+    assert values(store.read("t")) == values(lines)
+
+
+def session_like(folder, master):
+    conf = SimpleNamespace(get=lambda name, default: folder if name == "spark.checkpoint.dir" else default)
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, applicationId="other"))
+
+
+def test_shared_folder_follows_the_session_setting(spark):
+    assert shared_folder(session_like("hdfs://nn/check/", "yarn")) == "hdfs://nn/check"
+    with pytest.raises(RuntimeError):
+        shared_folder(session_like(None, "yarn"))
+    assert shared_folder(spark) == shared_folder(spark) and scratch_path(spark, "a") != scratch_path(spark, "a")
+
+
+def landing_line(contract, mac="M1", app="VOD", seconds=60):
+    return json.dumps({"_source": {"Contract": contract, "Mac": mac, "AppName": app, "TotalDuration": seconds}}) + "\n"
+
+
+def test_ingest_takes_each_file_once(spark, tmp_path):
+    folder, staging = tmp_path / "in", str(tmp_path / "staging")
+    folder.mkdir()
+    (folder / "20240101.json").write_text(landing_line("C1") + "{broken\n")
+    (folder / "notes.json").write_text(landing_line("C9"))
+
+    def ingest():
+        jobs.ingest_new_files(spark, str(folder), staging, str(tmp_path / "cp"))
+
+    ingest()
+    ingest()
+    (folder / "20240102.json").write_text(landing_line("C2"))
+    ingest()
+    assert values(files.read_staging(spark, staging), "Contract", "EventDate") == [
+        ("C1", day("2024-01-01")), ("C2", day("2024-01-02"))]
+
+
+def test_refresh_follows_new_and_late_files(spark, tmp_path):
+    folder, root = tmp_path / "in", str(tmp_path / "root")
+    folder.mkdir()
+
+    def arrive(name, *contracts):
+        (folder / name).write_text("".join(landing_line(c) for c in contracts))
+        jobs.ingest_and_refresh(spark, str(folder), root, str(tmp_path / "cp"))
+
+    arrive("20240103.json", "C1")
+    arrive("20240104.json", "C1", "C2")
+    _, marts = pipeline.stores(spark, root)
+    days = ("DateValue", "ContractID", "ActivationDays")
+    assert values(marts.read(mart.ANALYTICS), *days) == [
+        (day("2024-01-03"), "C1", 1), (day("2024-01-04"), "C1", 2), (day("2024-01-04"), "C2", 1)]
+    arrive("20240101.json", "C1")
+    arrive("late_20240104.json", "C3")
+    assert values(marts.read(mart.ANALYTICS), *days) == [
+        (day("2024-01-01"), "C1", 1), (day("2024-01-03"), "C1", 3), (day("2024-01-04"), "C1", 4),
+        (day("2024-01-04"), "C2", 1), (day("2024-01-04"), "C3", 1)]
+    assert values(marts.read(mart.DAILY), "DateValue", "TotalContracts") == [
+        (day("2024-01-01"), 1), (day("2024-01-03"), 1), (day("2024-01-04"), 3)]
+
+
+def test_running_totals_over_several_batches(spark, tmp_path):
+    staging = adapter.staging_from_events(spark, SF_DIR)
+    source, out = str(tmp_path / "in"), str(tmp_path / "totals")
+    staging.orderBy("EventDate").repartition(3).write.parquet(source)
+    stream = spark.readStream.schema(staging.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    jobs.write_daily_totals(jobs.daily_totals(stream), out, str(tmp_path / "cp"))
+    assert len(list((tmp_path / "totals").glob("batch=*"))) >= 3
+    from viewlog.operators import rows
+
+    wanted = rows.with_category(staging).groupBy(F.col("EventDate").alias("DateValue"), "Type").agg(
+        F.coalesce(F.sum("TotalDuration"), F.lit(0)).alias("TotalDuration"), F.count("*").alias("TotalSessions"))
+    assert values(jobs.read_daily_totals(spark, out).drop("ApproxContracts")) == values(wanted)
+
+
+def test_whole_pipeline_with_checks(spark, tmp_path):
+    staging = adapter.staging_from_events(spark, SF_DIR)
+    store, _ = pipeline.stores(spark, str(tmp_path))
+    before, after = pipeline.run_with_checks(spark, staging, store)
+    assert before.first().TotalRows == 1000
+    counts = after.first().asDict()
+    assert counts["TotalContracts"] == 15 and counts["TotalSessions"] > 0
