@@ -59,10 +59,11 @@ def new_contracts(rows: DataFrame, existing: DataFrame | None = None) -> DataFra
 def owned_pairs(rows: DataFrame, contracts: DataFrame) -> DataFrame:
     """Every (contract, device) pair that occurs, with the contract's key.
 
-    A contract that nearly every device appears under is spread by the device.
+    A contract that nearly every device appears under is spread by the device. Heavy contracts are
+    told by their rows: a contract has no more pairs than rows, so one that is not heavy stays small.
     """
+    heavy = joins.heavy_keys(rows, "Contract")
     pairs = rows.where(F.col("Mac").isNotNull() & F.col("Contract").isNotNull()).select("Contract", "Mac").distinct()
-    heavy = joins.heavy_keys(pairs, "Contract")
     return joins.lookup(pairs, contracts, "Contract", "ContractID", heavy, spread=["Mac"])
 
 

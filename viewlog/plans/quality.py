@@ -86,17 +86,21 @@ def _with_small_dims(grain: DataFrame, small: SmallDims) -> DataFrame:
     return found.withColumn("SmallMatch", every)
 
 
-def _with_large_dims(pairs: DataFrame, contracts: DataFrame, devices: DataFrame) -> DataFrame:
-    """Pairs with contract and device key, NULL where there is no match."""
-    pairs = joins.lookup(pairs, contracts.select("ContractKey", "ContractID"), "Contract", "ContractID",
-                         joins.heavy_keys(pairs, "Contract"), spread=["Mac"], how="left")
-    return joins.lookup(pairs, devices.select("DeviceKey", "MacAddress"), "Mac", "MacAddress",
-                        joins.heavy_keys(pairs, "Mac"), spread=["Contract"], how="left")
+def _pair_matches(
+    grain: DataFrame, matched: DataFrame, contracts: DataFrame, devices: DataFrame
+) -> DataFrame:
+    """Session counts per pair with contract and device key, NULL where there is no match."""
+    pairs = joins.lookup(
+        _pair_counts(matched), contracts.select("ContractKey", "ContractID"), "Contract", "ContractID",
+        joins.heavy_keys(grain, "Contract"), spread=["Mac"], how="left")
+    return joins.lookup(
+        pairs, devices.select("DeviceKey", "MacAddress"), "Mac", "MacAddress",
+        joins.heavy_keys(grain, "Mac"), spread=["Contract"], how="left")
 
 
 def joinable_rows(grain: DataFrame, small: SmallDims, contracts: DataFrame, devices: DataFrame) -> DataFrame:
     """Staging rows that find all five dimensions."""
-    pairs = _with_large_dims(_pair_counts(_with_small_dims(grain, small)), contracts, devices)
+    pairs = _pair_matches(grain, _with_small_dims(grain, small), contracts, devices)
     found = rows.complete(pairs, "ContractKey", "DeviceKey")
     return found.agg(measures.or_zero(F.sum("SmallMatches")).alias("RowsThatCanJoin"))
 
@@ -111,7 +115,7 @@ def unjoinable(grain: DataFrame, small: SmallDims, contracts: DataFrame, devices
         return F.countDistinct(F.when(F.col(key).isNull(), F.col(value))).alias(name)
 
     matched = _with_small_dims(grain, small)
-    pairs = _with_large_dims(_pair_counts(matched), contracts, devices)
+    pairs = _pair_matches(grain, matched, contracts, devices)
     both = F.col("ContractKey").isNotNull() & F.col("DeviceKey").isNotNull()
     failing = F.col("Sessions") - F.when(both, F.col("SmallMatches")).otherwise(0)
     return aggregates.side_by_side(

@@ -28,15 +28,21 @@ def load_name(paths: Sequence[str]) -> str:
     return hashlib.md5("\n".join(sorted(paths)).encode()).hexdigest()
 
 
-def append_staging(staging: DataFrame, root: str, load: str) -> None:
+def append_staging(staging: DataFrame, root: str, load: str, mixed_dates: bool = False) -> None:
     """Add rows to staging under a load name, partitioned by date within it.
 
     A second load under the same name replaces the first, so retrying one adds no rows twice.
     An empty frame is refused before anything is written.
+
+    Landing files hold one day each, so a task meets few dates and rows are written where they were
+    read, without a shuffle. ``mixed_dates`` gathers the rows of a date first, for sources where
+    every task would otherwise write a small file for every date.
     """
     if staging.isEmpty():
         raise ValueError("nothing to load into staging")
-    shaped = staging.select(*STAGING.names).hint("rebalance", F.col("EventDate"))
+    shaped = staging.select(*STAGING.names)
+    if mixed_dates:
+        shaped = shaped.hint("rebalance", F.col("EventDate"))
     shaped.write.mode("overwrite").partitionBy("EventDate").parquet(f"{root}/load={load}")
 
 
