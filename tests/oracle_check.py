@@ -38,21 +38,26 @@ def _table(names: list[str], rows) -> tuple[list[str], list[tuple]]:
     return [names[n] for n in order], sorted(tuple(_plain(row[n]) for n in order) for row in rows)
 
 
+TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE"}
+
+
 def spark_table(frame):
-    return _table(frame.columns, [tuple(row) for row in frame.collect()])
+    types = sorted((name, TYPES[kind]) for name, kind in frame.dtypes)
+    return types, *_table(frame.columns, [tuple(row) for row in frame.collect()])
 
 
 def duck_table(connection, sql: str):
     result = connection.execute(sql)
-    return _table([column[0] for column in result.description], result.fetchall())
+    types = sorted((column[0], str(column[1])) for column in result.description)
+    return types, *_table([column[0] for column in result.description], result.fetchall())
 
 
 def differences(spark, connection, sf_dir: str, query, sql: str) -> str:
     """Empty when both sides agree, else what differs first."""
-    names, got = spark_table(query(spark, sf_dir))
-    wanted_names, wanted = duck_table(connection, sql)
-    if names != wanted_names:
-        return f"columns {names} != {wanted_names}"
+    types, _, got = spark_table(query(spark, sf_dir))
+    wanted_types, _, wanted = duck_table(connection, sql)
+    if types != wanted_types:
+        return f"columns {[t for t in types if t not in wanted_types]} != {[t for t in wanted_types if t not in types]}"
     if len(got) != len(wanted):
         return f"{len(got)} rows != {len(wanted)}"
     for left, right in zip(got, wanted):

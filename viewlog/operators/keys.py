@@ -18,6 +18,8 @@ def assign_keys(
     total over the bucket sizes (16**digits rows, whatever the input size) gives each bucket its
     first number. The order depends on the values alone, so a rerun or a retried task gives the same keys.
     """
+    # A left join, though every bucket has a start: an inner one adds a filter to this branch only,
+    # and the shuffle that finds the members would then no longer be shared with the sizes.
     bucketed = members.withColumn("_bucket", F.substring(F.md5(natural), 1, digits))
     sizes = bucketed.groupBy("_bucket").agg(F.count("*").alias("_size"))
     if existing is not None:
@@ -28,7 +30,7 @@ def assign_keys(
     position = F.row_number().over(Window.partitionBy("_bucket").orderBy(natural))
     return (
         bucketed.withColumn("_position", position)
-        .join(F.broadcast(starts), "_bucket")
+        .join(F.broadcast(starts), "_bucket", "left")
         .withColumn(key, (F.col("_start") + F.col("_position")).cast("bigint"))
         .drop("_bucket", "_position", "_start")
     )

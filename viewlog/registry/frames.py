@@ -77,6 +77,15 @@ class Frames:
     def summary(self) -> DataFrame:
         return wh.fact_contract_summary(self.facts, self.small)
 
+    @cached_property
+    def stored_facts(self) -> DataFrame:
+        """The facts written once, for checks that read them several times."""
+        return self.written("facts", self.facts)
+
+    @cached_property
+    def stored_summary(self) -> DataFrame:
+        return self.written("summary", wh.fact_contract_summary(self.stored_facts, self.small))
+
     @cached_property
     def keyed_analytics(self) -> DataFrame:
         days = mart.contract_summary_days(self.summary, self.small.date, self.contracts)

@@ -277,7 +277,8 @@ def conditional_distinct(f: Frames) -> DataFrame:
 @query
 def scalar_subquery_counts(f: Frames) -> DataFrame:
     return aggregates.table_counts(
-        TotalContracts=f.contracts, TotalDevices=f.devices, TotalSessions=f.facts, TotalSummaries=f.summary)
+        TotalContracts=f.contracts, TotalDevices=f.devices,
+        TotalSessions=f.stored_facts, TotalSummaries=f.stored_summary)
 
 
 # --- Whole-partition windows and row-wise picks --------------------------------------------
@@ -727,13 +728,14 @@ def dq_unique(f: Frames) -> DataFrame:
 
 @query
 def dq_foreign_keys(f: Frames) -> DataFrame:
-    return quality.foreign_key_checks(f.facts, f.summary, f.small, f.early_contracts, f.early_devices)
+    return quality.foreign_key_checks(
+        f.stored_facts, f.stored_summary, f.small, f.early_contracts, f.early_devices)
 
 
 @query
 def dq_not_null(f: Frames) -> DataFrame:
     return rows.union_by_name(
-        quality.not_null_checks(f.facts, f.keyed_analytics),
+        quality.not_null_checks(f.stored_facts, f.analytics),
         quality.missing_values(f.staging, "staging", *schema.STAGING.names))
 
 
