@@ -17,8 +17,8 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", "local[8]", spark__sql__shuffle__partitions="4", spark__driver__memory="6g",
-        spark__ui__showConsoleProgress="false", spark__default__parallelism="4")
+        "tests", "local[8]", spark__sql__shuffle__partitions="3", spark__driver__memory="6g",
+        spark__ui__showConsoleProgress="false", spark__default__parallelism="3")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

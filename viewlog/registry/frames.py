@@ -20,6 +20,8 @@ LOADED_BEFORE = "2024-01-02"  # earlier dates count as loaded when increments ar
 ONE_DAY = "2024-01-16"
 RANGE = ("2024-01-05", "2024-01-20")
 ONE_CONTRACT = "C00007"
+ORDERS_AS_OF = "2028-12-31"
+ORDERS_DAYS = 3650  # reaches back before the first order line
 
 
 @dataclass
@@ -37,6 +39,11 @@ class Frames:
     def staging(self) -> DataFrame:
         return adapter.log_from_events(self.events)
 
+    @cached_property
+    def order_log(self) -> DataFrame:
+        tables = [self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet") for name in ("lineitem", "orders")]
+        return adapter.log_from_orders(*tables)
+
     @cached_property
     def small(self) -> wh.SmallDims:
         return wh.SmallDims.build(self.spark)

@@ -7,7 +7,8 @@ Every statement starts from the same chain of common table expressions: the log
 from __future__ import annotations
 
 from viewlog import schema
-from viewlog.registry.frames import AS_OF, LOADED_BEFORE, ONE_CONTRACT, ONE_DAY, RANGE
+from viewlog.registry.frames import AS_OF, LOADED_BEFORE, ONE_CONTRACT, ONE_DAY, ORDERS_AS_OF, ORDERS_DAYS, RANGE
+from viewlog.sources.adapter import SHIFT_DAYS
 
 _APPS = ", ".join(f"'{app}'" for app in schema.KNOWN_APPS)
 
@@ -172,7 +173,13 @@ _STEPS = {
   FROM fact f JOIN dim_date d USING (DateKey) JOIN dim_content_type t USING (ContentTypeKey)
   GROUP BY d.DateValue, d.Year, d.Month, t.TypeName""",
 }
-_CHAIN = "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in _STEPS.items())
+
+
+def _chain(steps: dict[str, str]) -> str:
+    return "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in steps.items())
+
+
+_CHAIN = _chain(_STEPS)
 
 
 def _from(n: int) -> str:
@@ -284,7 +291,7 @@ _PROFILE_VI = f"""
 _PROFILE_EN = f"""
   SELECT Contract,
 {_pivot(english=True)},
-  CAST(max(EventDate) - min(EventDate) + 1 AS INTEGER) AS ActivationDays
+  count(*) AS TotalDevices, CAST(max(EventDate) - min(EventDate) + 1 AS INTEGER) AS ActivationDays
   FROM typed WHERE Contract IS NOT NULL GROUP BY Contract"""
 
 _FLAT = """SELECT Contract, Mac, AppName, TotalDuration, strftime(EventDate, '%Y%m%d') AS Date"""
@@ -322,7 +329,7 @@ LIMIT 10""",
     # Joins
     "profile_join_devices": f"SELECT * EXCLUDE (ActivationDays) FROM ({_PROFILE_VI})",
     "profile_join_activation": f"""
-SELECT *, {_BEST_EN[0]} AS MostWatchContentType, CAST({_BEST_EN[1]} AS BIGINT) AS MostWatchDuration,
+SELECT * EXCLUDE (TotalDevices), {_BEST_EN[0]} AS MostWatchContentType, CAST({_BEST_EN[1]} AS BIGINT) AS MostWatchDuration,
   {_span('ActivationDays')} AS ActivationLevel FROM ({_PROFILE_EN})""",
     "star_join": """
 SELECT s.EventDate, s.Contract, s.Mac, s.AppName, a.AppCategory, d.DateKey, c.ContractKey, v.DeviceKey, a.AppKey,
@@ -608,5 +615,25 @@ SELECT EventDate AS DateValue, Type, CAST(SUM(coalesce(TotalDuration, 0)) AS BIG
 }
 
 
+# The larger log takes the place of staging; the rest of the chain stays as it is.
+_ORDER_LOG = f"""
+  SELECT concat('C', lpad(CAST(o_custkey AS VARCHAR), 7, '0')) AS Contract,
+    concat('M', lpad(CAST(l_suppkey AS VARCHAR), 7, '0')) AS Mac,
+    ([{_APPS}, 'OTHER'])[l_partkey % 16 + 1] AS AppName,
+    CAST(l_quantity * 60 AS BIGINT) AS TotalDuration, CAST(l_shipdate AS DATE) + {SHIFT_DAYS} AS EventDate
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+_ORDER_CHAIN = _chain(_STEPS | {"staging": _ORDER_LOG})
+_ORDER_QUERIES = {
+    "contract_profile_orders": f"""
+SELECT *, {_BEST_EN[0]} AS MostWatchContentType, CAST({_BEST_EN[1]} AS BIGINT) AS MostWatchDuration,
+  {_span('ActivationDays')} AS ActivationLevel FROM ({_PROFILE_EN})""",
+    "media_report_orders": _QUERIES["media_report"],
+    "mart_daily_summary_orders": _QUERIES["mart_daily_summary"],
+    "contract_leaderboard_orders": _LEADERBOARD.replace(
+        _from(30), f"DateValue >= DATE '{ORDERS_AS_OF}' - {ORDERS_DAYS}") + " LIMIT 50",
+}
+
+
 def all_sql() -> dict[str, str]:
-    return {name: f"{_CHAIN}\n{body.strip()}" for name, body in _QUERIES.items()}
+    plain = {name: f"{_CHAIN}\n{body.strip()}" for name, body in _QUERIES.items()}
+    return plain | {name: f"{_ORDER_CHAIN}\n{body.strip()}" for name, body in _ORDER_QUERIES.items()}

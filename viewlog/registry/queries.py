@@ -12,7 +12,7 @@ from viewlog.functions import calendar, measures
 from viewlog.operators import aggregates, joins, keys, profile, rows
 from viewlog.plans import dims, mart, pipeline, quality, report
 from viewlog.plans import warehouse as wh
-from viewlog.registry.frames import AS_OF, LOADED_BEFORE, ONE_CONTRACT, ONE_DAY, RANGE, Frames
+from viewlog.registry.frames import AS_OF, LOADED_BEFORE, ONE_CONTRACT, ONE_DAY, ORDERS_AS_OF, ORDERS_DAYS, RANGE, Frames
 from viewlog.session import scratch_path
 from viewlog.sinks import files
 from viewlog.sources import adapter, landing
@@ -651,6 +651,30 @@ def realtime_types(f: Frames) -> DataFrame:
     return report.realtime_types(f.trend, AS_OF)
 
 
+# --- The same jobs on the larger log derived from orders -----------------------------------
+
+
+@query
+def contract_profile_orders(f: Frames) -> DataFrame:
+    return profile.contract_profile(f.order_log, "en")
+
+
+@query
+def media_report_orders(f: Frames) -> DataFrame:
+    return aggregates.media_report(f.order_log)
+
+
+@query
+def mart_daily_summary_orders(f: Frames) -> DataFrame:
+    return mart.daily_summary(mart.days_from_logs(f.order_log))
+
+
+@query
+def contract_leaderboard_orders(f: Frames) -> DataFrame:
+    days = mart.with_first_day(mart.days_from_logs(f.order_log), "ContractID")
+    return report.contract_leaderboard(mart.contract_analytics(days), ORDERS_AS_OF, n=50, days=ORDERS_DAYS)
+
+
 # --- Data quality --------------------------------------------------------------------------
 
 

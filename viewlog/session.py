@@ -7,14 +7,15 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Adaptive execution sizes and splits the shuffle partitions at run time; the rest pins
-# behaviour that results depend on (time zone) or that pruning depends on.
+# Adaptive execution sizes and splits the shuffle partitions at run time; the time zone is pinned
+# because results depend on it; without the call-site capture plans are built faster.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
 }
 
