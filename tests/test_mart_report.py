@@ -24,6 +24,14 @@ def load(spark, staged, tmp_path, *logs):
     return stores
 
 
+def analytics_of(logs):
+    return mart.contract_analytics(mart.with_first_day(mart.days_from_logs(logs), "ContractID"))
+
+
+def trend_of(logs):
+    return mart.content_type_trend(mart.trend_from_logs(logs), "Contract")
+
+
 VISITS = [("C1", "M1", "VOD", 10, d) for d in ("2024-01-01", "2024-01-02", "2024-01-03", "2024-01-09", "2024-01-10")]
 
 
@@ -31,9 +39,9 @@ def activation(marts):
     return values(marts.read(mart.ANALYTICS), "DateValue", "ActivationDays", "ActivationLevel")
 
 
-def test_since_first_days_and_levels(spark, staged, tmp_path):
-    _, marts = load(spark, staged, tmp_path, *VISITS)
-    assert [row[1:] for row in activation(marts)] == [
+def test_since_first_days_and_levels(staged):
+    analytics = analytics_of(staged(*VISITS))
+    assert [row[1:] for row in values(analytics, "DateValue", "ActivationDays", "ActivationLevel")] == [
         (1, "Thấp"), (2, "Thấp"), (3, "Trung bình"), (9, "Trung bình"), (10, "Cao")]
 
 
@@ -79,9 +87,10 @@ def test_favourite_by_ranking_equals_the_expression(spark):
     assert values(ranked)[1] == (2, "Truyền Hình", 5)
 
 
-def test_shared_device_counts_once_per_contract(spark, staged, tmp_path):
-    _, marts = load(spark, staged, tmp_path, ("C1", "M1", "VOD", 1, "2024-01-01"), ("C2", "M1", "VOD", 1, "2024-01-01"))
-    assert values(marts.read(mart.DAILY), "TotalContracts", "TotalDevices") == [(2, 2)]
+def test_shared_device_counts_once_per_contract(staged):
+    logs = staged(("C1", "M1", "VOD", 1, "2024-01-01"), ("C2", "M1", "VOD", 1, "2024-01-01"))
+    daily = mart.daily_summary(mart.days_from_logs(logs))
+    assert values(daily, "TotalContracts", "TotalDevices") == [(2, 2)]
 
 
 def test_clear_marts_counts_before_and_after(spark, staged, tmp_path):
@@ -126,25 +135,24 @@ def test_ordered_reports_come_out_ordered(frames):
     assert ids == sorted(set(ids))
 
 
-def test_leaderboard_breaks_ties_by_contract(spark, staged, tmp_path):
-    logs = [(f"C{n}", f"M{n}", "VOD", 60, "2024-01-30") for n in range(8)]
-    _, marts = load(spark, staged, tmp_path, *logs)
-    board = report.contract_leaderboard(marts.read(mart.ANALYTICS), AS_OF, n=5)
+def test_leaderboard_breaks_ties_by_contract(staged):
+    analytics = analytics_of(staged(*[(f"C{n}", f"M{n}", "VOD", 60, "2024-01-30") for n in range(8)]))
+    board = report.contract_leaderboard(analytics, AS_OF, n=5)
     assert [r.ContractID for r in board.collect()] == ["C0", "C1", "C2", "C3", "C4"]
     assert [r.ContractID for r in report.head_of(board, 2).collect()] == ["C0", "C1"]
     for n in (4, 51):
         with pytest.raises(ValueError):
-            report.contract_leaderboard(marts.read(mart.ANALYTICS), AS_OF, n=n)
+            report.contract_leaderboard(analytics, AS_OF, n=n)
 
 
-def test_leaderboard_labels_are_binary_maxima(spark, staged, tmp_path):
-    _, marts = load(spark, staged, tmp_path, ("C", "M", "CHILD", 60, "2024-01-29"), ("C", "M", "SPORT", 60, "2024-01-30"))
-    assert report.contract_leaderboard(marts.read(mart.ANALYTICS), AS_OF).first().MostWatchContentType == "Thể Thao"
+def test_leaderboard_labels_are_binary_maxima(staged):
+    analytics = analytics_of(staged(("C", "M", "CHILD", 60, "2024-01-29"), ("C", "M", "SPORT", 60, "2024-01-30")))
+    assert report.contract_leaderboard(analytics, AS_OF).first().MostWatchContentType == "Thể Thao"
 
 
-def test_statistics_average_in_whole_seconds(spark, staged, tmp_path):
-    _, marts = load(spark, staged, tmp_path, ("C", "M", "VOD", 1, "2024-01-29"), ("C", "M", "VOD", 2, "2024-01-30"))
-    row = report.type_statistics(marts.read(mart.TREND), AS_OF).first()
+def test_statistics_average_in_whole_seconds(staged):
+    by_type = trend_of(staged(("C", "M", "VOD", 1, "2024-01-29"), ("C", "M", "VOD", 2, "2024-01-30")))
+    row = report.type_statistics(by_type, AS_OF).first()
     assert row.AvgDuration_Hours == 1 / 3600.0 and row.UniqueContracts == 2
 
 

@@ -84,10 +84,10 @@ def test_loading_again_changes_nothing(spark, events, store):
 def test_a_date_at_a_time_equals_all_at_once(spark, events, tmp_path):
     whole, marts = pipeline.stores(spark, str(tmp_path / "all"))
     parts, part_marts = pipeline.stores(spark, str(tmp_path / "daily"))
-    some = rows.between(events, "2024-01-01", "2024-01-04", "EventDate").cache()
+    some = rows.between(events, "2024-01-01", "2024-01-02", "EventDate").cache()
     wh.load_warehouse(spark, some, whole)
     mart.load_mart(spark, whole, marts)
-    for text in ("2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04"):
+    for text in ("2024-01-01", "2024-01-02"):
         wh.load_warehouse(spark, some, parts, process_date=text)
         mart.load_mart(spark, parts, part_marts, process_date=text)
     assert values(named_facts(whole)) == values(named_facts(parts))

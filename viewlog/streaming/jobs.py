@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from viewlog.functions import measures
 from viewlog.operators import rows
 from viewlog.plans import pipeline
-from viewlog.schema import RAW
+from viewlog.schema import CALENDAR_END, CALENDAR_START, RAW
 from viewlog.sinks import files
 from viewlog.sources import landing
 
@@ -76,7 +76,8 @@ def ingest_and_refresh(
         if batch.isEmpty():
             return
         files.append_staging(batch, pipeline.staging_folder(root), f"stream-{number}")
-        touched = batch.select("EventDate").where(F.col("EventDate").isNotNull()).distinct()
+        # At most one value per calendar day; dates outside the calendar reach no table.
+        touched = rows.between(batch, CALENDAR_START, CALENDAR_END, "EventDate").select("EventDate").distinct()
         pipeline.refresh(spark, root, [row.EventDate for row in touched.collect()])
 
     stream = rows.staging_rows(new_files(spark, folder, level, per_batch), run_date)
