@@ -19,7 +19,8 @@ from viewlog.session import build_session, scratch_path  # noqa: E402
 
 HEADLINES = (
     "contract_profile", "media_report", "fact_viewing_session", "mart_daily_summary",
-    "contract_leaderboard", "kpi_7d", "daily_table", "type_statistics", "dq_unjoinable", "contract_profile_orders", "contract_leaderboard_orders",
+    "contract_leaderboard", "kpi_7d", "daily_table", "type_statistics", "dq_unjoinable",
+    "contract_profile_orders", "contract_leaderboard_orders",
 )
 RUNS = 3
 

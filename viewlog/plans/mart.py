@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from viewlog import schema
 from viewlog.functions import calendar, measures
 from viewlog.operators import aggregates, rows
-from viewlog.plans import dims
 from viewlog.plans import warehouse as wh
 from viewlog.sinks.versioned import Table, VersionedStore
 
