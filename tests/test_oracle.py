@@ -7,8 +7,9 @@ from conftest import SF_DIR
 from oracle_check import differences, duck
 
 import __spark_entry__ as driver
+from viewlog.registry import oracle, queries
 
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = queries.all_queries(), oracle.all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +21,11 @@ def test_every_query_has_its_sql():
     assert set(QUERIES) == set(SQL)
 
 
+def test_all_of_them_are_registered():
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(SQL) <= set(driver.oracle_sql())
+
+
 def test_entry_gives_profiles(spark):
     assert driver.entry(spark).count() == 15
 
