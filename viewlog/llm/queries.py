@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from viewlog.llm import sharding
+from viewlog.llm import byte_bpe, fm_quality, language_id, license_rules, quality_rules, sharding
 
 _REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -29,6 +30,33 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.byte_shards(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm_quality.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_rules.license_scan(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.encode_digests(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+        public_tokenizers.PATTERN)
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predictions(_table(spark, sf_dir, "documents"))
