@@ -7,7 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from viewlog.llm import byte_bpe, fm_quality, language_id, license_rules, quality_rules, sharding
+import corpus_pipeline
+from viewlog.llm import (
+    byte_bpe,
+    fm_quality,
+    html_mincut,
+    language_id,
+    license_rules,
+    near_dup,
+    packing,
+    quality_rules,
+    sharding,
+    vector_dup,
+)
 
 _REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -30,6 +42,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
@@ -40,6 +57,11 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.byte_shards(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_mincut.extract_pages(_table(spark, sf_dir, "pages"))
+
+
 @query
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_quality.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -60,3 +82,18 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predictions(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
