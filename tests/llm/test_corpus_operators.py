@@ -129,13 +129,14 @@ def test_dedup_stage_keeps_one_row_of_a_group(spark):
 
 
 def vectors(spark, rows):
-    return spark.createDataFrame([(vec_id, vector, 0, 5) for vec_id, vector in rows],
+    plain = [(vec_id, vector and [x if x is None else float(x) for x in vector], 0, 5) for vec_id, vector in rows]
+    return spark.createDataFrame(plain,
                                  "vec_id bigint, embedding array<double>, label int, shard int")
 
 
 def plain_vectors(rows, cosine=0.95):
     usable = [(number, vec_id, vector) for number, (vec_id, vector) in enumerate(rows)
-              if vector and vec_id is not None and None not in vector and np.isfinite(vector).all() and any(vector)]
+              if vector and vec_id is not None and None not in vector and np.isfinite(np.array(vector, float)).all() and any(vector)]
     links = {number: 0 for number in range(len(rows))}
     pairs = []
     for (i, a, left), (j, b, right) in combinations(usable, 2):

@@ -38,7 +38,7 @@ TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)"
     r"|<(?P<odd_end>/?)(?P<odd>[a-zA-Z][^\s/>]*)[^>]*+(?:>|\Z)"
-    r"|<[!?/][^>]*+(?:>|\Z)", re.S)
+    r"|<[!?/][^>]*+(?:>|\Z)|<\Z", re.S)  # what is cut off is still markup
 ATTRIBUTE = re.compile(r"""([a-zA-Z][-\w:]*)\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""")
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 

@@ -2,8 +2,8 @@
 
 Pieces are placed from the longest to the shortest into the open bin they fit best. A piece that fits
 none opens the bin size that costs least for what is still to be placed. This is tried once for every
-largest size allowed, the cheapest outcome counts, and at last each bin is downsized to the cheapest
-size that holds its contents.
+run of permitted sizes, from a smallest to a largest one. Each bin is downsized to the cheapest size
+that holds its contents, and the cheapest outcome counts.
 
 Pieces are dealt to groups of bounded size by a hash, and each group is packed by one task; a group
 leaves at most a few bins unfilled, and those are downsized.
@@ -68,10 +68,10 @@ def best_fit(sizes: np.ndarray, costs: dict[int, float]) -> tuple[np.ndarray, np
     if len(sizes) and sizes[0] > permitted[-1]:
         raise ValueError("a piece is longer than every permitted size")
     best = None
-    for count in range(len(permitted), 0, -1):
-        allowed = permitted[:count]
+    runs = [permitted[low:high] for high in range(len(permitted), 0, -1) for low in range(high)]
+    for allowed in runs:
         if len(sizes) and allowed[-1] < sizes[0]:
-            break
+            continue
         place, contents = _filled(sizes, allowed, costs)
         final = [min((c for c in permitted if c >= words), key=lambda c: (costs[c], c)) for words in contents]
         total = sum(costs[capacity] for capacity in final)
