@@ -25,7 +25,7 @@ OVERHEAD = 64  # what a sequence costs besides its length
 GROUP_PIECES = 4096  # pieces packed together; the loss by splitting is below a bin in a hundred
 BIN_NUMBERS = 1 << 32  # bin numbers per group
 
-PACKED = ("doc_id bigint, piece int, first_word bigint, n_words bigint, bin_id bigint, capacity int, "
+PACKED = ("has_id boolean, doc_id bigint, piece int, first_word bigint, n_words bigint, bin_id bigint, capacity int, "
           "bin_offset bigint, bin_words bigint")
 
 
@@ -82,12 +82,13 @@ def best_fit(sizes: np.ndarray, costs: dict[int, float]) -> tuple[np.ndarray, np
 
 def _pack(group: pd.DataFrame, costs: dict[int, float]) -> pd.DataFrame:
     """One group of pieces with their bins; offsets follow the order of placing."""
-    group = group.sort_values(["n_words", "doc_id", "piece", "copy"], ascending=[False, True, True, True], kind="stable")
+    group = group.sort_values(
+        ["n_words", "has_id", "doc_id", "piece", "copy"], ascending=[False, True, True, True, True], kind="stable")
     sizes = group["n_words"].to_numpy(dtype=np.int64)
     place, capacities = best_fit(sizes, costs)
     placed = pd.Series(sizes).groupby(place)
     return pd.DataFrame({
-        "doc_id": group["doc_id"].array, "piece": group["piece"].array, "first_word": group["first_word"].array,
+        "has_id": group["has_id"].array, "doc_id": group["doc_id"].array, "piece": group["piece"].array, "first_word": group["first_word"].array,
         "n_words": sizes, "bin_id": group["shard"].to_numpy(dtype=np.int64) * BIN_NUMBERS + place,
         "capacity": capacities[place], "bin_offset": placed.cumsum().to_numpy() - sizes,
         "bin_words": placed.transform("sum").to_numpy(),
@@ -125,7 +126,10 @@ def pack(
         .withColumn("n_words", F.least(F.col("n_words") - F.col("first_word"), F.lit(largest).cast("bigint")))
         .withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "n_words", "copy"), F.lit(groups)))
         .select("shard", "doc_id", "piece", "copy", "first_word", "n_words"))
-    packed = pieces.where("n_words > 0").groupBy("shard").applyInPandas(lambda group: _pack(group, costs), PACKED)
+    # Whole numbers with gaps would become floating-point ones in pandas, so a NULL id travels as a flag.
+    flagged = pieces.withColumn("has_id", F.col("doc_id").isNotNull()).fillna(0, "doc_id")
+    packed = flagged.where("n_words > 0").groupBy("shard").applyInPandas(lambda group: _pack(group, costs), PACKED)
+    packed = packed.withColumn("doc_id", F.when(F.col("has_id"), F.col("doc_id"))).drop("has_id")
     nothing = [F.lit(None).cast(kind).alias(name) for name, kind in (
         ("bin_id", "bigint"), ("capacity", "int"), ("bin_offset", "bigint"), ("bin_words", "bigint"))]
     empty = pieces.where("n_words = 0").select("doc_id", "piece", "first_word", "n_words", *nothing)
