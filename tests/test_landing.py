@@ -4,6 +4,8 @@ import json
 
 import pytest
 from conftest import day, values
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 
 from viewlog.operators import rows
 from viewlog.plans import pipeline
@@ -74,10 +76,63 @@ def test_event_date_falls_back_to_name_then_run_date(spark, folder):
 
 def test_bad_lines_are_counted_and_dropped(spark, folder):
     raw = landing.read_file(spark, f"{folder}/20220402.json")
-    assert landing.bad_lines(raw).first()[0] == 1
+    assert landing.bad_lines(raw).first().asDict() == {"Lines": 2, "BadLines": 1, "BadDurations": 0}
     assert rows.staging_rows(raw).count() == 1
 
 
+def test_durations_of_any_form(spark, tmp_path):
+    (tmp_path / "20220401.json").write_text("".join(json.dumps(record(f"C{n}", seconds=value)) + "\n" for n, value in enumerate(
+        [12.5, "77", "8.9", 0, -3.9, None, "much", 1e3, True])))
+    report = pipeline.load_staging(spark, [f"{tmp_path}/20220401.json"], f"{tmp_path}/s")
+    assert report == {"Lines": 9, "BadLines": 0, "BadDurations": 2, "Skipped": []}
+    found = dict(values(files.read_staging(spark, f"{tmp_path}/s"), "Contract", "TotalDuration"))
+    assert [found[f"C{n}"] for n in range(9)] == [12, 77, 8, 0, -3, None, None, 1000, None]
+
+
+def test_broken_and_missing_files(spark, tmp_path):
+    import gzip
+
+    def zipped(name, *contracts):
+        data = gzip.compress("".join(json.dumps(record(c)) + "\n" for c in contracts).encode(), 1)
+        (tmp_path / name).write_bytes(data)
+        return data
+
+    zipped("20220401.json.gz", "C1")
+    half = zipped("20220402.json.gz", *[f"D{n * 7919 % 100003}" for n in range(5000)])
+    (tmp_path / "20220402.json.gz").write_bytes(half[:len(half) // 2])
+    good, broken, missing = (f"{tmp_path}/{name}" for name in ("20220401.json.gz", "20220402.json.gz", "20220403.json.gz"))
+    for paths in ([good, broken], [good, missing]):
+        with pytest.raises((PySparkException, Py4JJavaError)):
+            pipeline.load_staging(spark, paths, f"{tmp_path}/s")
+        assert files.read_staging(spark, f"{tmp_path}/s").count() == 0
+    with pytest.raises(PySparkException):
+        pipeline.load_staging(spark, [missing, good], f"{tmp_path}/s", skip_unreadable=True)
+    report = pipeline.load_staging(spark, [good, broken, missing], f"{tmp_path}/s", skip_unreadable=True)
+    assert report["Skipped"] == [broken, missing]
+    assert values(files.read_staging(spark, f"{tmp_path}/s"), "Contract", "EventDate") == [("C1", day("2022-04-01"))]
+
+
+def test_a_file_is_replaced_whatever_it_is_loaded_with(spark, folder, tmp_path):
+    root, a, b = str(tmp_path / "s"), f"{folder}/20220401.json", f"{folder}/20220404.json"
+    pipeline.load_staging(spark, [a], root)
+    pipeline.load_staging(spark, [a, b], root)
+    assert values(files.read_staging(spark, root), "Contract", "EventDate") == [
+        ("C1", day("2022-04-01")), ("C2", day("2022-03-31")), ("C3", day("2022-04-04"))]
+    (folder / "20220401.json").write_text("{broken\n")
+    pipeline.load_staging(spark, [a, b], root)
+    assert values(files.read_staging(spark, root), "Contract") == [("C3",)]
+
+
+def test_paths_of_a_range_and_of_a_folder(spark, folder):
+    names = [path.rsplit("/", 1)[1] for path in landing.paths_in_range(spark, str(folder), "20220401", "20220403")]
+    assert names == ["20220401.json", "20220402.json"]
+    assert landing.paths_in_range(spark, str(folder), "20230101", "20230102") == []
+    assert len(landing.paths_in_folder(spark, str(folder))) == 4
+    paths = landing.paths_in_range(spark, str(folder), "20220401", "20220404")
+    counts = pipeline.run_pipeline(spark, paths, f"{folder}/root")
+    assert counts["Lines"] == 5 and counts["BadLines"] == 1 and counts["dm_daily_summary"] == 4
+
+
 def test_load_staging_is_idempotent_per_file_list(spark, folder, tmp_path):
     root = str(tmp_path / "out" / "staging")
     paths = [f"{folder}/20220401.json", f"{folder}/20220402.json"]

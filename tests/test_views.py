@@ -11,7 +11,7 @@ def test_sql_over_the_views_equals_the_report(spark, tmp_path):
     root = str(tmp_path)
     files.append_staging(adapter.staging_from_events(spark, SF_DIR), pipeline.staging_folder(root), "all")
     pipeline.refresh(spark, root, None)
-    assert len(views.register_views(spark, root)) == 11
+    assert len(views.register_views(spark, root)) == 12
     by_sql = spark.sql("""
         SELECT DateValue AS time, TotalDuration_All / 3600.0D AS duration_hours FROM DM_DailySummary
         WHERE DateValue > DATE'2024-01-30' - INTERVAL 30 DAYS""")

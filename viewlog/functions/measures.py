@@ -17,6 +17,11 @@ def hours(seconds: Column | str) -> Column:
     return col(seconds) / F.lit(3600.0)
 
 
+def whole_seconds(text: Column | str) -> Column:
+    """Seconds from a number or its text; a fraction is cut off, what is no number becomes NULL."""
+    return col(text).try_cast("decimal(38,9)").try_cast("bigint")
+
+
 def or_zero(value: Column | str) -> Column:
     return F.coalesce(col(value), F.lit(0))
 

@@ -16,20 +16,22 @@ def as_date(day: date | str) -> date:
 
 
 def flatten(raw: DataFrame) -> DataFrame:
-    """The fields of ``_source`` as columns, plus ``DateValue`` when the reader added it."""
-    extra = ["DateValue"] if "DateValue" in raw.columns else []
-    return raw.select("_source.*", *extra)
+    """The fields of ``_source`` as columns, plus ``DateValue`` and ``SourceFile`` when the reader added them."""
+    extra = [name for name in ("DateValue", "SourceFile") if name in raw.columns]
+    return raw.select("_source.*", *extra).withColumn("TotalDuration", measures.whole_seconds("TotalDuration"))
 
 
 def staging_rows(raw: DataFrame, run_date: date | str | None = None) -> DataFrame:
     """Raw records as staging rows.
 
-    The event date is the record's own ``Date``, else the file-name date, else ``run_date``.
+    The event date is the record's own ``Date``, else the file-name date, else ``run_date``. Lines
+    that did not parse are left out; ``landing.line_counts`` counts them. ``SourceFile`` stays if it is there.
     """
     flat = flatten(raw.where(F.col("_source").isNotNull()))
     days = [calendar.parse_day(name) for name in ("Date", "DateValue") if name in flat.columns]
     days.append(F.lit(run_date).cast("date"))
-    return flat.select("Contract", "Mac", "AppName", "TotalDuration", F.coalesce(*days).alias("EventDate"))
+    source = ["SourceFile"] if "SourceFile" in flat.columns else []
+    return flat.select("Contract", "Mac", "AppName", "TotalDuration", F.coalesce(*days).alias("EventDate"), *source)
 
 
 def on_date(rows: DataFrame, day: date | str | None, column: str = "EventDate") -> DataFrame:

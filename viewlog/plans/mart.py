@@ -188,18 +188,15 @@ def load_mart(
     if process_date is not None:
         process_dates = [rows.as_date(process_date)]
     small = wh.SmallDims.build(spark)
-    history = warehouse.read(wh.SUMMARY)
-    summary = _on_keys(history, process_dates)
+    summary = _on_keys(warehouse.read(wh.SUMMARY), process_dates)
     facts = _on_keys(warehouse.read(wh.FACTS), process_dates)
 
     days = contract_summary_days(summary, small.date, warehouse.read(wh.CONTRACTS))
-    if process_dates is None or first_date_scope == "filtered":
+    if first_date_scope == "filtered":
         days = with_first_day(days, "ContractKey")
-    else:
-        # A first date lies on or before the loaded dates, so later partitions are not read.
-        until = F.lit(max(process_dates, default=date.min)).cast("date")
-        earlier = history.where(F.col("DateKey") <= calendar.date_key(until)).select("DateKey", "ContractKey")
-        days = days.join(first_days(with_calendar(earlier, small.date), "ContractKey"), "ContractKey")
+    else:  # first dates are stored, a row per contract; no other date is read
+        first = F.to_date(F.col("FirstDateKey").cast("string"), "yyyyMMdd").alias("FirstDate")
+        days = days.join(wh.first_dates(warehouse).select("ContractKey", first), "ContractKey")
 
     run = mart.begin()
     run.write(ANALYTICS, contract_analytics(days))
@@ -209,18 +206,16 @@ def load_mart(
     return run.counts
 
 
-def later_dates(warehouse: VersionedStore, days: DataFrame, touched: list[date]) -> list[date]:
-    """All dates of the contracts whose first date is among the touched ones.
+def moved_dates(warehouse: VersionedStore) -> list[date]:
+    """All dates of the contracts whose first date the newest load moved.
 
-    When a late file brings a contract an earlier first date, its activation changes on every later
-    date as well. At most one entry per calendar day comes back.
+    Their activation changes on every date. New contracts have no other dates, so they are not looked
+    up; at most one entry per calendar day comes back.
     """
-    if not touched:
-        return []
-    history = with_calendar(warehouse.read(wh.SUMMARY).select("DateKey", "ContractKey"), days)
-    started = rows.on_dates(first_days(history, "ContractKey"), touched, "FirstDate").select("ContractKey")
-    dates = history.join(started, "ContractKey", "left_semi").select("DateValue").distinct()
-    return [row.DateValue for row in dates.collect()]
+    changes = warehouse.read(wh.FIRST, with_run=True).where(F.col("run") == warehouse.last_run())
+    moved = changes.where(F.col("WasDateKey").isNotNull()).select("ContractKey")
+    dates = warehouse.read(wh.SUMMARY).join(moved, "ContractKey", "left_semi").select("DateKey").distinct()
+    return [date.fromisoformat(str(row.DateKey)) for row in dates.collect()]
 
 
 def _on_keys(facts: DataFrame, process_dates: list[date] | None) -> DataFrame:
@@ -231,13 +226,14 @@ def _on_keys(facts: DataFrame, process_dates: list[date] | None) -> DataFrame:
 
 
 def load_media_report(
-    spark: SparkSession, staging: DataFrame, store: VersionedStore, process_date: date | str | None = None
+    spark: SparkSession, staging: DataFrame, store: VersionedStore, process_date: date | str | None = None,
+    process_dates: list[date] | None = None,
 ) -> dict[str, int]:
     """Load the older mart, seconds and rows per date and application, straight from staging.
 
     Rows without a date are stored when all dates are loaded. Loading one date replaces that date only.
     """
-    dates = None if process_date is None else [rows.as_date(process_date)]
+    dates = process_dates if process_date is None else [rows.as_date(process_date)]
     run = store.begin()
     run.write(MEDIA, aggregates.media_report(rows.on_dates(staging, dates)))
     run.publish(replaces=dates)

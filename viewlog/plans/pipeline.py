@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from viewlog.operators import profile, rows
 from viewlog.operators.aggregates import table_counts
 from viewlog.plans import mart, quality, warehouse
-from viewlog.plans.dims import dim_date
 from viewlog.sinks import files
 from viewlog.sinks.versioned import VersionedStore
 from viewlog.sources import landing
@@ -34,11 +33,27 @@ def load_staging(
     paths: Sequence[str],
     staging_root: str,
     run_date: date | str | None = None,
-    load: str | None = None,
-) -> None:
-    """Landing files into staging. No files, or files without a usable record, raise ``ValueError``."""
-    shaped = rows.staging_rows(landing.read_files(spark, paths, skip_unreadable=True), run_date)
-    files.append_staging(shaped, staging_root, load or files.load_name(paths))
+    level: str = "file",
+    skip_unreadable: bool = False,
+) -> dict[str, object]:
+    """Landing files into staging; a file that staging holds already is replaced.
+
+    The event date is the record's own, else that of the file name (``level="folder"``: of the folder
+    name), else ``run_date``. A missing or broken file raises, or with ``skip_unreadable`` is left out
+    whole, unless it is the first. No files, or files without a usable record, raise ``ValueError``.
+    Returns the skipped paths and the number of lines, bad lines and bad durations.
+    """
+    skipped: list[str] = []
+    if skip_unreadable and paths:
+        paths, skipped = landing.readable(spark, paths)
+    raw = landing.read_files(spark, paths)
+    if rows.staging_rows(raw).isEmpty():
+        raise ValueError("nothing to load into staging")
+    seen = Observation()
+    counted = landing.with_source(raw, level).observe(seen, *landing.line_counts())
+    shaped = rows.staging_rows(counted, run_date)
+    files.append_staging(shaped, staging_root, "files", files=raw.inputFiles(), checked=True)
+    return seen.get | {"Skipped": skipped}
 
 
 def run_pipeline(
@@ -47,19 +62,29 @@ def run_pipeline(
     root: str,
     process_date: date | str | None = None,
     run_date: date | str | None = None,
-) -> dict[str, int]:
-    """Staging, warehouse and marts in turn; an error in one step stops the later ones."""
-    load_staging(spark, paths, staging_folder(root), run_date)
-    return refresh(spark, root, None if process_date is None else [rows.as_date(process_date)])
+    level: str = "file",
+    skip_unreadable: bool = False,
+) -> dict[str, object]:
+    """Staging, warehouse and marts in turn; an error in one step stops the later ones.
+
+    ``landing.paths_in_range`` and ``landing.paths_in_folder`` give the paths of a date range or a
+    folder. Returns the counts of every step.
+    """
+    loaded = load_staging(spark, paths, staging_folder(root), run_date, level, skip_unreadable)
+    return loaded | refresh(spark, root, None if process_date is None else [rows.as_date(process_date)])
 
 
 def refresh(spark: SparkSession, root: str, dates: list[date] | None) -> dict[str, int]:
-    """Rebuild warehouse and marts from staging for the given dates, None meaning all."""
+    """Rebuild warehouse, media report and marts from staging for the given dates, None meaning all.
+
+    Where a contract's first date moved, in either direction, its other dates follow in the marts.
+    """
     store, marts = stores(spark, root)
     staged = files.read_staging(spark, staging_folder(root))
     counts = warehouse.load_warehouse(spark, staged, store, process_dates=dates)
+    counts |= mart.load_media_report(spark, staged, media(spark, root), process_dates=dates)
     if dates is not None:
-        dates = sorted({*dates, *mart.later_dates(store, dim_date(spark), dates)})
+        dates = sorted({*dates, *mart.moved_dates(store)})
     return counts | mart.load_mart(spark, store, marts, process_dates=dates)
 
 
@@ -79,5 +104,9 @@ def staging_folder(root: str) -> str:
     return f"{root}/staging_raw"
 
 
+def media(spark: SparkSession, root: str) -> VersionedStore:
+    return mart.media_store(spark, f"{root}/media")
+
+
 def stores(spark: SparkSession, root: str) -> tuple[VersionedStore, VersionedStore]:
     return (warehouse.warehouse_store(spark, f"{root}/warehouse"), mart.mart_store(spark, f"{root}/mart"))

@@ -13,7 +13,7 @@ from viewlog.operators import rows
 
 Day = date | str
 
-# Short column tags the dashboard and the details table use for the categories.
+# Short column tags the dashboard and the details table use for the categories: fixed values.
 TAGS = {"TruyenHinh": "TH", "PhimTruyen": "PT", "GiaiTri": "GT", "ThieuNhi": "TN", "TheThao": "TT"}
 
 
@@ -82,8 +82,6 @@ def contract_leaderboard(analytics: DataFrame, as_of: Day, n: int = 10, days: in
 
     The two text columns are the largest values in binary order, as the dashboard defines them.
     """
-    if not 5 <= n <= 50:
-        raise ValueError("the leaderboard lists 5 to 50 contracts")
     grouped = rows.trailing(analytics, as_of, days).groupBy("ContractID").agg(
         F.sum("TotalDevices").alias("TotalDevices"),
         _sum_hours("Duration_Total").alias("TotalDuration_Hours"),

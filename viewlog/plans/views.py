@@ -20,6 +20,7 @@ MART_VIEWS = {
     "DM_DailySummary": mart.DAILY,
     "DM_ContentTypeTrend": mart.TREND,
 }
+MEDIA_VIEW = "Fact_MediaReport"
 
 
 def register_views(spark: SparkSession, root: str) -> list[str]:
@@ -33,6 +34,7 @@ def register_views(spark: SparkSession, root: str) -> list[str]:
         "DimContentType": small.content_type,
         **{view: store.read(table) for view, table in WAREHOUSE_VIEWS.items()},
         **{view: marts.read(table) for view, table in MART_VIEWS.items()},
+        MEDIA_VIEW: pipeline.media(spark, root).read(mart.MEDIA),
     }
     for name, frame in views.items():
         frame.createOrReplaceTempView(name)

@@ -12,18 +12,20 @@ from viewlog import schema
 from viewlog.functions import measures
 from viewlog.operators import aggregates, rows
 from viewlog.plans import dims
-from viewlog.sinks.versioned import Table, VersionedStore
+from viewlog.sinks.versioned import Run, Table, VersionedStore
 
 FACTS = "fact_viewing_session"
 SUMMARY = "fact_contract_summary"
 CONTRACTS = "dim_contract"
 DEVICES = "dim_device"
+FIRST = "contract_first_date"
 
 TABLES = (
     Table(CONTRACTS, schema.DIM_CONTRACT),
     Table(DEVICES, schema.DIM_DEVICE),
     Table(FACTS, schema.FACT_VIEWING_SESSION, dated_by="DateKey"),
     Table(SUMMARY, schema.FACT_CONTRACT_SUMMARY, dated_by="DateKey"),
+    Table(FIRST, schema.FIRST_DATE),
 )
 
 
@@ -88,6 +90,38 @@ def fact_contract_summary(facts: DataFrame, small: SmallDims) -> DataFrame:
         kind="Type", device="DeviceKey", prefix="TotalDuration", total="All")
 
 
+def first_dates(store: VersionedStore) -> DataFrame:
+    """The first date key of every contract that has one: ContractKey, FirstDateKey."""
+    return _newest_first(store.read(FIRST, with_run=True))
+
+
+def _newest_first(changes: DataFrame) -> DataFrame:
+    newest = changes.groupBy("ContractKey").agg(F.max_by("FirstDateKey", "run").alias("FirstDateKey"))
+    return newest.where(F.col("FirstDateKey").isNotNull())
+
+
+def first_date_changes(run: Run, dates: list[date] | None) -> DataFrame:
+    """Contracts whose first date this run changes, with the new one and the one before.
+
+    Loaded dates can bring a first date forward without a look at any other date. The history is read
+    for those contracts only whose first date was among the loaded ones and is gone from it.
+    """
+    loaded = run.read(SUMMARY).groupBy("ContractKey").agg(F.min("DateKey").alias("_loaded"))
+    before = _newest_first(run.before(FIRST, with_run=True)).withColumnRenamed("FirstDateKey", "WasDateKey")
+    both = loaded.join(before, "ContractKey", "full")
+    if dates is None:
+        moved = both.withColumn("FirstDateKey", F.col("_loaded"))
+    else:
+        keys = [int(f"{day:%Y%m%d}") for day in dates]
+        lost = F.col("WasDateKey").isin(keys) & ~F.coalesce(F.col("_loaded") <= F.col("WasDateKey"), F.lit(False))
+        gone = both.where(lost).select("ContractKey")
+        rest = run.before(SUMMARY).where(~F.col("DateKey").isin(keys)).join(gone, "ContractKey", "left_semi")
+        rest = rest.groupBy("ContractKey").agg(F.min("DateKey").alias("_rest"))
+        moved = both.join(rest, "ContractKey", "left").withColumn(
+            "FirstDateKey", F.when(lost, F.least("_loaded", "_rest")).otherwise(F.least("_loaded", "WasDateKey")))
+    return moved.where(~F.col("FirstDateKey").eqNullSafe(F.col("WasDateKey"))).select(*schema.FIRST_DATE.names)
+
+
 def load_warehouse(
     spark: SparkSession,
     staging: DataFrame,
@@ -118,5 +152,6 @@ def load_warehouse(
     devices = run.before(DEVICES).unionByName(run.read(DEVICES))
     run.write(FACTS, fact_viewing_session(grain, small, dims.pair_keys(owned, devices)))
     run.write(SUMMARY, fact_contract_summary(run.read(FACTS), small))
+    run.write(FIRST, first_date_changes(run, process_dates))
     run.publish(replaces=process_dates)
     return run.counts

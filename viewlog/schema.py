@@ -70,8 +70,9 @@ def columns(**kinds: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in kinds.items()])
 
 
+# Seconds are read as text: a number, quoted or with a fraction, would not fit a column of whole numbers.
 SOURCE = columns(Contract="string", Mac="string", AppName="string",
-                 TotalDuration="bigint", Date="string")
+                 TotalDuration="string", Date="string")
 RAW = T.StructType([T.StructField("_source", SOURCE)])
 
 STAGING = columns(Contract="string", Mac="string", AppName="string",
@@ -82,6 +83,9 @@ SESSION_GRAIN = columns(EventDate="date", Contract="string", Mac="string", AppNa
 
 OWNED_PAIRS = columns(Contract="string", Mac="string", ContractKey="bigint")
 
+# One row per change: the newest run of a contract says which date is its first; NULL: it has none left.
+FIRST_DATE = columns(ContractKey="bigint", FirstDateKey="int", WasDateKey="int")
+
 DIM_CONTRACT = columns(ContractKey="bigint", ContractID="string")
 DIM_DEVICE = columns(DeviceKey="bigint", MacAddress="string", ContractKey="bigint")
 

@@ -1,20 +1,30 @@
-"""CSV and JDBC outputs, and the staging table."""
+"""CSV and JDBC outputs, and the staging table.
+
+Staging remembers which file each row came from. A load writes a folder of its own, and one append to
+the manifest then makes it visible: the manifest says which load holds the current rows of a file, so
+a file that is loaded again replaces its earlier rows, whatever other files it is loaded with.
+"""
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from viewlog.schema import STAGING, columns
 
-from viewlog.schema import STAGING
+MANIFEST = T.StructType([T.StructField("seq", T.IntegerType()), *columns(load="string", file="string").fields])
+STORED = T.StructType([*STAGING.fields, *columns(load="string", file="string").fields])
 
 
 def write_csv(result: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False) -> None:
     """CSV with a header. ``single_file`` writes through one task: for small results only."""
-    out = result.coalesce(1) if single_file else result
+    out = result.repartition(1) if single_file else result  # only the finished rows meet in one task
     out.write.mode(mode).option("header", "true").csv(path)
 
 
@@ -23,39 +33,85 @@ def write_jdbc(result: DataFrame, url: str, table: str, mode: str = "overwrite",
     result.write.format("jdbc").options(url=url, dbtable=table, **options).mode(mode).save()
 
 
-def load_name(paths: Sequence[str]) -> str:
-    """A name for the load of these files: the same files give the same name."""
-    return hashlib.md5("\n".join(sorted(paths)).encode()).hexdigest()
+def _file_key(path: Column) -> Column:
+    """A short name for a file. Spark writes a path with one slash after the scheme, or with three."""
+    return F.md5(F.regexp_replace(path, "^([a-z][a-z0-9+.-]*):/+", "$1:/"))
 
 
-def append_staging(staging: DataFrame, root: str, load: str, mixed_dates: bool = False) -> None:
-    """Add rows to staging under a load name, partitioned by date within it.
+def append_staging(
+    staging: DataFrame, root: str, load: str, mixed_dates: bool = False, files: Sequence[str] | None = None,
+    checked: bool = False,
+) -> None:
+    """Add rows to staging, partitioned by file and date.
 
-    A second load under the same name replaces the first, so retrying one adds no rows twice.
-    An empty frame is refused before anything is written.
+    Rows come from the file in their ``SourceFile`` column, or, without that column, count as one
+    file named after the load. What staging held of these files before is replaced, once the new rows
+    are complete; a load that fails changes nothing, and a repeated one adds no rows twice. ``files``
+    names further files that were read but may have no usable row left. An empty frame is refused;
+    ``checked`` says that the caller has looked.
 
     Landing files hold one day each, so a task meets few dates and rows are written where they were
     read, without a shuffle. ``mixed_dates`` gathers the rows of a date first, for sources where
-    every task would otherwise write a small file for every date.
+    every task would otherwise write a small file for every date. One writer at a time is assumed.
     """
-    if staging.isEmpty():
+    if not checked and staging.isEmpty():
         raise ValueError("nothing to load into staging")
-    shaped = staging.select(*STAGING.names)
+    spark = staging.sparkSession
+    name = F.col("SourceFile") if "SourceFile" in staging.columns else F.lit(load)
+    shaped = staging.withColumn("file", _file_key(name)).select(*STAGING.names, "file")
     if mixed_dates:
         shaped = shaped.hint("rebalance", F.col("EventDate"))
-    shaped.write.mode("overwrite").partitionBy("EventDate").parquet(f"{root}/load={load}")
+    folder = f"{load}-{uuid.uuid4().hex}"
+    path = f"{root}/load={folder}"
+    shaped.write.partitionBy("file", "EventDate").parquet(path)
+    held = spark.read.schema(STORED).parquet(path).select("file").distinct()
+    if files:
+        named = spark.createDataFrame([(one,) for one in files], "name string")
+        held = held.union(named.select(_file_key(F.col("name")))).distinct()
+    last = _manifest(spark, root).agg(F.max("seq").alias("seq")).first()["seq"] or 0
+    rows = held.select(F.lit(last + 1).cast("int").alias("seq"), F.lit(folder).alias("load"), "file")
+    rows.repartition(1).write.mode("append").parquet(f"{root}/_files")
+
+
+def _manifest(spark: SparkSession, root: str) -> DataFrame:
+    """Which load brought which file; a row per file and load."""
+    try:
+        return spark.read.schema(MANIFEST).parquet(f"{root}/_files")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], MANIFEST)
+        raise
+
+
+def _current(spark: SparkSession, root: str) -> DataFrame:
+    """Stored rows of the newest load of every file. The join on both partition columns prunes folders."""
+    newest = _manifest(spark, root).groupBy("file").agg(F.max_by("load", "seq").alias("load"))
+    return spark.read.schema(STORED).parquet(root).join(newest, ["load", "file"])
 
 
 def read_staging(spark: SparkSession, root: str) -> DataFrame:
-    """Staging rows of all loads; date filters prune partitions."""
+    """The current staging rows of all files; date filters prune partitions."""
     try:
-        return spark.read.schema(STAGING).parquet(root).select(*STAGING.names)
+        return _current(spark, root).select(*STAGING.names)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], STAGING)
         raise
 
 
+def dates_held(spark: SparkSession, root: str, files: DataFrame) -> list[date]:
+    """The dates that staging holds of files, given by their paths in ``SourceFile``: one per calendar day at most."""
+    try:
+        rows = _current(spark, root).select("file", "EventDate").distinct()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+    known = files.select(_file_key(F.col("SourceFile")).alias("file")).distinct()
+    found = rows.join(known, "file", "left_semi").select("EventDate").distinct().where("EventDate is not null")
+    return [row["EventDate"] for row in found.collect()]
+
+
 def append_staging_jdbc(staging: DataFrame, url: str, table: str, **options: str) -> None:
     """Append staging rows to a database table; an empty frame is refused."""
     if staging.isEmpty():

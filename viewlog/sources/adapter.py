@@ -44,10 +44,13 @@ def staging_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
-def write_landing(staging: DataFrame, folder: str) -> str:
-    """Write staging rows back out as landing JSON, one sub-folder of files per day."""
+def write_landing(staging: DataFrame, folder: str, dated: bool = True) -> str:
+    """Write staging rows back out as landing JSON, one sub-folder of files per day.
+
+    Records carry their date, unless ``dated`` says that the folder name alone has it.
+    """
     day = F.date_format("EventDate", "yyyyMMdd")
-    source = F.struct("Contract", "Mac", "AppName", "TotalDuration", day.alias("Date"))
+    source = F.struct("Contract", "Mac", "AppName", "TotalDuration", *([day.alias("Date")] if dated else []))
     rows = staging.select(source.alias("_source"), day.alias("day"))
     rows.hint("rebalance", F.col("day")).write.partitionBy("day").json(folder)
     return folder

@@ -10,11 +10,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewlog.functions.calendar import day_from_name
+from viewlog.functions.measures import whole_seconds
 from viewlog.schema import RAW
 
 
@@ -23,13 +25,29 @@ def read_file(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW).json(path)
 
 
-def read_files(spark: SparkSession, paths: Sequence[str], skip_unreadable: bool = False) -> DataFrame:
-    """Many landing files as one scan; ``skip_unreadable`` passes over corrupt or vanished ones."""
+def read_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Many landing files as one scan. A file that is missing or cannot be read to its end raises."""
     if not paths:
         raise ValueError("no landing file to read")
-    flag = str(skip_unreadable).lower()
-    reader = spark.read.schema(RAW).option("ignoreCorruptFiles", flag).option("ignoreMissingFiles", flag)
-    return reader.json(list(paths))
+    return spark.read.schema(RAW).json(list(paths))
+
+
+def readable(spark: SparkSession, paths: Sequence[str]) -> tuple[list[str], list[str]]:
+    """The paths that can be read to their end, and those that cannot.
+
+    A file is taken whole or not at all. Each path is read once for this, so it is for the caller
+    who would rather load without a broken file than not at all. The first path has to be readable.
+    """
+    good, bad = [], []
+    for path in paths:
+        try:
+            spark.read.text(path).agg(F.sum(F.length("value"))).collect()
+            good.append(path)
+        except (PySparkException, Py4JJavaError):  # not found, or broken on the way
+            if not good:
+                raise
+            bad.append(path)
+    return good, bad
 
 
 def read_folder(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
@@ -43,6 +61,16 @@ def read_folder(spark: SparkSession, folder: str, recursive: bool = False) -> Da
         raise
 
 
+def paths_in_folder(spark: SparkSession, folder: str, recursive: bool = False) -> list[str]:
+    """The files ``read_folder`` reads, in order."""
+    return sorted(read_folder(spark, folder, recursive).inputFiles())
+
+
+def paths_in_range(spark: SparkSession, folder: str, start: str, end: str) -> list[str]:
+    """The files ``read_date_range`` reads, in order; none for a range without any."""
+    return sorted(read_date_range(spark, folder, start, end).inputFiles())
+
+
 def read_date_range(spark: SparkSession, folder: str, start: str, end: str) -> DataFrame:
     """Files named after the days ``start``..``end`` (``yyyyMMdd``, inclusive).
 
@@ -67,21 +95,40 @@ def days_between(start: str, end: str) -> list[str]:
     return [f"{first + timedelta(n):%Y%m%d}" for n in range((last - first).days + 1)]
 
 
-def with_name_date(raw: DataFrame, level: str = "file") -> DataFrame:
-    """Add ``DateValue``, the ``yyyyMMdd`` in the file name; rows of undated files are left out.
+def with_name_date(raw: DataFrame, level: str = "file", undated: str = "drop") -> DataFrame:
+    """Add ``DateValue``, the ``yyyyMMdd`` in the file name.
 
     ``level="folder"`` takes it from the enclosing folder, the layout Spark writes daily files in.
+    Rows of undated files are left out, or with ``undated="keep"`` have an empty value.
     """
     if level not in ("file", "folder"):
         raise ValueError(f"level must be 'file' or 'folder', not {level!r}")
+    if undated not in ("drop", "keep"):
+        raise ValueError(f"undated must be 'drop' or 'keep', not {undated!r}")
     name = (
         F.col("_metadata.file_name")
         if level == "file"
         else F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
     )
-    return raw.withColumn("DateValue", day_from_name(name)).where(F.col("DateValue") != "")
+    dated = raw.withColumn("DateValue", day_from_name(name))
+    return dated if undated == "keep" else dated.where(F.col("DateValue") != "")
+
+
+def with_source(raw: DataFrame, level: str = "file") -> DataFrame:
+    """Add what a load keeps about a row's file: ``SourceFile``, its path, and ``DateValue``."""
+    return with_name_date(raw.withColumn("SourceFile", F.col("_metadata.file_path")), level, undated="keep")
+
+
+def line_counts() -> list[Column]:
+    """Lines, lines that did not parse into a record, and durations that are no number."""
+    seconds = F.col("_source.TotalDuration")
+    return [
+        F.count(F.lit(1)).alias("Lines"),
+        F.count_if(F.col("_source").isNull()).alias("BadLines"),
+        F.count_if(seconds.isNotNull() & whole_seconds(seconds).isNull()).alias("BadDurations"),
+    ]
 
 
 def bad_lines(raw: DataFrame) -> DataFrame:
-    """Number of lines that did not parse into a record."""
-    return raw.agg(F.count_if(F.col("_source").isNull()).alias("BadLines"))
+    """``line_counts`` of raw lines as one row."""
+    return raw.agg(*line_counts())

@@ -1,8 +1,9 @@
 """Structured Streaming jobs: file ingest, refresh of touched dates, running daily totals.
 
 Each runs through what has arrived and stops (``availableNow``), so a nightly schedule can start it;
-the checkpoint folder remembers which files are done. Every batch writes below its own batch number
-and overwrites that on a retry, which makes a repeated batch harmless.
+the checkpoint folder remembers which files are done. Staging knows which files it holds, so a batch
+that is repeated, or files that are read again under a new checkpoint, replace their rows, and several
+streams can feed one staging folder.
 """
 
 from __future__ import annotations
@@ -21,11 +22,11 @@ from viewlog.sources import landing
 
 
 def new_files(spark: SparkSession, folder: str, level: str = "file", per_batch: int | None = None) -> DataFrame:
-    """Stream of raw records from landing files, with the date of their name."""
+    """Stream of raw records from landing files, with the path and the date of their name."""
     reader = spark.readStream.schema(RAW).option("recursiveFileLookup", "true")
     if per_batch:
         reader = reader.option("maxFilesPerTrigger", per_batch)
-    return landing.with_name_date(reader.json(folder, pathGlobFilter="*.json"), level)
+    return landing.with_source(reader.json(folder, pathGlobFilter="*.json"), level)
 
 
 def _run(stream: DataFrame, per_batch, checkpoint: str, mode: str = "append") -> None:
@@ -48,11 +49,14 @@ def ingest_new_files(
     level: str = "file",
     per_batch: int | None = None,
 ) -> None:
-    """Append the landing files that arrived since the last run to staging, each exactly once."""
+    """Bring the landing files that arrived since the last run into staging, each exactly once.
+
+    Dates are found as in ``pipeline.load_staging``; records without any date are kept with none.
+    """
 
     def append(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
-            files.append_staging(batch, staging_root, f"stream-{number}")
+            files.append_staging(batch, staging_root, "stream", checked=True)
 
     stream = rows.staging_rows(new_files(spark, folder, level, per_batch), run_date)
     _run(stream, append, checkpoint)
@@ -69,32 +73,36 @@ def ingest_and_refresh(
 ) -> None:
     """Ingest new files and rebuild warehouse and marts for the dates they touch.
 
-    A date is rebuilt from all of its staging rows, so a late file simply touches its date again.
+    A date is rebuilt from all of its staging rows, so a late file simply touches its date again, and
+    a file that is read again touches the dates it had before as well.
     """
 
     def append_and_refresh(batch: DataFrame, number: int) -> None:
         if batch.isEmpty():
             return
-        files.append_staging(batch, pipeline.staging_folder(root), f"stream-{number}")
+        staging = pipeline.staging_folder(root)
+        before = files.dates_held(spark, staging, batch)
+        files.append_staging(batch, staging, "stream", checked=True)
         # At most one value per calendar day; dates outside the calendar reach no table.
         touched = rows.between(batch, CALENDAR_START, CALENDAR_END, "EventDate").select("EventDate").distinct()
-        pipeline.refresh(spark, root, [row.EventDate for row in touched.collect()])
+        pipeline.refresh(spark, root, sorted({row.EventDate for row in touched.collect()} | set(before)))
 
     stream = rows.staging_rows(new_files(spark, folder, level, per_batch), run_date)
     _run(stream, append_and_refresh, checkpoint)
 
 
-def daily_totals(logs: DataFrame, late: str = "31 days") -> DataFrame:
+def daily_totals(logs: DataFrame, late: str | None = None) -> DataFrame:
     """Running seconds, sessions and estimated contracts per event date and category.
 
-    Event time is the UTC midnight of the event date, whatever the session's time zone. Rows more
-    than ``late`` behind the newest date are left out, and finished days leave the state.
+    Days may come in any order. The state is a row per calendar day and category, so it is bounded
+    without a watermark; rows outside the calendar, or without a date, are left out. With ``late``,
+    event time is the UTC midnight of the event date, rows further behind the newest date are left
+    out as well, and finished days leave the state.
     """
     midnight = F.timestamp_seconds(F.unix_date("EventDate") * 86400)
+    dated = rows.with_category(rows.between(logs, CALENDAR_START, CALENDAR_END, "EventDate")).withColumn("day", midnight)
     return (
-        rows.with_category(logs)
-        .withColumn("day", midnight)
-        .withWatermark("day", late)
+        (dated.withWatermark("day", late) if late else dated)
         .groupBy("day", "Type")
         .agg(
             F.sum(measures.or_zero("TotalDuration")).alias("TotalDuration"),
@@ -110,7 +118,7 @@ def write_daily_totals(totals: DataFrame, path: str, checkpoint: str) -> None:
     """Store the days each batch changed; a batch has at most one row per day and category."""
 
     def store(batch: DataFrame, number: int) -> None:
-        batch.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        batch.repartition(1).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     _run(totals, store, checkpoint, mode="update")
 
