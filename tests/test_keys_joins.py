@@ -50,24 +50,40 @@ def dimension(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("limit", [1, 1000])
-def test_lookup_equals_a_plain_join(skewed, dimension, how, limit):
-    heavy = joins.heavy_keys(skewed, "key", limit)
+@pytest.mark.parametrize("target", [1, 20, 500, 1_000_000])
+def test_lookup_equals_a_plain_join(skewed, dimension, how, target):
+    heavy = joins.heavy_keys(skewed, "key", target)
     got = joins.lookup(skewed, dimension, "key", "name", heavy, spread=["n"], how=how)
     wanted = skewed.join(dimension.withColumnRenamed("name", "key"), "key", how)
     assert values(got, "key", "n", "dim_key") == values(wanted, "key", "n", "dim_key")
 
 
-def test_heavy_keys_are_the_most_frequent_and_bounded(skewed):
-    assert values(joins.heavy_keys(skewed, "key", 1)) == [("hot", True)]
-    assert joins.heavy_keys(skewed, "key", 5).count() == 5
+def test_heavy_keys_have_more_rows_than_the_target(skewed):
+    assert values(joins.heavy_keys(skewed, "key", 300)) == [("hot", 4)]
+    assert joins.heavy_keys(skewed, "key").count() == 0
+    assert joins.heavy_keys(skewed, "key", 1, limit=5).count() <= 5
+
+
+def test_no_task_gets_more_than_its_share(spark):
+    """A third of the rows under one key, and 2,000 more keys that are all above the target."""
+    key = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 2000)
+    rows = spark.range(120_000).select(key.alias("key"), F.col("id").alias("n"))
+    target = 20
+    heavy = joins.heavy_keys(rows, "key", target)
+    assert heavy.count() == 2001
+    slots = F.coalesce(F.col("_slots"), F.lit(1))
+    dealt = rows.join(heavy, "key", "left").groupBy("key", F.pmod(F.xxhash64("n"), slots).alias("slot")).count()
+    assert dealt.agg(F.max("count")).first()[0] <= 3 * target
+    names = spark.createDataFrame([(-1, 0), *[(n, n) for n in range(2000)]], "name long, dim_key long")
+    joined = joins.lookup(rows, names, "key", "name", heavy, spread=["n"])
+    assert joined.count() == 120_000
 
 
 def test_a_heavy_key_is_spread_over_many_slots(spark, skewed, dimension):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        heavy = joins.heavy_keys(skewed, "key", 1)
+        heavy = joins.heavy_keys(skewed, "key", 100)
         joined = joins.lookup(skewed, dimension, "key", "name", heavy, spread=["n"])
         tasks = joined.where("key = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
         assert tasks > 1

@@ -78,7 +78,11 @@ def test_violations_are_found(spark, small, tables):
     twice = contracts.unionByName(contracts)
     assert values(quality.duplicates(twice, "ContractID", "c")) == [("c", 2)]
     lost = spark.createDataFrame([(1,), (5,), (5,), (6,)], "ContractKey long")
-    assert values(quality.orphans(lost, "ContractKey", contracts, "f")) == [("f", 3)]
+    assert values(quality.orphans(lost, "f", {}, {"ContractKey": contracts})) == [("f.ContractKey", 3)]
+    wide = spark.createDataFrame([(1, 1), (5, 1), (None, 9), (1, 1)], "ContractKey long, AppKey int")
+    apps = spark.createDataFrame([(1,)], "AppKey int")
+    assert values(quality.orphans(wide, "w", {"AppKey": apps}, {"ContractKey": contracts})) == [
+        ("w.AppKey", 1), ("w.ContractKey", 2)]
     holes = spark.createDataFrame([(1, None), (None, None)], "a int, b int")
     assert values(quality.missing_values(holes, "t", "a", "b")) == [("t.a", 1), ("t.b", 2)]
 
@@ -91,4 +95,4 @@ def test_a_clean_load_has_no_violations(logs, small, spark):
     daily = spark.createDataFrame([(day("2024-01-01"),)], "DateValue date")
     checks = quality.unique_checks(small, contracts, devices, daily)
     assert {violations for _, violations in values(checks)} == {0}
-    assert values(quality.orphans(devices, "ContractKey", contracts, "d")) == [("d", 0)]
+    assert values(quality.orphans(devices, "d", {}, {"ContractKey": contracts})) == [("d.ContractKey", 0)]

@@ -9,17 +9,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HEAVY_KEYS = 1000  # at most this many keys are spread, which bounds what is broadcast
-FAN_OUT = 32  # tasks a heavy key is spread over
+TARGET_ROWS = 1_000_000  # rows of one key that a task takes without being split
+MAX_HEAVY = 10_000  # bounds the heavy keys, and so what is broadcast, by raising the target
 
 
-def heavy_keys(rows: DataFrame, key: str, limit: int = HEAVY_KEYS) -> DataFrame:
-    """The most frequent values of ``key``: at most ``limit`` rows, whatever the input size.
+def heavy_keys(
+    rows: DataFrame, key: str, target: int = TARGET_ROWS, limit: int = MAX_HEAVY
+) -> DataFrame:
+    """Values of ``key`` with more than ``target`` rows, and the tasks each is to be spread over.
 
-    Any key holding more than 1/limit of the rows is among them.
+    Keys above a target are at most all rows / target; where that could exceed ``limit``, the target is
+    raised to all rows / limit. So any key that would burden a task is among them, however many there
+    are, and its slots hold the target on average.
     """
     counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
-    return counts.orderBy(F.desc("_rows"), key).limit(limit).select(key, F.lit(True).alias("_heavy"))
+    target = max(target, -(-rows.count() // limit))
+    heavy = counts.where(F.col("_rows") > target).select(
+        key, F.ceil(F.col("_rows") / target).cast("int").alias("_slots"))
+    # At most ``limit`` rows; as literal rows they are counted once, however often a plan uses them.
+    return rows.sparkSession.createDataFrame(heavy.collect(), heavy.schema)
 
 
 def lookup(
@@ -30,7 +38,6 @@ def lookup(
     heavy: DataFrame,
     spread: list[str],
     how: str = "inner",
-    fan_out: int = FAN_OUT,
 ) -> DataFrame:
     """Join ``rows`` to a large dimension, splitting the heavy keys.
 
@@ -43,19 +50,15 @@ def lookup(
         raise ValueError(f"lookup joins are inner or left, not {how!r}")
     if how == "inner":
         rows = rows.where(F.col(key).isNotNull())
-    slot = F.pmod(F.xxhash64(*spread), F.lit(fan_out)).cast("int")
-    scattered = F.coalesce(F.col("_heavy"), F.col(key).isNull())
-    left = (
-        rows.join(F.broadcast(heavy), key, "left")
-        .withColumn("_slot", F.when(scattered, slot).otherwise(0))
-        .drop("_heavy")
-    )
-    every_slot = F.sequence(F.lit(0), F.lit(fan_out - 1))
+    # A row without a key matches nothing, so it may take any slot.
+    slots = F.coalesce(F.col("_slots"), F.when(F.col(key).isNull(), F.lit(MAX_HEAVY)).otherwise(1))
+    slot = F.pmod(F.xxhash64(*spread), slots).cast("int")
+    left = rows.join(F.broadcast(heavy), key, "left").withColumn("_slot", slot).drop("_slots")
     right = (
         dimension.withColumnRenamed(dimension_key, key)
         .join(F.broadcast(heavy), key, "left")
-        .withColumn("_slot", F.explode(F.when(F.col("_heavy"), every_slot).otherwise(F.array(F.lit(0)))))
-        .drop("_heavy")
+        .withColumn("_slot", F.explode(F.sequence(F.lit(0), F.coalesce("_slots", F.lit(1)) - 1)))
+        .drop("_slots")
     )
     return left.join(right, [key, "_slot"], how).drop("_slot")
 

@@ -89,7 +89,10 @@ def _with_small_dims(grain: DataFrame, small: SmallDims) -> DataFrame:
 def _pair_matches(
     grain: DataFrame, matched: DataFrame, contracts: DataFrame, devices: DataFrame
 ) -> DataFrame:
-    """Session counts per pair with contract and device key, NULL where there is no match."""
+    """Session counts per pair with contract and device key, NULL where there is no match.
+
+    Pairs are what is joined. A key has no more pairs than sessions, so one that is light there is light here.
+    """
     pairs = joins.lookup(
         _pair_counts(matched), contracts.select("ContractKey", "ContractID"), "Contract", "ContractID",
         joins.heavy_keys(grain, "Contract"), spread=["Mac"], how="left")
@@ -178,11 +181,30 @@ def duplicates(table: DataFrame, key: str, name: str) -> DataFrame:
     return repeated.agg(F.lit(name).alias("CheckName"), F.count("*").alias("Violations"))
 
 
-def orphans(table: DataFrame, key: str, dimension: DataFrame, name: str) -> DataFrame:
-    """Number of rows whose key the dimension lacks; rows are counted per key before the join."""
-    counts = table.groupBy(key).agg(F.count("*").alias("_n"))
-    lost = joins.not_in(counts, dimension, key, key)
-    return lost.agg(F.lit(name).alias("CheckName"), F.coalesce(F.sum("_n"), F.lit(0)).alias("Violations"))
+def _flagged(table: DataFrame, key: str, dimension: DataFrame) -> DataFrame:
+    """The table with ``lost_<key>``: whether the dimension lacks the row's key."""
+    known = dimension.select(key, F.lit(True).alias("_known"))
+    return table.join(known, key, "left").withColumn(f"lost_{key}", F.col("_known").isNull()).drop("_known")
+
+
+def orphans(table: DataFrame, name: str, small: dict[str, DataFrame], large: dict[str, DataFrame]) -> DataFrame:
+    """Number of rows per key column whose key a dimension lacks, from one pass over the table.
+
+    The fixed dimensions are matched where the rows lie. Rows are then counted by their large keys,
+    and only those counts meet the large dimensions.
+    """
+    for key, dimension in small.items():
+        table = _flagged(table, key, F.broadcast(dimension))
+    counts = table.groupBy(*large).agg(
+        F.count("*").alias("_n"), *[F.count_if(f"lost_{key}").alias(f"{name}.{key}") for key in small])
+    for key, dimension in large.items():
+        counts = _flagged(counts, key, dimension)
+    names = [f"{name}.{key}" for key in (*small, *large)]
+    wide = counts.agg(
+        *[F.sum(f"`{name}.{key}`").alias(f"{name}.{key}") for key in small],
+        *[F.sum(F.when(F.col(f"lost_{key}"), F.col("_n")).otherwise(0)).alias(f"{name}.{key}") for key in large])
+    found = wide.unpivot([], [F.col(f"`{column}`") for column in names], "CheckName", "Violations")
+    return found.withColumn("Violations", F.coalesce("Violations", F.lit(0)))
 
 
 def missing_values(table: DataFrame, name: str, *columns: str) -> DataFrame:
@@ -205,17 +227,14 @@ def unique_checks(small: SmallDims, contracts: DataFrame, devices: DataFrame, da
 def foreign_key_checks(
     facts: DataFrame, summary: DataFrame, small: SmallDims, contracts: DataFrame, devices: DataFrame
 ) -> DataFrame:
-    checks = (
-        orphans(devices, "ContractKey", contracts, "dim_device.ContractKey"),
-        orphans(facts, "DateKey", small.date, "fact_viewing_session.DateKey"),
-        orphans(facts, "ContractKey", contracts, "fact_viewing_session.ContractKey"),
-        orphans(facts, "DeviceKey", devices, "fact_viewing_session.DeviceKey"),
-        orphans(facts, "AppKey", small.app, "fact_viewing_session.AppKey"),
-        orphans(facts, "ContentTypeKey", small.content_type, "fact_viewing_session.ContentTypeKey"),
-        orphans(summary, "DateKey", small.date, "fact_contract_summary.DateKey"),
-        orphans(summary, "ContractKey", contracts, "fact_contract_summary.ContractKey"),
+    return rows.union_by_name(
+        orphans(devices, "dim_device", {}, {"ContractKey": contracts}),
+        orphans(
+            facts, "fact_viewing_session",
+            {"DateKey": small.date, "AppKey": small.app, "ContentTypeKey": small.content_type},
+            {"ContractKey": contracts, "DeviceKey": devices}),
+        orphans(summary, "fact_contract_summary", {"DateKey": small.date}, {"ContractKey": contracts}),
     )
-    return rows.union_by_name(*checks)
 
 
 def not_null_checks(facts: DataFrame, analytics: DataFrame) -> DataFrame:
