@@ -13,6 +13,7 @@ from viewlog.plans import dims, mart, pipeline
 from viewlog.plans import warehouse as wh
 from viewlog.session import scratch_path
 from viewlog.sinks import files
+from viewlog.sinks.versioned import VersionedStore
 from viewlog.sources import adapter
 
 AS_OF = "2024-01-30"  # last date of the adapter
@@ -23,6 +24,8 @@ ONE_CONTRACT = "C00007"
 ORDERS_AS_OF = "2028-12-31"
 ORDERS_DAYS = 3650  # reaches back before the first order line
 
+_published: dict[tuple[str, str], str] = {}
+
 
 @dataclass
 class Frames:
@@ -106,19 +109,39 @@ class Frames:
     def keyed_trend(self) -> DataFrame:
         return mart.content_type_trend(mart.trend_rows(self.facts, self.small))
 
-    # The same marts straight from the logs, for the reports
+    # The published marts, which the reports read: loaded once per session and data folder
+
+    @cached_property
+    def marts(self) -> VersionedStore:
+        key = self.spark.sparkContext.applicationId, self.sf_dir
+        if key not in _published:
+            root = scratch_path(self.spark, "published")
+            stores = pipeline.stores(self.spark, root)
+            wh.load_warehouse(self.spark, self.staging, stores[0])
+            mart.load_mart(self.spark, *stores)
+            _published[key] = root
+        return pipeline.stores(self.spark, _published[key])[1]
 
     @cached_property
     def analytics(self) -> DataFrame:
-        days = mart.days_from_logs(self.staging)
-        return mart.contract_analytics(mart.with_first_day(days, "ContractID"))
+        return self.marts.read(mart.ANALYTICS)
 
     @cached_property
     def daily(self) -> DataFrame:
-        return mart.daily_summary(mart.days_from_logs(self.staging))
+        return self.marts.read(mart.DAILY)
 
     @cached_property
     def trend(self) -> DataFrame:
+        return self.marts.read(mart.TREND)
+
+    # The same marts straight from the logs, without stored tables
+
+    @cached_property
+    def daily_from_logs(self) -> DataFrame:
+        return mart.daily_summary(mart.days_from_logs(self.staging))
+
+    @cached_property
+    def trend_from_logs(self) -> DataFrame:
         return mart.content_type_trend(mart.trend_from_logs(self.staging), "Contract")
 
     # Increments: dimensions loaded from the first dates, then extended by the rest
@@ -165,6 +188,12 @@ class Frames:
         days = self.staging.select(F.date_format("EventDate", "yyyyMMdd").alias("day")).distinct().orderBy("day")
         return [f"{self.landing}/day={row.day}" for row in days.collect()]
 
+    @cached_property
+    def undated_landing(self) -> list[str]:
+        """Daily sub-folders of landing JSON whose records have no date of their own."""
+        folder = adapter.write_landing(self.staging, scratch_path(self.spark, "undated"), dated=False)
+        return [path.replace(self.landing, folder) for path in self.landing_paths]
+
     def stage(self) -> DataFrame:
         """Staging written and read back."""
         root = scratch_path(self.spark, "staging")

@@ -203,6 +203,9 @@ def _sum_hours(column: str, name: str) -> str:
 _TAGS = {"TruyenHinh": "TH", "PhimTruyen": "PT", "GiaiTri": "GT", "ThieuNhi": "TN", "TheThao": "TT"}
 _IN_RANGE = f"DateValue BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'"
 _DAY = f"DATE '{ONE_DAY}'"
+_MEDIA = """
+SELECT EventDate AS ReportDate, AppName, CAST(SUM(TotalDuration) AS BIGINT) AS TotalDuration,
+  count(*) AS TotalAccess FROM staging GROUP BY EventDate, AppName"""
 
 
 def _distribution(where: str) -> str:
@@ -372,9 +375,7 @@ SELECT EventDate, Contract, count(DISTINCT Mac) AS TotalDevices,
     "distinct_contracts": "SELECT DISTINCT Contract AS ContractID FROM staging ORDER BY 1",
     "daily_summary_agg": "SELECT * FROM daily",
     "content_trend_agg": "SELECT * FROM trend",
-    "media_report": """
-SELECT EventDate AS ReportDate, AppName, CAST(SUM(TotalDuration) AS BIGINT) AS TotalDuration,
-  count(*) AS TotalAccess FROM staging GROUP BY EventDate, AppName""",
+    "media_report": _MEDIA,
     "global_agg": """
 SELECT CAST(coalesce(SUM(TotalDuration), 0) AS BIGINT) AS TotalDuration, min(EventDate) AS MinDate,
   max(EventDate) AS MaxDate, count(*) AS RowsCount, count(TotalDuration) AS DurationsCount,
@@ -416,7 +417,6 @@ GROUP BY ContractID ORDER BY duration_hours DESC, ContractID LIMIT 50""",
     "head_of_top": f"""
 SELECT ContractID, TotalDuration_Hours FROM ({_LEADERBOARD} LIMIT 50)
 ORDER BY TotalDuration_Hours DESC, ContractID LIMIT 10""",
-    "top_app_counts": _TOP_APPS,
     "order_by_date": "SELECT * FROM trend ORDER BY DateValue, ContentType",
     "union_by_name": f"""
 SELECT Contract, Mac, CASE WHEN EventDate < DATE '{LOADED_BEFORE}' THEN NULL ELSE AppName END AS AppName,
@@ -484,9 +484,7 @@ FROM (SELECT DISTINCT Mac AS MacAddress FROM staging WHERE Mac IS NOT NULL)""",
     "mart_contract_analytics": "SELECT * FROM analytics",
     "mart_daily_summary": "SELECT * FROM daily",
     "mart_content_trend": "SELECT * FROM trend",
-    "mart_media_report": """
-SELECT EventDate AS ReportDate, AppName, CAST(SUM(TotalDuration) AS BIGINT) AS TotalDuration,
-  count(*) AS TotalAccess FROM staging GROUP BY EventDate, AppName""",
+    "mart_media_report": _MEDIA,
     "load_mart": "SELECT * FROM analytics",
     "mart_clear": """
 SELECT 'dm_contract_analytics' AS TableName, count(*) AS RowsBefore, CAST(0 AS BIGINT) AS RowsAfter FROM analytics
@@ -495,6 +493,17 @@ UNION ALL SELECT 'dm_content_type_trend', count(*), 0 FROM trend""",
     "contract_profile": f"""
 SELECT *, {_BEST_VI[0]} AS MostWatchContentType, CAST({_BEST_VI[1]} AS BIGINT) AS MostWatchDuration,
   {_span('ActivationDays')} AS ActivationLevel FROM ({_PROFILE_VI})""",
+    "load_warehouse_summary": "SELECT * FROM daily",
+    "load_warehouse_members": """
+SELECT 'contract' AS Kind, ContractID AS Member FROM dim_contract
+UNION ALL SELECT 'device', MacAddress FROM dim_device""",
+    "load_mart_daily": "SELECT * FROM daily",
+    "load_mart_trend": "SELECT * FROM trend",
+    "refresh_late_and_corrected": "SELECT * FROM analytics",
+    "run_pipeline_range": f"SELECT * FROM daily WHERE {_IN_RANGE}",
+    "run_pipeline_media": _MEDIA,
+    "load_staging_undated": "SELECT * FROM staging",
+    "load_staging_overlap": "SELECT * FROM staging",
     "run_pipeline": "SELECT * FROM daily",
     "load_staging": "SELECT * FROM staging",
     "run_with_checks": """
@@ -627,6 +636,7 @@ _ORDER_QUERIES = {
     "contract_profile_orders": f"""
 SELECT *, {_BEST_EN[0]} AS MostWatchContentType, CAST({_BEST_EN[1]} AS BIGINT) AS MostWatchDuration,
   {_span('ActivationDays')} AS ActivationLevel FROM ({_PROFILE_EN})""",
+    "top_app_counts": _TOP_APPS,
     "media_report_orders": _QUERIES["media_report"],
     "mart_daily_summary_orders": _QUERIES["mart_daily_summary"],
     "contract_leaderboard_orders": _LEADERBOARD.replace(

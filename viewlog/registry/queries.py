@@ -95,10 +95,12 @@ def not_null_keys(f: Frames) -> DataFrame:
 
 @query
 def trailing_days(f: Frames) -> DataFrame:
+    # Days are counted once; the windows then overlap on a row per day.
+    per_day = f.written("per-day", rows.trailing(f.staging, AS_OF, 30, "EventDate").groupBy("EventDate").agg(
+        F.count("*").alias("RowsCount"), F.sum("TotalDuration").alias("TotalDuration")))
     windows = [
-        rows.trailing(f.staging, AS_OF, n, "EventDate", boundary)
-        .groupBy(F.lit(n).alias("Days"), F.lit(int(boundary)).alias("WithBoundary"), "EventDate")
-        .agg(F.count("*").alias("RowsCount"), F.sum("TotalDuration").alias("TotalDuration"))
+        rows.trailing(per_day, AS_OF, n, "EventDate", boundary).select(
+            F.lit(n).alias("Days"), F.lit(int(boundary)).alias("WithBoundary"), "EventDate", "RowsCount", "TotalDuration")
         for n in (1, 7, 30)
         for boundary in (True, False)
     ]
@@ -332,7 +334,7 @@ def head_of_top(f: Frames) -> DataFrame:
 
 @query
 def top_app_counts(f: Frames) -> DataFrame:
-    return quality.top_apps(f.staging, f.small)
+    return quality.top_apps(f.order_log, f.small)
 
 
 @query
@@ -493,6 +495,30 @@ def load_warehouse(f: Frames) -> DataFrame:
     return store.read(wh.FACTS)
 
 
+def _loaded_table(f: Frames, name: str) -> DataFrame:
+    """A warehouse table after a load of the first dates and one of all dates."""
+    store = wh.warehouse_store(f.spark, scratch_path(f.spark, "warehouse"))
+    wh.load_warehouse(f.spark, f.staging, store, ONE_DAY)
+    wh.load_warehouse(f.spark, f.staging, store)
+    return store.read(name)
+
+
+@query
+def load_warehouse_summary(f: Frames) -> DataFrame:
+    loaded = _loaded_table(f, wh.SUMMARY)
+    return mart.daily_summary(mart.with_calendar(loaded, f.small.date))
+
+
+@query
+def load_warehouse_members(f: Frames) -> DataFrame:
+    """Contracts and devices after two loads; keys depend on the order of loads, members do not."""
+    store = wh.warehouse_store(f.spark, scratch_path(f.spark, "warehouse"))
+    wh.load_warehouse(f.spark, f.staging, store, ONE_DAY)
+    wh.load_warehouse(f.spark, f.staging, store)
+    contracts = store.read(wh.CONTRACTS).select(F.lit("contract").alias("Kind"), F.col("ContractID").alias("Member"))
+    return contracts.unionByName(store.read(wh.DEVICES).select(F.lit("device").alias("Kind"), F.col("MacAddress").alias("Member")))
+
+
 @query
 def fact_contract_summary(f: Frames) -> DataFrame:
     return f.summary
@@ -508,12 +534,12 @@ def mart_contract_analytics(f: Frames) -> DataFrame:
 
 @query
 def mart_daily_summary(f: Frames) -> DataFrame:
-    return f.daily
+    return f.daily_from_logs
 
 
 @query
 def mart_content_trend(f: Frames) -> DataFrame:
-    return f.trend
+    return f.trend_from_logs
 
 
 @query
@@ -531,6 +557,37 @@ def load_mart(f: Frames) -> DataFrame:
     return marts.read(mart.ANALYTICS)
 
 
+@query
+def load_mart_daily(f: Frames) -> DataFrame:
+    warehouse, marts = f.loaded()
+    mart.load_mart(f.spark, warehouse, marts, ONE_DAY)
+    return marts.read(mart.DAILY)
+
+
+@query
+def load_mart_trend(f: Frames) -> DataFrame:
+    warehouse, marts = f.loaded()
+    mart.load_mart(f.spark, warehouse, marts, ONE_DAY)
+    return marts.read(mart.TREND)
+
+
+@query
+def refresh_late_and_corrected(f: Frames) -> DataFrame:
+    """A load without the first days, one with a day that is later corrected, and the late days."""
+    root = scratch_path(f.spark, "refreshed")
+    staging, (store, marts) = pipeline.staging_folder(root), pipeline.stores(f.spark, root)
+    late = F.col("EventDate") < F.lit(RANGE[0]).cast("date")
+    wrong = f.staging.withColumn("EventDate", F.lit(RANGE[0]).cast("date")).limit(500)
+    files.append_staging(f.staging.where(~late), staging, "main", mixed_dates=True)
+    files.append_staging(wrong, staging, "corrected")
+    pipeline.refresh(f.spark, root, None)
+    files.append_staging(f.staging.where(late), staging, "late", mixed_dates=True)
+    files.append_staging(f.staging.limit(0), staging, "corrected", files=["corrected"], checked=True)
+    days = f.staging.where(late).select("EventDate").distinct().collect()
+    pipeline.refresh(f.spark, root, sorted({row.EventDate for row in days} | {rows.as_date(RANGE[0])}))
+    return marts.read(mart.ANALYTICS)
+
+
 @query
 def mart_clear(f: Frames) -> DataFrame:
     _, marts = f.loaded()
@@ -551,6 +608,39 @@ def run_pipeline(f: Frames) -> DataFrame:
     return pipeline.stores(f.spark, root)[1].read(mart.DAILY)
 
 
+@query
+def run_pipeline_range(f: Frames) -> DataFrame:
+    """The landing files of a date range, from the names of their folders to the daily mart."""
+    root = scratch_path(f.spark, "range")
+    first, last = (day.replace("-", "") for day in RANGE)
+    chosen = [path for path in f.undated_landing if first <= path[-8:] <= last]
+    pipeline.run_pipeline(f.spark, chosen, root, level="folder")
+    return pipeline.stores(f.spark, root)[1].read(mart.DAILY)
+
+
+@query
+def run_pipeline_media(f: Frames) -> DataFrame:
+    root = scratch_path(f.spark, "pipeline")
+    pipeline.run_pipeline(f.spark, f.landing_paths, root)
+    return pipeline.media(f.spark, root).read(mart.MEDIA)
+
+
+@query
+def load_staging_undated(f: Frames) -> DataFrame:
+    root = scratch_path(f.spark, "staging")
+    pipeline.load_staging(f.spark, f.undated_landing, root, level="folder")
+    return files.read_staging(f.spark, root)
+
+
+@query
+def load_staging_overlap(f: Frames) -> DataFrame:
+    """Some files, then all of them: every row is there once."""
+    root = scratch_path(f.spark, "staging")
+    pipeline.load_staging(f.spark, f.landing_paths[:3], root)
+    pipeline.load_staging(f.spark, f.landing_paths, root)
+    return files.read_staging(f.spark, root)
+
+
 @query
 def load_staging(f: Frames) -> DataFrame:
     root = scratch_path(f.spark, "staging")
@@ -776,6 +866,7 @@ def incremental_ingest(f: Frames) -> DataFrame:
 @query
 def live_daily_totals(f: Frames) -> DataFrame:
     root = scratch_path(f.spark, "live")
-    stream = f.spark.readStream.schema(f.events.schema).parquet(f.sf_dir, pathGlobFilter="events.parquet")
+    # A stream wants a folder or a pattern; this pattern fits the table alone, be it a file or a folder of files.
+    stream = f.spark.readStream.schema(f.events.schema).parquet(f"{f.sf_dir}/events.parque[t]")
     jobs.write_daily_totals(jobs.daily_totals(adapter.log_from_events(stream)), f"{root}/totals", f"{root}/checkpoint")
     return jobs.read_daily_totals(f.spark, f"{root}/totals").drop("ApproxContracts")
