@@ -43,7 +43,9 @@ def named_facts(store):
 
 def test_facts_of_hand_rows(spark, staged, store):
     counts = wh.load_warehouse(spark, staged(*LOGS), store)
-    assert counts == {wh.CONTRACTS: 4, wh.DEVICES: 4, wh.FACTS: 4, wh.SUMMARY: 3}
+    assert counts == {
+        wh.CONTRACTS: 4, wh.DEVICES: 4, wh.FACTS: 4, wh.SUMMARY: 3, wh.FIRST: 3,
+        "TurnedAwayDate": 1, "TurnedAwayApp": 2, "TurnedAwayContract": 1, "TurnedAwayDevice": 1}
     assert values(named_facts(store)) == sorted([
         (20240101, "C1", "M1", 5, 2, 150, 2), (20240101, "C1", "M2", 1, 1, 0, 1),
         (20240101, "C2", "M1", 14, 5, 30, 1), (20240102, "C4", "M5", 13, 4, 41, 1)])
@@ -175,3 +177,16 @@ def test_load_dates_as_date_or_text(spark, staged, store):
     assert store.read(wh.FACTS).count() == 3
     with pytest.raises(ValueError):
         wh.load_warehouse(spark, staged(*LOGS), store, process_date="01/02/2024")
+
+
+def test_a_longer_calendar_and_what_is_turned_away(spark, staged, tmp_path):
+    logs = staged(
+        ("C1", "M1", "VOD", 10, "2024-01-01"), ("C1", "M1", "VOD", 10, "2031-05-05"), ("C1", None, "VOD", 10, "2024-01-01"),
+        ("C1", "M1", "NOPE", 10, "2024-01-01"), (None, "M1", "VOD", 10, "2024-01-01"), ("C1", "M1", "VOD", 10, None))
+    counts = wh.load_warehouse(spark, logs, wh.warehouse_store(spark, str(tmp_path / "a")))
+    assert {name: count for name, count in counts.items() if name.startswith("TurnedAway")} == {
+        "TurnedAwayDate": 2, "TurnedAwayApp": 1, "TurnedAwayContract": 1, "TurnedAwayDevice": 1}
+    store = wh.warehouse_store(spark, str(tmp_path / "b"))
+    counts = wh.load_warehouse(spark, logs, store, calendar=("2020-01-01", "2035-12-31"))
+    assert counts["TurnedAwayDate"] == 1 and counts[wh.FACTS] == 2
+    assert 20310505 in {row.DateKey for row in store.read(wh.FACTS).collect()}

@@ -176,6 +176,7 @@ def load_mart(
     process_date: date | str | None = None,
     first_date_scope: str = "history",
     process_dates: list[date] | None = None,
+    calendar_range: tuple[str, str] = schema.CALENDAR,
 ) -> dict[str, int]:
     """Load the three marts from the star schema, for all dates or the given ones.
 
@@ -187,7 +188,7 @@ def load_mart(
         raise ValueError(f"first_date_scope must be 'history' or 'filtered', not {first_date_scope!r}")
     if process_date is not None:
         process_dates = [rows.as_date(process_date)]
-    small = wh.SmallDims.build(spark)
+    small = wh.SmallDims.build(spark, calendar=calendar_range)
     summary = _on_keys(warehouse.read(wh.SUMMARY), process_dates)
     facts = _on_keys(warehouse.read(wh.FACTS), process_dates)
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from viewlog.operators import profile, rows
 from viewlog.operators.aggregates import table_counts
 from viewlog.plans import mart, quality, warehouse
+from viewlog.schema import CALENDAR
 from viewlog.sinks import files
 from viewlog.sinks.versioned import VersionedStore
 from viewlog.sources import landing
@@ -64,6 +65,7 @@ def run_pipeline(
     run_date: date | str | None = None,
     level: str = "file",
     skip_unreadable: bool = False,
+    calendar: tuple[str, str] = CALENDAR,
 ) -> dict[str, object]:
     """Staging, warehouse and marts in turn; an error in one step stops the later ones.
 
@@ -71,21 +73,23 @@ def run_pipeline(
     folder. Returns the counts of every step.
     """
     loaded = load_staging(spark, paths, staging_folder(root), run_date, level, skip_unreadable)
-    return loaded | refresh(spark, root, None if process_date is None else [rows.as_date(process_date)])
+    return loaded | refresh(spark, root, None if process_date is None else [rows.as_date(process_date)], calendar)
 
 
-def refresh(spark: SparkSession, root: str, dates: list[date] | None) -> dict[str, int]:
+def refresh(
+    spark: SparkSession, root: str, dates: list[date] | None, calendar: tuple[str, str] = CALENDAR
+) -> dict[str, int]:
     """Rebuild warehouse, media report and marts from staging for the given dates, None meaning all.
 
     Where a contract's first date moved, in either direction, its other dates follow in the marts.
     """
     store, marts = stores(spark, root)
     staged = files.read_staging(spark, staging_folder(root))
-    counts = warehouse.load_warehouse(spark, staged, store, process_dates=dates)
+    counts = warehouse.load_warehouse(spark, staged, store, process_dates=dates, calendar=calendar)
     counts |= mart.load_media_report(spark, staged, media(spark, root), process_dates=dates)
     if dates is not None:
         dates = sorted({*dates, *mart.moved_dates(store)})
-    return counts | mart.load_mart(spark, store, marts, process_dates=dates)
+    return counts | mart.load_mart(spark, store, marts, process_dates=dates, calendar_range=calendar)
 
 
 def run_with_checks(

@@ -42,8 +42,10 @@ class SmallDims:
     content_type: DataFrame
 
     @classmethod
-    def build(cls, spark: SparkSession, unknown: str = "drop") -> SmallDims:
-        return cls(dims.dim_date(spark), dims.dim_app(spark, unknown), dims.dim_content_type(spark))
+    def build(
+        cls, spark: SparkSession, unknown: str = "drop", calendar: tuple[str, str] = schema.CALENDAR
+    ) -> SmallDims:
+        return cls(dims.dim_date(spark, *calendar), dims.dim_app(spark, unknown), dims.dim_content_type(spark))
 
 
 def join_small_dims(logs: DataFrame, small: SmallDims) -> DataFrame:
@@ -79,6 +81,16 @@ def fact_viewing_session(grain: DataFrame, small: SmallDims, pairs: DataFrame) -
     )
 
 
+def turned_away(grain: DataFrame, small: SmallDims) -> dict[str, int]:
+    """Sessions that do not reach the facts, by the dimension that lacks their value, from one pass."""
+    known_days = small.date.select(F.col("DateValue").alias("EventDate"), F.lit(True).alias("_day"))
+    known_apps = small.app.select("AppName", F.lit(True).alias("_app"))
+    rows = grain.join(F.broadcast(known_days), "EventDate", "left").join(F.broadcast(known_apps), "AppName", "left")
+    missing = {"Date": F.col("_day"), "App": F.col("_app"), "Contract": F.col("Contract"), "Device": F.col("Mac")}
+    sums = [F.sum(F.when(value.isNull(), F.col("SessionCount"))).alias(name) for name, value in missing.items()]
+    return {f"TurnedAway{name}": count or 0 for name, count in rows.agg(*sums).first().asDict().items()}
+
+
 def fact_contract_summary(facts: DataFrame, small: SmallDims) -> DataFrame:
     """Devices and seconds per category of every contract and day.
 
@@ -129,14 +141,16 @@ def load_warehouse(
     process_date: date | str | None = None,
     unknown: str = "drop",
     process_dates: list[date] | None = None,
+    calendar: tuple[str, str] = schema.CALENDAR,
 ) -> dict[str, int]:
     """Load the star schema from staging, for all dates or the given ones.
 
     Dimensions only gain members; facts and summaries of the loaded dates are replaced, so loading
     a date again changes nothing. Everything is written under a new run number and becomes visible
-    in one step at the end. Returns the rows written per table.
+    in one step at the end. ``calendar`` gives the first and last day of the date dimension. Returns
+    the rows written per table, and the sessions that each dimension turned away.
     """
-    small = SmallDims.build(spark, unknown)
+    small = SmallDims.build(spark, unknown, calendar)
     if process_date is not None:
         process_dates = [rows.as_date(process_date)]
     logs = rows.on_dates(staging, process_dates)
@@ -154,4 +168,4 @@ def load_warehouse(
     run.write(SUMMARY, fact_contract_summary(run.read(FACTS), small))
     run.write(FIRST, first_date_changes(run, process_dates))
     run.publish(replaces=process_dates)
-    return run.counts
+    return run.counts | turned_away(grain, small)

@@ -37,6 +37,7 @@ OTHER_APP = "(other)"
 
 CALENDAR_START = "2020-01-01"
 CALENDAR_END = "2030-12-31"
+CALENDAR = (CALENDAR_START, CALENDAR_END)  # what loads use unless told otherwise
 
 # Exclusive upper limits of the two lower activation levels, and the level names.
 SPAN_LIMITS = (10, 20)
