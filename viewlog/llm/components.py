@@ -1,35 +1,19 @@
-"""Connected components of a list of links, by alternating large-star and small-star steps.
+"""Connected components of a list of links, by passing on the smallest label.
 
-Every step is a grouped minimum and a join, both over links only. The number of rounds grows with the
-logarithm of the longest path. No neighbourhood is ever gathered, so a node with very many links is
-a skewed join at worst, which adaptive execution splits.
+Every node starts as its own label. In each round a node takes the smallest label among its
+neighbours, and the label of its label, which doubles the distance that labels travel. A round is
+one job of joins and a grouped minimum over links; no neighbourhood is ever gathered, so a node with
+very many links is a skewed join at worst, which adaptive execution splits.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from viewlog.llm.tables import stored
 
-MAX_ROUNDS = 60  # far beyond the logarithm of any path
-
-
-def _large_star(links: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node is linked to the least of the node and its neighbours."""
-    both = links.select(F.col("high").alias("node"), F.col("low").alias("other")).unionByName(
-        links.select(F.col("low").alias("node"), F.col("high").alias("other")))
-    least = stored(both.groupBy("node").agg(F.least("node", F.min("other")).alias("least")), "least")
-    return both.where(F.col("other") > F.col("node")).join(least, "node").select(
-        F.col("other").alias("high"), F.col("least").alias("low"))
-
-
-def _small_star(links: DataFrame) -> DataFrame:
-    """Every smaller neighbour of a node, and the node, are linked to the least of them."""
-    least = stored(links.groupBy("high").agg(F.min("low").alias("least")), "least")
-    moved = links.join(least, "high").where(F.col("low") != F.col("least")).select(
-        F.col("low").alias("high"), F.col("least").alias("low"))
-    return moved.unionByName(least.select("high", F.col("least").alias("low")))
+MAX_ROUNDS = 200  # a path needs about the logarithm of its length
 
 
 def components(links: DataFrame, left: str, right: str) -> DataFrame:
@@ -38,17 +22,27 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
     ``links`` holds pairs of whole numbers; loops, NULLs, repeated and reversed pairs do no harm.
     Nodes without a link to another are not returned. No links give no rows.
     """
-    proper = links.where(F.col(left) != F.col(right))  # neither loops nor NULLs
-    pairs = stored(proper.select(F.greatest(left, right).alias("high"), F.least(left, right).alias("low")).distinct(), "links")
-    before = None
+    proper = links.where(F.col(left) != F.col(right)).select(  # neither loops nor NULLs
+        F.col(left).alias("source"), F.col(right).alias("node"))
+    both = proper.unionByName(proper.select(F.col("node").alias("source"), F.col("source").alias("node")))
+    both = stored(both.distinct(), "links")
+    first = both.groupBy("node").agg(F.least("node", F.min("source")).alias("component"))
+    labels, before = _counted(first, "component")
     for _ in range(MAX_ROUNDS):
-        grown = stored(_large_star(pairs).distinct(), "large-star")
-        pairs = stored(_small_star(grown).distinct(), "small-star")
-        now = pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("high", "low"))).first()
+        up = labels.select(F.col("node").alias("component"), F.col("component").alias("up"))
+        jumped = labels.join(up, "component").select("node", F.col("up").alias("component"))
+        heard = both.join(jumped.withColumnRenamed("node", "source"), "source").select("node", "component")
+        labels, now = _counted(
+            heard.unionByName(jumped).groupBy("node").agg(F.min("component").alias("component")), "component")
         if now == before:
-            break
+            return labels
         before = now
-    else:
-        raise RuntimeError("components did not settle")
-    roots = pairs.select(F.col("low").alias("node"), F.col("low").alias("component")).distinct()
-    return stored(pairs.select(F.col("high").alias("node"), F.col("low").alias("component")).unionByName(roots), "components")
+    raise RuntimeError("components did not settle")
+
+
+def _counted(labels: DataFrame, name: str) -> tuple[DataFrame, object]:
+    """The labels, stored, and a checksum taken while they were written."""
+    seen = Observation()
+    checksum = F.bit_xor(F.xxhash64("node", "component")).alias("checksum")
+    labels = stored(labels.observe(seen, checksum), name)
+    return labels, seen.get["checksum"]

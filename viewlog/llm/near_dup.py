@@ -6,19 +6,21 @@ probability of their Jaccard similarity. Bands of four values are looked up as k
 share a key are candidates, and a link is confirmed on the full sets of shingles.
 
 Equal word sequences are merged first and stand for one node. Within a bucket of candidates, links are
-first sought to one centre. What remains are buckets that hold several components: there every
-document outside the largest component is compared with all the others, so no link that would join
-two components is missed, while a bucket of thousands of copies costs one comparison each.
+first sought to one centre. What remains are buckets that hold several components. Their documents
+are searched exactly: two sets that are similar enough share one of their rarest shingles, at places
+that leave room for the rest. So no link that would join two components is missed, while a family of
+thousands that are not quite similar enough is told apart without a comparison of all its pairs.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +33,7 @@ PERMUTATIONS = 64
 BAND = 4  # values per band: 32 bands; at 0.75 a pair shares none with probability 5e-6
 SEED = 20240229
 ROWS = 2048  # shingles hashed at once
+SIZE_STEP = 1.1  # ratio of neighbouring size classes
 
 _CONSTANTS = np.random.default_rng(SEED)
 MULTIPLIERS = _CONSTANTS.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -134,27 +137,77 @@ def _labelled(rows: DataFrame, labels: DataFrame, node: str, name: str) -> DataF
     return rows.join(own, node, "left").withColumn(name, F.coalesce(name, node))
 
 
-def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs whose ends are in different components."""
-    both = _labelled(_labelled(pairs, labels, "left", "_left"), labels, "right", "_right")
-    return both.where(F.col("_left") != F.col("_right")).select("left", "right")
+def _mixed_nodes(banded: DataFrame, labels: DataFrame) -> DataFrame:
+    """Documents of buckets that hold several components: node, component, outside.
 
-
-def _remaining_pairs(banded: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of a bucket in different components, one end outside the bucket's largest component."""
-    rows = stored(_labelled(banded, labels, "node", "component"), "banded")
+    ``outside`` says that in some bucket the document is not in the largest component. Of two
+    documents in one bucket and different components, at least one is.
+    """
+    rows = stored(_labelled(banded, labels, "node", "component"), "banded-components")
     sizes = rows.groupBy("band", "component").agg(F.count("*").alias("size"))
     largest = sizes.groupBy("band").agg(
         F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("kinds")).where("kinds > 1")
     largest = stored(largest.select("band", F.col("top.component").alias("largest")), "mixed-buckets")
-    mixed = stored(rows.join(largest, "band"), "mixed-rows")
-    few = mixed.where(F.col("component") != F.col("largest")).select(
-        "band", F.col("node").alias("left"), F.col("component").alias("_left"))
-    every = mixed.select("band", F.col("node").alias("right"), F.col("component").alias("_right"), "largest")
-    # Two documents outside the largest component would meet twice; the smaller id goes left.
-    once = (F.col("_right") == F.col("largest")) | (F.col("left") < F.col("right"))
-    found = few.join(every, "band").where((F.col("_left") != F.col("_right")) & once)
-    return found.select(F.least("left", "right").alias("left"), F.greatest("left", "right").alias("right")).distinct()
+    return stored(rows.join(largest, "band").groupBy("node").agg(
+        F.min("component").alias("component"), F.max(F.col("component") != F.col("largest")).alias("outside")), "mixed-nodes")
+
+
+def _tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The shingles of each text as numbers. ``part`` tells the texts of one id apart."""
+    for batch in batches:
+        own = [_shingle_hashes(words_of(text)) for text in batch["text"]]
+        yield pd.DataFrame({
+            "node": batch["node"], "component": batch["component"], "outside": batch["outside"],
+            "part": [xxhash.xxh3_64_intdigest(text) >> 1 for text in batch["text"]],
+            "size": [len(tokens) for tokens in own], "tokens": [tokens.view(np.int64) for tokens in own]})
+
+
+TOKENS = "node bigint, component bigint, outside boolean, part bigint, size bigint, tokens array<bigint>"
+
+
+def _prefixes(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """The rarest quarter of each document's shingles, with their place from 0.
+
+    Sorted by how many of these documents have a shingle, two sets that are similar enough must share
+    one in the first quarter of both. Shingles of one document only come first and match nothing, so
+    only their number matters.
+    """
+    whole = nodes.join(texts.withColumnRenamed("doc_id", "node"), "node")
+    rows = whole.select("node", "component", "outside", "text").mapInPandas(_tokens, TOKENS)
+    rows = stored(rows.withColumn("token", F.explode("tokens")).drop("tokens"), "tokens")
+    shared = stored(rows.groupBy("token").agg(F.count("*").alias("documents")).where("documents > 1"), "shared-tokens")
+    own = Window.partitionBy("node", "part")
+    place = F.col("size") - F.count("*").over(own) + F.row_number().over(own.orderBy("documents", "token")) - 1
+    return stored(rows.join(shared, "token").withColumn("place", place).where(4 * F.col("place") <= F.col("size")), "prefixes")
+
+
+def _size_class(size: Column) -> Column:
+    return F.floor(F.log(size) / F.lit(math.log(SIZE_STEP))).cast("int")
+
+
+def _remaining_pairs(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs in different components that could be links by their prefixes, one end ``outside``.
+
+    Two sets of a and b shingles are similar enough if they share at least 3 (a + b) / 7. If the first
+    they share is at places i and j, they share at most a - i and b - j. So a shingle at place i can
+    only matter towards sets of at most 7 (a - i) / 3 - a; matching by classes of size as well as by
+    shingle leaves out all pairs beyond that, also where a shingle is in very many documents.
+    """
+    prefixes = _prefixes(nodes, texts)
+    a, i = F.col("size"), F.col("place")
+    most = F.least(F.floor(7 * (a - i) / 3) - a, F.floor(4 * a / 3))
+    least = F.ceil(3 * a / 4)
+    classes = F.sequence(_size_class(least), _size_class(F.greatest(most, least)))
+    few = prefixes.where(F.col("outside") & (most >= least)).select(
+        "token", F.explode(classes).alias("class"), F.col("node").alias("left"), F.col("component").alias("_left"),
+        a.alias("a"), i.alias("i"))
+    every = prefixes.select(
+        "token", _size_class(a).alias("class"), F.col("node").alias("right"), F.col("component").alias("_right"),
+        a.alias("b"), i.alias("j"), F.col("outside").alias("_both"))
+    once = ~F.col("_both") | (F.col("left") < F.col("right"))
+    enough = 7 * F.least(F.col("a") - F.col("i"), F.col("b") - F.col("j")) >= 3 * (F.col("a") + F.col("b"))
+    found = few.join(every, ["token", "class"]).where((F.col("_left") != F.col("_right")) & once & enough)
+    return stored(found.select("left", "right").distinct(), "remaining-pairs")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -192,14 +245,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.col("left") < F.col("last")).select("doc_id", "left"), "several-texts")
     same_id = members.join(several, "doc_id").select("left", F.col("node").alias("right")).where("left != right").distinct()
 
-    # First one centre per document, then the centres of other components, then what remains.
-    first = pairs.groupBy("right").agg(F.min("left").alias("left")).select("left", "right")
-    links = _verified(first, texts).unionByName(same_id)
-    labels = components(links, "left", "right")
-    links = links.unionByName(_verified(_across(pairs, labels), texts))
-    labels = components(links, "left", "right")
-    links = links.unionByName(_verified(_across(_remaining_pairs(banded.select("band", "node"), labels), labels), texts))
+    links = _verified(pairs, texts).unionByName(same_id)
     labels = components(links, "left", "right")
+    late = _verified(_remaining_pairs(_mixed_nodes(banded.select("band", "node"), labels), texts), texts)
+    if not late.isEmpty():
+        labels = components(links.unionByName(late), "left", "right")
 
     linked = _labelled(members.select("doc_id", "n_shingles", "node"), labels, "node", "component_id")
     alone = signed.where(F.col("doc_id").isNull() | F.col("digest").isNull()).select(
