@@ -77,8 +77,8 @@ def test_statistics_of_the_test_data(spark):
 def cloud(spark, rows):
     """Rows of whole-unit statistics in one group."""
     return spark.createDataFrame(
-        [("=en", "=a", *map(int, row)) for row in rows],
-        ["cell_lang", "cell_source", *quality_rules.STATISTICS])
+        [("=en", "=a", number % 2, *map(int, row)) for number, row in enumerate(rows)],
+        ["cell_lang", "cell_source", "slot", *quality_rules.STATISTICS])
 
 
 def test_estimate_ignores_a_fifth_of_outliers(spark):
@@ -324,7 +324,7 @@ def plain_detections(text):
     whole = " " + " ".join(words) + " "
     found = []
     for rule in license_rules.rules():
-        if rule["keyword"] in whole:
+        if any(keyword in whole for keyword in rule["keywords"]):
             for match in re.finditer(rule["pattern"], whole):
                 start = whole[:match.start()].count(" ") - 1
                 found.append((start, start + match[0].count(" ") + 1, rule["priority"], rule["label"]))
@@ -349,6 +349,7 @@ def test_rules_are_many_and_gated():
     for rule in rules:
         assert 1 <= rule["priority"] <= license_rules.LEVELS
         re.compile(rule["pattern"])
+        assert all(len(keyword) >= 4 for keyword in rule["keywords"])
 
 
 # --- Byte-level BPE -------------------------------------------------------------------------------

@@ -1,7 +1,7 @@
 """License scans by ordered signature rules.
 
-A rule is a regular expression over the words of a text, a keyword that must be present before the
-expression is tried, a label and a priority. All matches of all rules are intervals of words; one
+A rule is a regular expression over the words of a text, keywords of which one must be present before
+the expression is tried, a label and a priority. All matches of all rules are intervals of words; one
 that lies inside another of the same or a higher priority is suppressed. The work is done inside the
 row: no document is taken apart into rows and put together again.
 """
@@ -32,54 +32,54 @@ BARE, NAMED, GRANTED, TAGGED = 1, 2, 3, 4
 LEVELS = 4
 CONFIDENCE = {BARE: 0.5, NAMED: 0.7, GRANTED: 0.9, TAGGED: 1.0}
 
-# Families: label, the name as an expression, a keyword every match contains, versions, tag.
+# Families: label, the name as an expression, keywords one of which every match contains, versions, tag.
 # In the words of a text "4.0" is "4 0" and "BSD-3-Clause" is "bsd 3 clause".
 FAMILIES = (
-    ("gpl", r"(?:gnu )?(?:general public licen[sc]e|gpl)", "g", ("1.0", "2.0", "3.0"), "gpl"),
-    ("lgpl", r"(?:gnu )?(?:(?:lesser|library) general public licen[sc]e|lgpl)", "l", ("2.0", "2.1", "3.0"), "lgpl"),
-    ("agpl", r"(?:gnu )?(?:affero general public licen[sc]e|agpl)", "a", ("1.0", "3.0"), "agpl"),
-    ("gfdl", r"(?:gnu )?(?:free documentation licen[sc]e|gfdl)", "f", ("1.1", "1.2", "1.3"), "gfdl"),
-    ("apache", r"apache (?:software )?licen[sc]e", "apache", ("1.0", "1.1", "2.0"), "apache"),
-    ("mit", r"mit(?: x11)? licen[sc]e", "mit", (), "mit"),
-    ("x11", r"x11 licen[sc]e", "x11", (), "x11"),
-    ("isc", r"isc licen[sc]e", "isc", (), "isc"),
-    ("zlib", r"zlib(?: libpng)? licen[sc]e", "zlib", (), "zlib"),
-    ("bsd-2-clause", r"(?:simplified bsd licen[sc]e|bsd 2 clause(?: licen[sc]e)?|2 clause bsd(?: licen[sc]e)?)", "bsd", (), "bsd 2 clause"),
-    ("bsd-3-clause", r"(?:(?:new|modified|revised) bsd licen[sc]e|bsd 3 clause(?: licen[sc]e)?|3 clause bsd(?: licen[sc]e)?)", "bsd", (), "bsd 3 clause"),
-    ("bsd-4-clause", r"(?:original bsd licen[sc]e|bsd 4 clause(?: licen[sc]e)?|4 clause bsd(?: licen[sc]e)?)", "bsd", (), "bsd 4 clause"),
-    ("bsd", r"bsd licen[sc]e", "bsd", (), "bsd"),
-    ("mpl", r"(?:mozilla public licen[sc]e|mpl)", "m", ("1.0", "1.1", "2.0"), "mpl"),
-    ("epl", r"(?:eclipse public licen[sc]e|epl)", "e", ("1.0", "2.0"), "epl"),
-    ("cddl", r"(?:common development and distribution licen[sc]e|cddl)", "c", ("1.0", "1.1"), "cddl"),
-    ("cpl", r"common public licen[sc]e", "common", ("1.0",), "cpl"),
-    ("eupl", r"(?:european union public licen[sc]e|eupl)", "eu", ("1.0", "1.1", "1.2"), "eupl"),
-    ("artistic", r"artistic licen[sc]e", "artistic", ("1.0", "2.0"), "artistic"),
-    ("bsl", r"boost software licen[sc]e", "boost", ("1.0",), "bsl"),
-    ("python", r"(?:python software foundation|psf) licen[sc]e", "p", ("2.0",), "psf"),
-    ("php", r"php licen[sc]e", "php", ("3.0", "3.01"), "php"),
-    ("ruby", r"ruby licen[sc]e", "ruby", (), "ruby"),
-    ("ofl", r"(?:sil )?open font licen[sc]e", "font", ("1.0", "1.1"), "ofl"),
-    ("osl", r"open software licen[sc]e", "open", ("1.0", "2.0", "2.1", "3.0"), "osl"),
-    ("afl", r"academic free licen[sc]e", "academic", ("1.1", "1.2", "2.0", "2.1", "3.0"), "afl"),
-    ("ms-pl", r"microsoft public licen[sc]e", "microsoft", (), "ms pl"),
-    ("ms-rl", r"microsoft reciprocal licen[sc]e", "microsoft", (), "ms rl"),
-    ("wtfpl", r"(?:do what the fuck you want to public licen[sc]e|wtfpl)", "w", ("1.0", "2.0"), "wtfpl"),
-    ("unlicense", r"unlicen[sc]e", "unlicen", (), "unlicense"),
-    ("vim", r"vim licen[sc]e", "vim", (), "vim"),
-    ("postgresql", r"postgresql licen[sc]e", "postgresql", (), "postgresql"),
-    ("openssl", r"openssl licen[sc]e", "openssl", (), "openssl"),
-    ("odbl", r"(?:open (?:data commons )?(?:open )?database licen[sc]e|odbl)", "o", ("1.0",), "odbl"),
-    ("odc-by", r"(?:open data commons attribution licen[sc]e|odc by)", "o", ("1.0",), "odc by"),
-    ("pddl", r"(?:public domain dedication and licen[sc]e|pddl)", "p", ("1.0",), "pddl"),
-    ("lppl", r"latex project public licen[sc]e", "latex", ("1.0", "1.1", "1.2", "1.3"), "lppl"),
-    ("ncsa", r"(?:university of illinois )?ncsa(?: open source)? licen[sc]e", "ncsa", (), "ncsa"),
-    ("upl", r"universal permissive licen[sc]e", "universal", ("1.0",), "upl"),
-    ("sspl", r"(?:server side public licen[sc]e|sspl)", "s", ("1.0",), "sspl"),
-    ("elastic", r"elastic licen[sc]e", "elastic", ("1.0", "2.0"), "elastic"),
-    ("busl", r"business source licen[sc]e", "business", ("1.0", "1.1"), "busl"),
-    ("polyform-noncommercial", r"polyform noncommercial licen[sc]e", "polyform", ("1.0",), "polyform noncommercial"),
-    ("hippocratic", r"hippocratic licen[sc]e", "hippocratic", ("1.0", "2.1", "3.0"), "hippocratic"),
-    ("openrail", r"(?:creativeml )?open ?rail(?: m)?(?: licen[sc]e)?", "rail", (), "openrail"),
+    ("gpl", r"(?:gnu )?(?:general public licen[sc]e|gpl)", (" gpl ", " general public "), ("1.0", "2.0", "3.0"), "gpl"),
+    ("lgpl", r"(?:gnu )?(?:(?:lesser|library) general public licen[sc]e|lgpl)", (" lgpl ", " lesser general ", " library general "), ("2.0", "2.1", "3.0"), "lgpl"),
+    ("agpl", r"(?:gnu )?(?:affero general public licen[sc]e|agpl)", (" agpl ", " affero "), ("1.0", "3.0"), "agpl"),
+    ("gfdl", r"(?:gnu )?(?:free documentation licen[sc]e|gfdl)", (" gfdl ", " free documentation "), ("1.1", "1.2", "1.3"), "gfdl"),
+    ("apache", r"apache (?:software )?licen[sc]e", (" apache ",), ("1.0", "1.1", "2.0"), "apache"),
+    ("mit", r"mit(?: x11)? licen[sc]e", (" mit ",), (), "mit"),
+    ("x11", r"x11 licen[sc]e", (" x11 ",), (), "x11"),
+    ("isc", r"isc licen[sc]e", (" isc ",), (), "isc"),
+    ("zlib", r"zlib(?: libpng)? licen[sc]e", (" zlib ",), (), "zlib"),
+    ("bsd-2-clause", r"(?:simplified bsd licen[sc]e|bsd 2 clause(?: licen[sc]e)?|2 clause bsd(?: licen[sc]e)?)", (" bsd ",), (), "bsd 2 clause"),
+    ("bsd-3-clause", r"(?:(?:new|modified|revised) bsd licen[sc]e|bsd 3 clause(?: licen[sc]e)?|3 clause bsd(?: licen[sc]e)?)", (" bsd ",), (), "bsd 3 clause"),
+    ("bsd-4-clause", r"(?:original bsd licen[sc]e|bsd 4 clause(?: licen[sc]e)?|4 clause bsd(?: licen[sc]e)?)", (" bsd ",), (), "bsd 4 clause"),
+    ("bsd", r"bsd licen[sc]e", (" bsd ",), (), "bsd"),
+    ("mpl", r"(?:mozilla public licen[sc]e|mpl)", (" mpl ", " mozilla "), ("1.0", "1.1", "2.0"), "mpl"),
+    ("epl", r"(?:eclipse public licen[sc]e|epl)", (" epl ", " eclipse "), ("1.0", "2.0"), "epl"),
+    ("cddl", r"(?:common development and distribution licen[sc]e|cddl)", (" cddl ", " common development "), ("1.0", "1.1"), "cddl"),
+    ("cpl", r"common public licen[sc]e", (" common public ",), ("1.0",), "cpl"),
+    ("eupl", r"(?:european union public licen[sc]e|eupl)", (" eupl ", " european union "), ("1.0", "1.1", "1.2"), "eupl"),
+    ("artistic", r"artistic licen[sc]e", (" artistic ",), ("1.0", "2.0"), "artistic"),
+    ("bsl", r"boost software licen[sc]e", (" boost ",), ("1.0",), "bsl"),
+    ("python", r"(?:python software foundation|psf) licen[sc]e", (" python software ", " psf "), ("2.0",), "psf"),
+    ("php", r"php licen[sc]e", (" php ",), ("3.0", "3.01"), "php"),
+    ("ruby", r"ruby licen[sc]e", (" ruby ",), (), "ruby"),
+    ("ofl", r"(?:sil )?open font licen[sc]e", (" open font ",), ("1.0", "1.1"), "ofl"),
+    ("osl", r"open software licen[sc]e", (" open software ",), ("1.0", "2.0", "2.1", "3.0"), "osl"),
+    ("afl", r"academic free licen[sc]e", (" academic free ",), ("1.1", "1.2", "2.0", "2.1", "3.0"), "afl"),
+    ("ms-pl", r"microsoft public licen[sc]e", (" microsoft ",), (), "ms pl"),
+    ("ms-rl", r"microsoft reciprocal licen[sc]e", (" microsoft ",), (), "ms rl"),
+    ("wtfpl", r"(?:do what the fuck you want to public licen[sc]e|wtfpl)", (" wtfpl ", " what the fuck "), ("1.0", "2.0"), "wtfpl"),
+    ("unlicense", r"unlicen[sc]e", ("unlicen",), (), "unlicense"),
+    ("vim", r"vim licen[sc]e", (" vim ",), (), "vim"),
+    ("postgresql", r"postgresql licen[sc]e", (" postgresql ",), (), "postgresql"),
+    ("openssl", r"openssl licen[sc]e", (" openssl ",), (), "openssl"),
+    ("odbl", r"(?:open (?:data commons )?(?:open )?database licen[sc]e|odbl)", (" odbl ", " database "), ("1.0",), "odbl"),
+    ("odc-by", r"(?:open data commons attribution licen[sc]e|odc by)", (" odc by ", " open data commons "), ("1.0",), "odc by"),
+    ("pddl", r"(?:public domain dedication and licen[sc]e|pddl)", (" pddl ", " domain dedication "), ("1.0",), "pddl"),
+    ("lppl", r"latex project public licen[sc]e", (" latex ",), ("1.0", "1.1", "1.2", "1.3"), "lppl"),
+    ("ncsa", r"(?:university of illinois )?ncsa(?: open source)? licen[sc]e", (" ncsa ",), (), "ncsa"),
+    ("upl", r"universal permissive licen[sc]e", (" universal ",), ("1.0",), "upl"),
+    ("sspl", r"(?:server side public licen[sc]e|sspl)", (" sspl ", " server side "), ("1.0",), "sspl"),
+    ("elastic", r"elastic licen[sc]e", (" elastic ",), ("1.0", "2.0"), "elastic"),
+    ("busl", r"business source licen[sc]e", (" business ",), ("1.0", "1.1"), "busl"),
+    ("polyform-noncommercial", r"polyform noncommercial licen[sc]e", (" polyform ",), ("1.0",), "polyform noncommercial"),
+    ("hippocratic", r"hippocratic licen[sc]e", (" hippocratic ",), ("1.0", "2.1", "3.0"), "hippocratic"),
+    ("openrail", r"(?:creativeml )?open ?rail(?: m)?(?: licen[sc]e)?", ("rail",), (), "openrail"),
 )
 
 # The Creative Commons set: elements by label, with the long form of their names.
@@ -95,19 +95,19 @@ COMMONS_VERSIONS = ("1.0", "2.0", "2.5", "3.0", "4.0")
 
 # Statements that name no family.
 STATEMENTS = (
-    ("cc0", r"(?:cc0|cc zero)(?: 1 0)?(?: universal)?", "cc", NAMED),
-    ("public-domain", r"(?:placed in|released into|dedicated to|in) the public domain", "public domain", GRANTED),
-    ("public-domain", r"public domain", "public domain", BARE),
-    ("proprietary", r"all rights reserved", "rights reserved", BARE),
-    ("proprietary", r"proprietary and confidential", "proprietary", NAMED),
-    ("copyright", r"copyright (?:c )?(?:19|20)[0-9][0-9]", "copyright", BARE),
-    ("copyleft", r"copyleft", "copyleft", BARE),
-    ("unspecified", r"(?:licen[sc]ed|released|distributed) under (?:an? |the )?open source licen[sc]e", "open source", NAMED),
-    ("non-commercial", r"for non ?commercial use only", "commercial use", NAMED),
-    ("permissive", r"permission is hereby granted free of charge to any person", "hereby granted", GRANTED),
-    ("mit", r"permission is hereby granted free of charge to any person obtaining a copy of this software", "hereby granted", TAGGED),
-    ("isc", r"permission to use copy modify and or distribute this software for any purpose", "permission to use", TAGGED),
-    ("bsd", r"redistribution and use in source and binary forms with or without modification", "redistribution", TAGGED),
+    ("cc0", r"(?:cc0|cc zero)(?: 1 0)?(?: universal)?", (" cc0 ", " cc zero "), NAMED),
+    ("public-domain", r"(?:placed in|released into|dedicated to|in) the public domain", (" public domain ",), GRANTED),
+    ("public-domain", r"public domain", (" public domain ",), BARE),
+    ("proprietary", r"all rights reserved", (" rights reserved ",), BARE),
+    ("proprietary", r"proprietary and confidential", (" proprietary ",), NAMED),
+    ("copyright", r"copyright (?:c )?(?:19|20)[0-9][0-9]", (" copyright ",), BARE),
+    ("copyleft", r"copyleft", (" copyleft ",), BARE),
+    ("unspecified", r"(?:licen[sc]ed|released|distributed) under (?:an? |the )?open source licen[sc]e", (" open source ",), NAMED),
+    ("non-commercial", r"for non ?commercial use only", ("commercial use ",), NAMED),
+    ("permissive", r"permission is hereby granted free of charge to any person", (" hereby granted ",), GRANTED),
+    ("mit", r"permission is hereby granted free of charge to any person obtaining a copy of this software", (" hereby granted ",), TAGGED),
+    ("isc", r"permission to use copy modify and or distribute this software for any purpose", (" permission to use ",), TAGGED),
+    ("bsd", r"redistribution and use in source and binary forms with or without modification", (" redistribution ",), TAGGED),
 )
 GRANT = r"(?:licen[sc]ed|released|distributed|published|available|provided) under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?"
 LICENSE_WORD = r"(?: (?:international |unported |public )?licen[sc]e)?"
@@ -125,50 +125,51 @@ def _version(version: str) -> str:
     return rf"(?:version |v ?)?{major}{tail}(?! [0-9])"
 
 
-def _forms(label: str, name: str, keyword: str, versions: tuple[str, ...], tag: str) -> list[tuple]:
+def _forms(label: str, name: str, keywords: tuple[str, ...], versions: tuple[str, ...], tag: str) -> list[tuple]:
     """The rules of one family: named, granted and tagged, without and with each version."""
     rules = [
-        (label, name, keyword, NAMED if " " in name else BARE),
-        (label, GRANT + name, keyword, GRANTED),
-        (label, rf"spdx licen[sc]e identifier {tag}(?: only| or later)?(?! [0-9])", "spdx", TAGGED),
+        (label, name, keywords, NAMED if " " in name else BARE),
+        (label, GRANT + name, keywords, GRANTED),
+        (label, rf"spdx licen[sc]e identifier {tag}(?: only| or later)?(?! [0-9])", (" spdx ",), TAGGED),
     ]
     for version in versions:
         number, own = _version(version), f"{label}-{version}"
         rules += [
-            (own, rf"{name} {number}", keyword, GRANTED),
-            (own, rf"{GRANT}{name} {number}(?: or (?:any )?later(?: version)?)?", keyword, TAGGED),
-            (own, rf"spdx licen[sc]e identifier {tag} {number}(?: only| or later)?", "spdx", TAGGED),
+            (own, rf"{name} {number}", keywords, GRANTED),
+            (own, rf"{GRANT}{name} {number}(?: or (?:any )?later(?: version)?)?", keywords, TAGGED),
+            (own, rf"spdx licen[sc]e identifier {tag} {number}(?: only| or later)?", (" spdx ",), TAGGED),
         ]
     return rules
 
 
 def rules() -> list[dict]:
-    """All rules in order: label, expression, keyword, priority."""
+    """All rules in order: label, expression, keywords, priority."""
     found: list[tuple] = []
     for family in FAMILIES:
         found += _forms(*family)
     for elements, long in COMMONS.items():
         short = "cc " + elements.replace("-", " ")
         whole = rf"(?:{short}|creative commons {long})"
+        keywords = (f" {short} ", " creative commons attribution ")
         ends = r"(?! (?:nc|nd|sa|non|no|share)\b)"
         found += [
-            (f"cc-{elements}", whole + ends + LICENSE_WORD, "c", NAMED),
-            (f"cc-{elements}", GRANT + whole + ends + LICENSE_WORD, "under", GRANTED),
+            (f"cc-{elements}", whole + ends + LICENSE_WORD, keywords, NAMED),
+            (f"cc-{elements}", GRANT + whole + ends + LICENSE_WORD, keywords, GRANTED),
         ]
         for version in COMMONS_VERSIONS:
             number = rf"{LICENSE_WORD} {_version(version)}{LICENSE_WORD}"
             found += [
-                (f"cc-{elements}-{version}", whole + number, "c", GRANTED),
-                (f"cc-{elements}-{version}", GRANT + whole + number, "under", TAGGED),
+                (f"cc-{elements}-{version}", whole + number, keywords, GRANTED),
+                (f"cc-{elements}-{version}", GRANT + whole + number, keywords, TAGGED),
             ]
     found += STATEMENTS
     return [
-        {"label": label, "pattern": f"(?<= ){pattern}(?= )", "keyword": keyword, "priority": priority}
-        for label, pattern, keyword, priority in found
+        {"label": label, "pattern": f"(?<= ){pattern}(?= )", "keywords": list(keywords), "priority": priority}
+        for label, pattern, keywords, priority in found
     ]
 
 
-RULE_TYPE = "array<struct<label:string,pattern:string,keyword:string,priority:int>>"
+RULE_TYPE = "array<struct<label:string,pattern:string,keywords:array<string>,priority:int>>"
 
 
 def _literal(table: list[dict]) -> Column:
@@ -209,8 +210,10 @@ def _matches(words: Column, rule: Column) -> Column:
 
 
 def _detections(words: Column, table: list[dict]) -> Column:
-    """All matches of all rules whose keyword the words contain."""
-    likely = F.filter(_literal(table), lambda rule: F.contains(words, rule["keyword"]))
+    """All matches of all rules of whose keywords the words contain one."""
+    known = sorted({keyword for rule in table for keyword in rule["keywords"]})
+    present = F.filter(F.lit(known), lambda keyword: F.contains(words, keyword))
+    likely = let(present, lambda own: F.filter(_literal(table), lambda rule: F.arrays_overlap(rule["keywords"], own)))
     return F.flatten(F.transform(likely, lambda rule: F.transform(_matches(words, rule), lambda place: F.struct(
         place["start"].alias("start"), (-place["stop"]).alias("back"), (-rule["priority"]).alias("level"),
         rule["label"].alias("label")))))
@@ -251,7 +254,7 @@ def license_scan(docs: DataFrame) -> DataFrame:
     """
     table = rules()
     base = [
-        {"label": label, "pattern": f"(?<= ){phrase}(?= )", "keyword": f" {phrase} ", "priority": BARE}
+        {"label": label, "pattern": f"(?<= ){phrase}(?= )", "keywords": [f" {phrase} "], "priority": BARE}
         for phrase, label in BASE.items()
     ]
     rows = docs.select(docs["doc_id"], text_of(docs).alias("_text"))
