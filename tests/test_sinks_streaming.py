@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from viewlog.operators import rows
 from viewlog.plans import mart, pipeline
+from viewlog.plans import warehouse as wh
 from viewlog.registry.queries import all_queries
 from viewlog.session import scratch_path, shared_folder
 from viewlog.sinks import files
@@ -72,6 +73,30 @@ def test_newest_run_of_each_date_is_visible(spark, tmp_path):
     assert VersionedStore(spark, str(tmp_path), [table]).read("t").count() == 3
 
 
+def test_compacting_changes_nothing_but_the_folders(spark, staged, tmp_path):
+    days = [f"2024-01-{n:02d}" for n in range(1, 8)]
+    logs = staged(*[(f"C{n % 3}", f"M{n}", "VOD", n + 1, one) for n, one in enumerate(days * 2)])
+    store, marts = pipeline.stores(spark, str(tmp_path / "a"))
+    for one in (days[1], days[0], *days):
+        wh.load_warehouse(spark, logs, store, one)
+    for number in range(2):
+        before = {name: values(store.read(name)) for name in (wh.CONTRACTS, wh.DEVICES, wh.FACTS, wh.SUMMARY)}
+        first = values(wh.first_dates(store))
+        store.compact()
+        assert {name: values(store.read(name)) for name in before} == before
+        assert values(wh.first_dates(store)) == first
+        for table in store.tables:
+            assert len(list((tmp_path / "a" / "warehouse" / table).glob("run=*"))) == 1
+        assert len(store._published()) == 1
+        if not number:
+            wh.load_warehouse(spark, logs, store, days[2])
+    assert mart.moved_dates(store) == []
+    full, _ = pipeline.stores(spark, str(tmp_path / "b"))
+    wh.load_warehouse(spark, logs, full)
+    assert len(values(full.read(wh.FACTS))) == len(values(store.read(wh.FACTS)))
+    marts.compact()  # nothing there yet
+
+
 def test_a_lopsided_date_is_written_whole(spark, tmp_path):
     table = Table("t", columns(DateKey="int", n="bigint"), dated_by="DateKey", sort_by=("n",))
     store = VersionedStore(spark, str(tmp_path), [table])

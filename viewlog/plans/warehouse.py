@@ -25,7 +25,8 @@ TABLES = (
     Table(DEVICES, schema.DIM_DEVICE),
     Table(FACTS, schema.FACT_VIEWING_SESSION, dated_by="DateKey"),
     Table(SUMMARY, schema.FACT_CONTRACT_SUMMARY, dated_by="DateKey"),
-    Table(FIRST, schema.FIRST_DATE),
+    Table(FIRST, schema.FIRST_DATE, fold=lambda changes: _newest_first(changes).withColumn(
+        "WasDateKey", F.lit(None).cast("int"))),
 )
 
 
