@@ -89,12 +89,16 @@ def base_failed() -> Column:
 
 
 def transformed() -> list[Column]:
-    """The statistic vector in whole units: logarithms of the length and of shares in percent."""
+    """The statistic vector in whole units: logarithms of the length and of shares.
+
+    Shares are taken in units of what is ordinary: a symbol in a hundred characters, and a tenth of
+    the words repeated, as a short document with one line standing twice has it.
+    """
     words = F.greatest(F.col("n_words"), F.lit(1))
     chars = F.greatest(F.col("word_chars"), F.lit(1))
     vector = (
         F.log(words), 2 * F.log(chars / words), F.log(1 + 100 * F.col("n_symbols") / chars),
-        F.log(1 + 100 * F.col("n_repeat_words") / words))
+        F.log(1 + 10 * F.col("n_repeat_words") / words))
     return [F.round(UNITS * value).cast("bigint").alias(name) for name, value in zip(STATISTICS, vector)]
 
 
@@ -165,9 +169,18 @@ ESTIMATE = [*[f"m{i}" for i in range(len(STATISTICS))], *[f"l{i}_{j}" for i, j i
 GROUP = ["cell_lang", "cell_source"]
 
 
-def _join(rows: DataFrame, estimates: DataFrame, *more: str) -> DataFrame:
-    """Rows with their group's estimate, a row per group: adaptive joins split a hot group's rows."""
-    return rows.join(estimates.select(*GROUP, *ESTIMATE, *more), GROUP)
+def _join(rows: DataFrame, estimates: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Rows with what is known about their group.
+
+    A group can hold a third of all rows, so its rows are dealt to as many slots as there are shuffle
+    partitions, and the one row per group is repeated for each.
+    """
+    slots = F.sequence(F.lit(0), F.lit(_slots(rows) - 1)).cast("array<bigint>")
+    return rows.join(estimates.withColumn("slot", F.explode(slots)), [*on, "slot"], how)
+
+
+def _slots(rows: DataFrame) -> int:
+    return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _band() -> Column:
@@ -179,7 +192,7 @@ def _band() -> Column:
 def _concentrate(rows: DataFrame, estimates: DataFrame, support: float) -> DataFrame:
     """One step: the estimate of the nearest ``support`` of each group, whole bands at a time."""
     keys = [*GROUP, "start"]
-    banded = with_distance(_join(rows, estimates, "start")).groupBy(*keys, _band()).agg(*_sums())
+    banded = with_distance(_join(rows, estimates.select(*GROUP, *ESTIMATE, "start"), GROUP)).groupBy(*keys, _band()).agg(*_sums())
     order = Window.partitionBy(*keys).orderBy("band")
     nearer = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1))
     total = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
@@ -193,7 +206,7 @@ def _starts(rows: DataFrame) -> DataFrame:
     every = _estimate(rows.groupBy(*GROUP).agg(*_sums()), GROUP, 1.0).withColumn("start", F.lit(0))
     # Rounded statistics take few values, so an exact median needs little memory.
     medians = stored(rows.groupBy(*GROUP).agg(*[F.percentile(name, 0.5).alias(f"m{i}") for i, name in enumerate(STATISTICS)]), "medians")
-    gaps = rows.join(medians, GROUP).groupBy(*GROUP).agg(
+    gaps = _join(rows, medians, GROUP).groupBy(*GROUP).agg(
         *[F.first(f"m{i}").alias(f"m{i}") for i in range(len(STATISTICS))],
         *[F.percentile(F.abs(F.col(name) - F.col(f"m{i}")), 0.5).alias(f"g{i}") for i, name in enumerate(STATISTICS)],
         F.count("*").alias("n"))
@@ -206,7 +219,10 @@ def _starts(rows: DataFrame) -> DataFrame:
 
 
 def robust_estimates(rows: DataFrame, support: float = SUPPORT) -> DataFrame:
-    """The reweighted MCD estimate of every group of ``GROUP``: mean and Cholesky factor."""
+    """The reweighted MCD estimate of every group of ``GROUP``: mean and Cholesky factor.
+
+    ``rows`` have a slot from 0 to the number of shuffle partitions, spread evenly within any group.
+    """
     estimates, size = stored(_starts(rows), "mcd-start"), None
     for _ in range(MAX_STEPS):
         estimates = stored(_concentrate(rows, estimates, support), "mcd-step")
@@ -218,7 +234,7 @@ def robust_estimates(rows: DataFrame, support: float = SUPPORT) -> DataFrame:
     best = best.select(*GROUP, "_best.*")
     widened = [(F.col(f"l{i}_{j}") * math.sqrt(consistency(support))).alias(f"l{i}_{j}") for i, j in PAIRS]
     raw = stored(best.select(*GROUP, *[f"m{i}" for i in range(len(STATISTICS))], *widened), "mcd-raw")
-    near = with_distance(_join(rows, raw)).where(F.col("distance") <= _chi2_beyond(0.025, len(STATISTICS)))
+    near = with_distance(_join(rows, raw, GROUP)).where(F.col("distance") <= _chi2_beyond(0.025, len(STATISTICS)))
     return stored(_estimate(near.groupBy(*GROUP).agg(*_sums()), GROUP, consistency(0.975)), "mcd")
 
 
@@ -239,7 +255,8 @@ def quality_rules(docs: DataFrame, support: float = SUPPORT, cutoff: float = CUT
     read = text_statistics(docs, "lang", "source")
     table = stored(read.select(
         "doc_id", F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"),
-        *names, base_failed().alias("base_failed"), *transformed()), "statistics")
+        *names, base_failed().alias("base_failed"), *transformed(),
+        F.pmod(F.monotonically_increasing_id(), F.lit(_slots(docs))).alias("slot")), "statistics")
     # A group's name as text, NULL apart from every name, so that joins find it.
     lang, source = (F.coalesce(F.concat(F.lit("="), F.col(name)), F.lit("null")) for name in ("lang", "source"))
     table = table.withColumn("_lang", lang).withColumn("_source", source)
@@ -249,10 +266,11 @@ def quality_rules(docs: DataFrame, support: float = SUPPORT, cutoff: float = CUT
     of_cell = Window.partitionBy("cell_lang", "cell_source")
     cells = stored(sizes.withColumn("_size", F.sum("_size").over(of_cell)).where(F.col("_size") >= min_group).select(
         "_lang", "_source", "cell_lang", "cell_source"), "quality-groups")
-    celled = table.join(cells, ["_lang", "_source"], "left")
-    learned = celled.where(~F.col("base_failed") & F.col("cell_lang").isNotNull()).select(*GROUP, *STATISTICS)
+    celled = _join(table, cells, ["_lang", "_source"], "left")
+    learned = stored(celled.where(~F.col("base_failed") & F.col("cell_lang").isNotNull()).select(
+        *GROUP, "slot", *STATISTICS), "quality-learned")
     estimates = robust_estimates(learned, support)
-    measured = with_distance(celled.join(estimates.select(*GROUP, *ESTIMATE), GROUP, "left"))
+    measured = with_distance(_join(celled, estimates.select(*GROUP, *ESTIMATE), GROUP, "left"))
     distance = F.when(~F.col("base_failed"), F.col("distance"))
     limit = _chi2_beyond(cutoff, len(STATISTICS))
     kept = ~F.col("base_failed") & F.coalesce(distance <= limit, F.lit(True))
