@@ -54,7 +54,7 @@ class Graph:
 
     # --- search ---
 
-    def search(self, queries: np.ndarray, beam: int, bottom: int = 0, limit: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, queries: np.ndarray, beam: int, bottom: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """Nodes and similarities of the best found per query, from layer to layer; -1 fills up."""
         top = len(self.sizes) - 1
         entry = np.zeros((len(queries), 1), dtype=np.int32)
