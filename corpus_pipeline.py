@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewlog.llm import fm_quality, language_id, near_dup, packing
-from viewlog.llm.tables import stored, text_of
+from viewlog.llm.tables import importable, stored, text_of
 
 MIN_LANGUAGE_SCORE = 0.5  # the winning language has to outweigh all others together
 
@@ -25,6 +25,7 @@ def _carried(docs: DataFrame, says, verdict) -> DataFrame:
     return docs.withColumn(name, says(text_of(docs))).where(verdict(F.col(name))).drop(name)
 
 
+@importable
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorisation machine predicts to be of good quality.
 
@@ -35,6 +36,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _carried(docs, score, lambda says: says["predicted"] == 1)
 
 
+@importable
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages of the corpus: a text without a letter, or one that no
     language claims against all others together, goes."""
@@ -43,11 +45,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         says["score"] >= MIN_LANGUAGE_SCORE))
 
 
+@importable
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one of the smallest id."""
     return near_dup.without_near_duplicates(docs)
 
 
+@importable
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where the words of every document go: pieces, bins and offsets."""
     return packing.pack(docs)

@@ -20,13 +20,14 @@ from viewlog.llm import (
     sharding,
     vector_dup,
 )
+from viewlog.llm.tables import importable
 
 _REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
 
 
 def query(build):
-    _REGISTERED[build.__name__] = build
+    _REGISTERED[build.__name__] = importable(build)
     return build
 
 

@@ -2,15 +2,39 @@
 
 from __future__ import annotations
 
+import functools
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+import viewlog
 from viewlog.session import scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"  # a word is a run of anything but the six ASCII white-space characters
 HELD_OUT_OF = 3  # documents with crc32(doc_id) mod 3 = 1 are never learned from
 
 
+def importable(job):
+    """The job, with Python workers importing this package from where the driver found it.
+
+    That is for a driver that was started in another folder; a cluster has the package installed or
+    gets it by ``--py-files`` as usual.
+    """
+    home = str(Path(viewlog.__file__).resolve().parent.parent)
+
+    @functools.wraps(job)
+    def run(spark, *args):
+        variables = spark.sparkContext.environment
+        known = variables.get("PYTHONPATH", "").split(os.pathsep)
+        if home not in known:
+            variables["PYTHONPATH"] = os.pathsep.join([home, *filter(None, known)])
+        return job(spark, *args)
+
+    return run
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """The frame written to the shared folder and read back.
 
