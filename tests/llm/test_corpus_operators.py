@@ -54,6 +54,12 @@ def test_components(spark, links):
     assert len(found) == len(wanted)
 
 
+def test_components_of_a_long_path_of_shuffled_ids(spark):
+    ids = [int(n) for n in np.random.default_rng(5).permutation(1000)]
+    found = components.components(spark.createDataFrame(list(zip(ids, ids[1:])), "a bigint, b bigint"), "a", "b").collect()
+    assert {row["node"]: row["component"] for row in found} == dict.fromkeys(range(1000), 0)
+
+
 # --- Near-duplicate documents ---------------------------------------------------------------------
 
 
