@@ -122,6 +122,27 @@ def test_small_groups_are_judged_by_the_base(spark):
     assert found[0]["distance"] is None
 
 
+def test_chi_square_of_any_degrees():
+    assert quality_rules._chi2_beyond(0.05, 1) == pytest.approx(3.8415, abs=1e-3)
+    assert quality_rules._chi2_beyond(0.001, 5) == pytest.approx(20.515, abs=1e-3)
+
+
+def test_repetition_alone_and_a_few_symbols_are_rejected(spark):
+    chance = np.random.default_rng(3)
+
+    def lines(count):
+        return [" ".join("".join(chance.choice(list("abcdefgh"), 5)) for _ in range(8)) for _ in range(count)]
+
+    texts = ["\n".join(lines(chance.integers(15, 60))) for _ in range(120)]
+    short_line = "\n".join(x for line in lines(30) for x in (line, "read more"))
+    phrase = "\n".join([*lines(25), " ".join(["one two three four"] * 20)])
+    symbols = "\n".join(line + " ##" for line in lines(30))
+    found = by_id(quality_rules.quality_rules(docs(spark, *texts, short_line, phrase, symbols)))
+    assert not any(found[n]["base_failed"] for n in range(len(found)))
+    assert [found[120 + n]["kept"] for n in range(3)] == [False, False, False]
+    assert sum(found[n]["kept"] for n in range(120)) >= 117
+
+
 def test_no_rows(spark):
     empty = documents(spark).limit(0)
     assert quality_rules.quality_rules(empty).collect() == []
