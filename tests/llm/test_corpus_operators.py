@@ -197,6 +197,39 @@ def test_graph_recall_and_layers():
     assert np.mean([len(set(a) & set(b)) / 10 for a, b in zip(nodes, best)]) > 0.9
 
 
+class Forgetful:
+    """A search that finds the first group at any width, and of the others nothing but the query below 128."""
+
+    def __init__(self, exact, first):
+        self.exact, self.first = exact, first
+
+    def search(self, queries, beam):
+        near = queries @ self.exact.T
+        best = np.argsort(-near, axis=1, kind="stable")[:, :beam]
+        near = np.take_along_axis(near, best, axis=1)
+        if beam < 128:
+            near[(best[:, 0] >= self.first)[:, None] & (np.arange(beam) > 0)] = -np.inf
+        return best, near
+
+
+@pytest.mark.parametrize("first", [0, 200])
+def test_audit_sees_small_groups(first):
+    chance = np.random.default_rng(8)
+    pairs = np.repeat(chance.normal(size=(100, 32)), 2, axis=0) + chance.normal(0, 0.01, (200, 32))
+    alone = chance.normal(size=(2000, 32))
+    exact = vector_dup._unit(np.concatenate([np.ones((first, 32)) + chance.normal(0, 0.01, (first, 32)), pairs, alone]))
+    assert vector_dup._audit(Forgetful(exact, first), exact, exact, 0.95, np.arange(len(exact))) >= 128
+
+
+def test_full_nodes_keep_edges_that_lead_out():
+    graph = vector_dup.Graph.__new__(vector_dup.Graph)
+    graph.vectors = vector_dup._unit(np.array([[1, 0.01, 0], [1, 0.02, 0], [1, 0.03, 0], [1, 0, 1], [1, 0.025, 0]])).astype(np.float32)
+    near = graph.vectors @ graph.vectors[0]
+    graph.layers, close = [np.array([[1, 2, 3]], dtype=np.int32)], near[None, [1, 2, 3]].copy()
+    graph._connect(0, close, np.array([0]), np.array([4]), near[[4]])
+    assert 3 in graph.layers[0][0]
+
+
 def test_disjoint_sets():
     chance = np.random.default_rng(8)
     pairs = chance.integers(0, 300, (200, 2))

@@ -27,7 +27,7 @@ DEGREE = 16  # neighbours per vector; twice as many at the bottom
 LAYER = 16  # a layer holds this share of the one below
 BUILD_BEAM, FIRST_BEAM = 48, 32
 BATCH = 512  # vectors inserted or searched together
-AUDITED, RECALL = 64, 0.98  # queries of a slice compared with brute force, and what they must find
+AUDITED, RECALL = 64, 0.98  # queries with links compared with brute force, and how many must find all theirs
 SLACK = 1e-5  # single-precision error of a cosine
 
 
@@ -150,7 +150,7 @@ class Graph:
         return chosen | ((near > -np.inf) & spare)
 
     def _connect(self, level: int, close: np.ndarray, source: np.ndarray, target: np.ndarray, value: np.ndarray) -> None:
-        """Add edges; a full node gives up its least similar neighbour for a more similar one."""
+        """Add edges; a full node gives up the least similar neighbour that lies behind another."""
         edges = self.layers[level]
         order = np.lexsort((target, -value, source))
         source, target, value = source[order], target[order].astype(np.int32), value[order]
@@ -159,9 +159,26 @@ class Graph:
             mine = turn == number
             at, to, similar = source[mine], target[mine], value[mine]
             new = ~(edges[at] == to[:, None]).any(axis=1)
-            worst = close[at].argmin(axis=1)
-            better = new & (similar > close[at, worst])
-            edges[at[better], worst[better]], close[at[better], worst[better]] = to[better], similar[better]
+            at, to, similar = at[new], to[new], similar[new]
+            place = close[at].argmin(axis=1)
+            full = np.flatnonzero(edges[at, place] >= 0)
+            for low in range(0, len(full), BATCH):
+                some = full[low:low + BATCH]
+                place[some] = self._spare(
+                    np.column_stack([edges[at[some]], to[some]]), np.column_stack([close[at[some]], similar[some]]))
+            kept = place < edges.shape[1]  # else it is the new one that is given up
+            at, place = at[kept], place[kept]
+            edges[at, place], close[at, place] = to[kept], similar[kept]
+
+    def _spare(self, nodes: np.ndarray, near: np.ndarray) -> np.ndarray:
+        """The column to give up: the least similar of those nearer to a nearer one, else of all.
+
+        A node that leads out of a tight group is nearest to one member at least, which keeps it.
+        """
+        vectors = self.vectors[nodes]
+        between = np.where(near[:, None, :] > near[:, :, None], vectors @ vectors.transpose(0, 2, 1), -np.inf)
+        behind = between.max(axis=2) > near
+        return np.where(behind | ~behind.any(axis=1, keepdims=True), near, np.inf).argmin(axis=1)
 
 
 class Groups:
@@ -205,12 +222,35 @@ def _links(graph: Graph, exact: np.ndarray, queries: np.ndarray, cosine: float,
             waiting, width = waiting[full], width * 2
 
 
-def _audit(graph: Graph, exact: np.ndarray, queries: np.ndarray, cosine: float) -> int:
-    """The narrowest beam, doubling, that finds enough of a sample's true links."""
-    sample = queries[np.linspace(0, len(queries) - 1, min(AUDITED, len(queries))).astype(int)]
-    true = int(sum((sample @ exact[low:low + 4096].T >= cosine).sum() for low in range(0, len(exact), 4096)))
+def _audit(graph: Graph, exact: np.ndarray, queries: np.ndarray, cosine: float, own: np.ndarray) -> int:
+    """The narrowest beam, doubling, that finds all links of enough queries of a sample.
+
+    ``own`` is the node that a query itself is, -1 for none; it is no link. Queries count alike, however
+    many links they have, and only those with links count: queries are compared with brute force until
+    ``AUDITED`` have some, all of them if need be.
+    """
+    order, sample, true = np.random.default_rng(len(queries)).permutation(len(queries)), [], []
+    for first in range(0, len(order), AUDITED):
+        some = order[first:first + AUDITED]
+        links = np.zeros(len(some), dtype=np.int64)
+        for low in range(0, len(exact), 4096):
+            # Rounding may decide otherwise for what is this close to the limit.
+            linked = queries[some] @ exact[low:low + 4096].T >= cosine + 1e-12
+            at = np.flatnonzero((own[some] >= low) & (own[some] < low + linked.shape[1]))
+            linked[at, own[some[at]] - low] = False
+            links += linked.sum(axis=1)
+        sample.append(some[links > 0])
+        true.append(links[links > 0])
+        if sum(map(len, sample)) >= AUDITED:
+            break
+    sample, true = np.concatenate(sample or [order]), np.concatenate(true or [order])
     beam = FIRST_BEAM
-    while beam < len(exact) and sum(len(row) for row, _ in _links(graph, exact, sample, cosine, beam)) < RECALL * true:
+    while beam < len(exact):
+        found = np.zeros(len(sample), dtype=np.int64)
+        for row, node in _links(graph, exact, queries[sample], cosine, beam):
+            found += np.bincount(row[node != own[sample[row]]], minlength=len(sample))
+        if (found >= true).sum() >= RECALL * len(sample):
+            break
         beam *= 2
     return beam
 
@@ -243,7 +283,10 @@ def _query(slice_rows: pd.DataFrame, graphs: pd.DataFrame, cosine: float) -> pd.
     queries = _unit(np.stack(slice_rows["vector"].to_numpy()).astype(np.float64))
     names, place = np.unique(np.concatenate([asked, ids]), return_inverse=True)
     groups, counts = Groups(len(names)), np.zeros(len(asked), dtype=np.int64)
-    for row, node in _links(graph, exact, queries, cosine, _audit(graph, exact, queries, cosine)):
+    order = np.argsort(ids)
+    at = order[np.minimum(np.searchsorted(ids, asked, sorter=order), len(ids) - 1)]
+    own = np.where(ids[at] == asked, at, -1)
+    for row, node in _links(graph, exact, queries, cosine, _audit(graph, exact, queries, cosine, own)):
         other = asked[row] != ids[node]
         row, node = row[other], node[other]
         counts += np.bincount(row, weights=copies[node], minlength=len(asked)).astype(np.int64)
@@ -271,7 +314,7 @@ def near_duplicates(
     ``n_links`` counts the other rows whose cosine with this one was found to be high enough, equal
     vectors among them; ``component_id`` is the smallest id that links lead to; ``kept`` is true for
     that row. What is found is verified in double precision, so no link is below the limit. A search
-    may miss links: per slice and shard, audits require 0.98 of them on a sample.
+    may miss links: per slice and shard, audits require that 0.98 of a sample of queries find all theirs.
 
     A vector that is NULL, empty or zero, or has a NULL or non-finite component, has no links, and so
     has one whose id is NULL. Vectors of different length are not compared. Rows that share an id
