@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 from viewlog.llm import fm_quality, language_id, near_dup, packing
 from viewlog.llm.tables import importable, stored, text_of
 
-MIN_LANGUAGE_SCORE = 0.5  # the winning language has to outweigh all others together
-
 
 def _carried(docs: DataFrame, says, verdict) -> DataFrame:
     """The rows for which ``verdict`` of what ``says`` computes from the text is true."""
@@ -38,11 +36,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @importable
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the languages of the corpus: a text without a letter, or one that no
-    language claims against all others together, goes."""
-    predict = language_id.predictor(spark, language_id.learn(docs))
-    return _carried(docs, predict, lambda says: (says["lang_pred"] != language_id.NO_LANGUAGE) & (
-        says["score"] >= MIN_LANGUAGE_SCORE))
+    """Documents in one of the languages of the corpus: a text without a letter, or one that needs
+    more bits than the documents of its nearest language do, goes. All stay where no language could
+    be learned."""
+    model = language_id.learn(docs)
+    if not model.languages:
+        return docs
+    predict = language_id.predictor(spark, model)
+    return _carried(docs, predict, lambda says: (says["lang_pred"] != language_id.NO_LANGUAGE) & says["fits"])
 
 
 @importable

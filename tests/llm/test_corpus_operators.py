@@ -359,6 +359,27 @@ def test_pipeline_runs_its_stages(spark):
     assert {row["doc_id"] for row in packed} == ids
 
 
+def spoken(spark, lang_of):
+    """Documents of two invented languages, then one of each and one of an unknown script."""
+    chance = np.random.default_rng(6)
+
+    def text(letters, count=150):
+        words = ["".join(chance.choice(list(letters), 3)) for _ in range(40)]
+        return lambda: " ".join(chance.choice(words, count))
+
+    one, other = text("abcdefgh"), text("mnopqrst")
+    texts = [say() for _ in range(60) for say in (one, other)] + ["漢字仮名交文" * 100]
+    rows = [(number, say, lang_of(number) if number < 120 else None, None) for number, say in enumerate(texts)]
+    return spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+
+
+@pytest.mark.parametrize("lang_of,kept", [
+    (lambda n: "ab"[n % 2], 120), (lambda n: ("en", "EN", "en-GB", "en_US")[n // 2 % 4] if n % 2 else "b", 120), (lambda n: None, 121)])
+def test_language_stage_keeps_spellings_and_drops_what_fits_none(spark, lang_of, kept):
+    found = corpus_pipeline.language(spark, spoken(spark, lang_of), "")
+    assert sorted(row["doc_id"] for row in found.collect()) == list(range(kept))
+
+
 def test_pipeline_on_odd_rows(spark, tmp_path):
     spark.createDataFrame([(1, 1, 0), (2, 0, 0), (None, None, None)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     plain = "the quick brown fox jumps over the lazy dog and then it sleeps"

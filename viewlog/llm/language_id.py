@@ -29,6 +29,8 @@ START = b"\n" * ORDER
 SAMPLE_DOCS = 300  # documents learned from per language, in expectation
 SAMPLE_CHARS = 20_000  # longer documents are not learned from, which bounds what a model is fitted on
 MAX_LANGUAGES = 200  # a corpus names few languages; more would be an error in the column
+FIT_SHARE, FIT_MARGIN = 0.98, 1.5  # of unseen documents of a language, and how far above them is still its own
+FIT_BITS = 64.0  # that a text may cost besides, which decides for very short ones only
 BLOCK = 1 << 18  # bytes scored at once
 NO_LANGUAGE = "und"
 LETTER = regex.compile(r"\p{L}")
@@ -36,6 +38,7 @@ PREDICTION = T.StructType([
     T.StructField("lang_pred", T.StringType()),
     T.StructField("score", T.DoubleType()),
     T.StructField("bits_per_byte", T.DoubleType()),
+    T.StructField("fits", T.BooleanType()),
 ])
 
 
@@ -102,6 +105,7 @@ class Model:
     costs: list[np.ndarray]  # by order: bits for the last byte of such a string in the context before it
     escapes: list[np.ndarray]  # by order: bits for leaving that string as a context
     roots: np.ndarray  # bits for a byte that a language has never shown, before the 8 that name it
+    limits: np.ndarray  # bits per byte beyond which a text is not in the language
     index: list[Index] | None = None
 
     def code_lengths(self, text: str) -> np.ndarray:
@@ -131,8 +135,31 @@ class Model:
         return total + (self.roots + 8.0) * len(strings)
 
 
+def _size(text: str) -> int:
+    return len(text.encode("utf-8", "replace"))
+
+
+def _limit(texts: list[str]) -> float:
+    """The bits per byte that texts in the language of these need at most: infinite for a single text.
+
+    Trees of every other text measure the rest, which they have not seen.
+    """
+    unseen = [text for text in texts[1::2] if text]
+    if not unseen:
+        return float("inf")
+    half = _trees({"": texts[::2]})
+    needs = [float(half.code_lengths(text)[0]) / _size(text) for text in unseen]
+    return FIT_MARGIN * float(np.quantile(needs, FIT_SHARE, method="higher"))
+
+
 def fit(samples: dict[str, list[str]]) -> Model:
-    """The trees of texts by language."""
+    """The trees of texts by language, and what texts of each language need."""
+    model = _trees(samples)
+    model.limits = np.array([_limit(samples[language]) for language in model.languages])
+    return model
+
+
+def _trees(samples: dict[str, list[str]]) -> Model:
     languages = sorted(samples)
     counts: list[list[tuple[np.ndarray, np.ndarray]]] = []  # by language and order
     for language in languages:
@@ -168,7 +195,7 @@ def fit(samples: dict[str, list[str]]) -> Model:
                 lower = escapes[level - 1][up, column] + costs[level - 1][tail, column]
             costs[level][:, column] = lower
             costs[level][np.searchsorted(keys[level], strings), column] = np.log2((follow + kinds)[at] / seen)
-    return Model(languages, keys, costs, escapes, roots)
+    return Model(languages, keys, costs, escapes, roots, np.full(len(languages), np.inf))
 
 
 def sample_texts(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> dict[str, list[str]]:
@@ -197,19 +224,24 @@ def sample_texts(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> dict[str,
 
 
 def predictor(spark, model: Model):
-    """A column function: the text's language, score and bits per byte."""
+    """A column function: the text's language, score and bits per byte, and whether it is that language.
+
+    ``fits`` compares with what the language's own documents need, so it neither depends on how alike
+    the learned languages are nor on which of them is the least bad.
+    """
     held = spark.sparkContext.broadcast(model)
 
-    def one(text: str) -> tuple[str, float, float]:
+    def one(text: str) -> tuple[str, float, float, bool]:
         known = held.value
         if not known.languages or not LETTER.search(text):
-            return NO_LANGUAGE, 0.0, 0.0
+            return NO_LANGUAGE, 0.0, 0.0, False
         bits = known.code_lengths(text)
-        size = len(text.encode("utf-8", "replace"))
+        size = _size(text)
         best = int(np.argmin(bits))  # the first by name on a tie
         # The share of the winner when each language weighs 2 to the minus bits of eight average bytes.
         weights = np.exp2(-8.0 * (bits - bits[best]) / size)
-        return known.languages[best], float(1.0 / weights.sum()), float(bits[best] / size)
+        fits = bool(bits[best] <= known.limits[best] * size + FIT_BITS)
+        return known.languages[best], float(1.0 / weights.sum()), float(bits[best] / size), fits
 
     @F.pandas_udf(PREDICTION)
     def predict(texts: pd.Series) -> pd.DataFrame:
@@ -234,5 +266,5 @@ def predictions(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> DataFrame:
     predict = predictor(docs.sparkSession, learn(docs, per_language))
     return docs.select(
         docs["doc_id"], is_held_out(docs["doc_id"]).alias("held_out"), predict(text_of(docs)).alias("_says"),
-    ).select("doc_id", "held_out", "_says.*")
+    ).select("doc_id", "held_out", "_says.lang_pred", "_says.score", "_says.bits_per_byte")
 
