@@ -196,6 +196,27 @@ def test_plain_layout_without_an_article():
     assert "Home" not in html_mincut.main_text(page)
 
 
+LONG = "<p>A long paragraph that says many things, one after the other, and ends like a sentence does.</p>"
+
+
+def test_head_need_not_end():
+    page = f"<html><head><title>T</title><meta charset=utf-8><script>'<p>no'</script><body><article>{LONG}</article>"
+    assert html_mincut.main_text(page) == re.sub("<.*?>", "", LONG)
+
+
+@pytest.mark.parametrize("name", ["button", "select", "object", "svg", "map", "audio", "video"])
+def test_controls_need_not_end(name):
+    wanted = re.sub("<.*?>", "", LONG)
+    assert wanted in html_mincut.main_text(f"<body><article><{name}>{LONG}</article>")
+    page = f"<body><article><div><{name}>Lost</div>{LONG}</article><{name}>x</{name}>"
+    assert html_mincut.main_text(page) == wanted
+
+
+def test_formulas_are_text():
+    page = "<body><article><p>It is known that <math><mi>a</mi><mo>=</mo><mi>b</mi></math> holds here.</p></article>"
+    assert html_mincut.main_text(page) == "It is known that a=b holds here."
+
+
 def test_pages_of_the_test_data(spark):
     """The pages of the test data hold one article each; everything else is to go."""
     import html

@@ -22,8 +22,8 @@ from viewlog.llm.tables import text_of
 
 # Names from the HTML standard: fixed values.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-NEVER_TEXT = frozenset("script style noscript template iframe object svg canvas math head title textarea select "
-                       "button datalist audio video map".split())
+NEVER_TEXT = frozenset("script style noscript template iframe object svg canvas annotation title textarea select "
+                       "button datalist audio video map".split())  # a head holds only such and void elements
 RAW_TEXT = frozenset("script style textarea title iframe noscript".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset "
                    "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol "
@@ -122,10 +122,17 @@ def _element(name: str, attrs: str, above: Element) -> Element:
 
 
 def blocks_of(html: str) -> list[Block]:
-    """The blocks of a page in order. Scripts, styles, controls and comments leave no text."""
+    """The blocks of a page in order. Scripts, styles, controls and comments leave no text.
+
+    What an element without text holds ends with it or with the block around it, whichever comes first;
+    one that ends nowhere in the rest of the page holds nothing.
+    """
     root = Element("", 0.0, False, False)
     stack, found, current = [root], [], Block()
     counter, at, skipping, depth_a = 0, 0, "", 0
+    inside: dict[str, int] = {}  # blocks open within what is skipped
+    last_end: dict[str, int] = {}
+    lowered = html.lower() if html.isascii() else re.sub("[A-Z]+", lambda found: found[0].lower(), html)
 
     def text(piece: str) -> None:
         if not skipping and piece:
@@ -159,14 +166,25 @@ def blocks_of(html: str) -> list[Block]:
         if skipping:
             if ending and name == skipping:
                 skipping = ""
-            continue
+                continue
+            if name not in BLOCKS:
+                continue
+            if not ending or inside.get(name, 0):
+                inside[name] = max(0, inside.get(name, 0) + (-1 if ending else 1))
+                continue
+            if not any(element.name == name for element in stack):
+                continue
+            skipping = ""
         if name in NEVER_TEXT:
             if not ending:
                 if name in RAW_TEXT:  # nothing inside is markup
                     stop = re.compile(rf"</{name}\b[^>]*+(?:>|\Z)", re.I).search(html, at)
                     at = stop.end() if stop else length
                 elif not (match["attrs"] or "").endswith("/"):
-                    skipping = name
+                    if name not in last_end:
+                        last_end[name] = lowered.rfind(f"</{name}")
+                    if last_end[name] >= at:
+                        skipping, inside = name, {}
             continue
         if name == "br" or name in VOID:
             text(" ")
