@@ -376,6 +376,16 @@ def plain_detections(text):
         if not any(b[0] <= a[0] and b[1] >= a[1] and b[2] >= a[2] for b in order[:place])]
 
 
+def test_names_and_versions_in_one_word(spark):
+    wanted = {
+        "GPLv3": "gpl-3.0", "GNU GPLv2+ or so": "gpl-2.0", "LGPLv2.1": "lgpl-2.1", "AGPLv3": "agpl-3.0", "MPLv2": "mpl-2.0",
+        "GPL3": "gpl-3.0", "GPL v2": "gpl-2.0", "Apache 2.0": "apache-2.0", "Apache-2.0": "apache-2.0",
+        "licensed under Apache 2.0": "apache-2.0", "Apache 2.4.1 serves": "", "Apache 2": "", "replgplv3": ""}
+    found = by_id(license_rules.license_scan(docs(spark, *wanted)))
+    assert [found[n]["labels"] for n in range(len(wanted))] == list(wanted.values())
+    assert [found[n]["score"] > 0 for n in range(len(wanted))] == [label != "" for label in wanted.values()]
+
+
 def test_detections_against_all_pairs(spark):
     texts = [text for text in LICENSES if text and len(text) < 1000] + [
         "released under the terms of the GNU Lesser General Public License version 2.1 or any later version and public domain",

@@ -35,10 +35,10 @@ CONFIDENCE = {BARE: 0.5, NAMED: 0.7, GRANTED: 0.9, TAGGED: 1.0}
 # Families: label, the name as an expression, keywords one of which every match contains, versions, tag.
 # In the words of a text "4.0" is "4 0" and "BSD-3-Clause" is "bsd 3 clause".
 FAMILIES = (
-    ("gpl", r"(?:gnu )?(?:general public licen[sc]e|gpl)", (" gpl ", " general public "), ("1.0", "2.0", "3.0"), "gpl"),
-    ("lgpl", r"(?:gnu )?(?:(?:lesser|library) general public licen[sc]e|lgpl)", (" lgpl ", " lesser general ", " library general "), ("2.0", "2.1", "3.0"), "lgpl"),
-    ("agpl", r"(?:gnu )?(?:affero general public licen[sc]e|agpl)", (" agpl ", " affero "), ("1.0", "3.0"), "agpl"),
-    ("gfdl", r"(?:gnu )?(?:free documentation licen[sc]e|gfdl)", (" gfdl ", " free documentation "), ("1.1", "1.2", "1.3"), "gfdl"),
+    ("gpl", r"(?:gnu )?(?:general public licen[sc]e|gpl)", (" gpl", " general public "), ("1.0", "2.0", "3.0"), "gpl"),
+    ("lgpl", r"(?:gnu )?(?:(?:lesser|library) general public licen[sc]e|lgpl)", (" lgpl", " lesser general ", " library general "), ("2.0", "2.1", "3.0"), "lgpl"),
+    ("agpl", r"(?:gnu )?(?:affero general public licen[sc]e|agpl)", (" agpl", " affero "), ("1.0", "3.0"), "agpl"),
+    ("gfdl", r"(?:gnu )?(?:free documentation licen[sc]e|gfdl)", (" gfdl", " free documentation "), ("1.1", "1.2", "1.3"), "gfdl"),
     ("apache", r"apache (?:software )?licen[sc]e", (" apache ",), ("1.0", "1.1", "2.0"), "apache"),
     ("mit", r"mit(?: x11)? licen[sc]e", (" mit ",), (), "mit"),
     ("x11", r"x11 licen[sc]e", (" x11 ",), (), "x11"),
@@ -48,11 +48,11 @@ FAMILIES = (
     ("bsd-3-clause", r"(?:(?:new|modified|revised) bsd licen[sc]e|bsd 3 clause(?: licen[sc]e)?|3 clause bsd(?: licen[sc]e)?)", (" bsd ",), (), "bsd 3 clause"),
     ("bsd-4-clause", r"(?:original bsd licen[sc]e|bsd 4 clause(?: licen[sc]e)?|4 clause bsd(?: licen[sc]e)?)", (" bsd ",), (), "bsd 4 clause"),
     ("bsd", r"bsd licen[sc]e", (" bsd ",), (), "bsd"),
-    ("mpl", r"(?:mozilla public licen[sc]e|mpl)", (" mpl ", " mozilla "), ("1.0", "1.1", "2.0"), "mpl"),
-    ("epl", r"(?:eclipse public licen[sc]e|epl)", (" epl ", " eclipse "), ("1.0", "2.0"), "epl"),
-    ("cddl", r"(?:common development and distribution licen[sc]e|cddl)", (" cddl ", " common development "), ("1.0", "1.1"), "cddl"),
+    ("mpl", r"(?:mozilla public licen[sc]e|mpl)", (" mpl", " mozilla "), ("1.0", "1.1", "2.0"), "mpl"),
+    ("epl", r"(?:eclipse public licen[sc]e|epl)", (" epl", " eclipse "), ("1.0", "2.0"), "epl"),
+    ("cddl", r"(?:common development and distribution licen[sc]e|cddl)", (" cddl", " common development "), ("1.0", "1.1"), "cddl"),
     ("cpl", r"common public licen[sc]e", (" common public ",), ("1.0",), "cpl"),
-    ("eupl", r"(?:european union public licen[sc]e|eupl)", (" eupl ", " european union "), ("1.0", "1.1", "1.2"), "eupl"),
+    ("eupl", r"(?:european union public licen[sc]e|eupl)", (" eupl", " european union "), ("1.0", "1.1", "1.2"), "eupl"),
     ("artistic", r"artistic licen[sc]e", (" artistic ",), ("1.0", "2.0"), "artistic"),
     ("bsl", r"boost software licen[sc]e", (" boost ",), ("1.0",), "bsl"),
     ("python", r"(?:python software foundation|psf) licen[sc]e", (" python software ", " psf "), ("2.0",), "psf"),
@@ -63,18 +63,18 @@ FAMILIES = (
     ("afl", r"academic free licen[sc]e", (" academic free ",), ("1.1", "1.2", "2.0", "2.1", "3.0"), "afl"),
     ("ms-pl", r"microsoft public licen[sc]e", (" microsoft ",), (), "ms pl"),
     ("ms-rl", r"microsoft reciprocal licen[sc]e", (" microsoft ",), (), "ms rl"),
-    ("wtfpl", r"(?:do what the fuck you want to public licen[sc]e|wtfpl)", (" wtfpl ", " what the fuck "), ("1.0", "2.0"), "wtfpl"),
+    ("wtfpl", r"(?:do what the fuck you want to public licen[sc]e|wtfpl)", (" wtfpl", " what the fuck "), ("1.0", "2.0"), "wtfpl"),
     ("unlicense", r"unlicen[sc]e", ("unlicen",), (), "unlicense"),
     ("vim", r"vim licen[sc]e", (" vim ",), (), "vim"),
     ("postgresql", r"postgresql licen[sc]e", (" postgresql ",), (), "postgresql"),
     ("openssl", r"openssl licen[sc]e", (" openssl ",), (), "openssl"),
-    ("odbl", r"(?:open (?:data commons )?(?:open )?database licen[sc]e|odbl)", (" odbl ", " database "), ("1.0",), "odbl"),
+    ("odbl", r"(?:open (?:data commons )?(?:open )?database licen[sc]e|odbl)", (" odbl", " database "), ("1.0",), "odbl"),
     ("odc-by", r"(?:open data commons attribution licen[sc]e|odc by)", (" odc by ", " open data commons "), ("1.0",), "odc by"),
-    ("pddl", r"(?:public domain dedication and licen[sc]e|pddl)", (" pddl ", " domain dedication "), ("1.0",), "pddl"),
+    ("pddl", r"(?:public domain dedication and licen[sc]e|pddl)", (" pddl", " domain dedication "), ("1.0",), "pddl"),
     ("lppl", r"latex project public licen[sc]e", (" latex ",), ("1.0", "1.1", "1.2", "1.3"), "lppl"),
     ("ncsa", r"(?:university of illinois )?ncsa(?: open source)? licen[sc]e", (" ncsa ",), (), "ncsa"),
     ("upl", r"universal permissive licen[sc]e", (" universal ",), ("1.0",), "upl"),
-    ("sspl", r"(?:server side public licen[sc]e|sspl)", (" sspl ", " server side "), ("1.0",), "sspl"),
+    ("sspl", r"(?:server side public licen[sc]e|sspl)", (" sspl", " server side "), ("1.0",), "sspl"),
     ("elastic", r"elastic licen[sc]e", (" elastic ",), ("1.0", "2.0"), "elastic"),
     ("busl", r"business source licen[sc]e", (" business ",), ("1.0", "1.1"), "busl"),
     ("polyform-noncommercial", r"polyform noncommercial licen[sc]e", (" polyform ",), ("1.0",), "polyform noncommercial"),
@@ -113,7 +113,7 @@ GRANT = r"(?:licen[sc]ed|released|distributed|published|available|provided) unde
 LICENSE_WORD = r"(?: (?:international |unported |public )?licen[sc]e)?"
 
 # Parts of words one of which every text with a match contains, tried before anything else.
-STEMS = ("licen", "gpl", "gfdl", "mpl", "epl", "cddl", "eupl", "wtfpl", "pddl", "odbl", "odc", "sspl", "rail", "spdx",
+STEMS = ("licen", "apache", "gpl", "gfdl", "mpl", "epl", "cddl", "eupl", "wtfpl", "pddl", "odbl", "odc", "sspl", "rail", "spdx",
          "cc", "commons", "bsd", "public", "reserved", "proprietary", "copyright", "copyleft", "commercial",
          "permission", "redistribution")
 
@@ -125,6 +125,11 @@ def _version(version: str) -> str:
     return rf"(?:version |v ?)?{major}{tail}(?! [0-9])"
 
 
+# Between a name and its version: a space, or nothing before "v" or after an acronym as in "GPL3".
+JOINT = r"(?: |(?=v ?[0-9])|(?<=pl)(?=[0-9]))"
+SHORT = ("apache",)  # families named without "license" too, if the whole version follows
+
+
 def _forms(label: str, name: str, keywords: tuple[str, ...], versions: tuple[str, ...], tag: str) -> list[tuple]:
     """The rules of one family: named, granted and tagged, without and with each version."""
     rules = [
@@ -135,10 +140,13 @@ def _forms(label: str, name: str, keywords: tuple[str, ...], versions: tuple[str
     for version in versions:
         number, own = _version(version), f"{label}-{version}"
         rules += [
-            (own, rf"{name} {number}", keywords, GRANTED),
-            (own, rf"{GRANT}{name} {number}(?: or (?:any )?later(?: version)?)?", keywords, TAGGED),
+            (own, rf"{name}{JOINT}{number}", keywords, GRANTED),
+            (own, rf"{GRANT}{name}{JOINT}{number}(?: or (?:any )?later(?: version)?)?", keywords, TAGGED),
             (own, rf"spdx licen[sc]e identifier {tag} {number}(?: only| or later)?", (" spdx ",), TAGGED),
         ]
+        if label in SHORT:
+            whole = rf"{label} (?:version |v ?)?{version.replace('.', ' ')}(?! [0-9])"
+            rules += [(own, whole, keywords, NAMED), (own, GRANT + whole, keywords, GRANTED)]
     return rules
 
 
