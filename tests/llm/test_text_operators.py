@@ -199,6 +199,15 @@ def test_plain_layout_without_an_article():
 LONG = "<p>A long paragraph that says many things, one after the other, and ends like a sentence does.</p>"
 
 
+@pytest.mark.parametrize("wrapper", [
+    "layout has-sidebar", "notice", "search-layout", "follow legal", "register form", "related", "with-toc tags"])
+def test_wrappers_of_most_sentences_are_no_boilerplate(wrapper):
+    page = (f"<body><div class='{wrapper}'><div id='content'>{LONG * 3}</div><div class='sidebar'><p>Short one.</p></div></div>"
+            "<div class='cookie-notice'><p>We use cookies to make this site better for you.</p></div></body>")
+    text = html_mincut.main_text(page)
+    assert text == " ".join([re.sub("<.*?>", "", LONG)] * 3)
+
+
 def test_head_need_not_end():
     page = f"<html><head><title>T</title><meta charset=utf-8><script>'<p>no'</script><body><article>{LONG}</article>"
     assert html_mincut.main_text(page) == re.sub("<.*?>", "", LONG)

@@ -56,6 +56,7 @@ BAD_WORDS = frozenset(
     "related recommended recommendations trending popular toolbar masthead topbar skip contentinfo complementary "
     "dialog form feedback paywall toc tags outbrain taboola".split())
 GOOD_WORDS = frozenset("article articlebody content post entry story maincontent prose".split())
+MODIFIER = re.compile(r"(?:has|have|with|without|no|is|not)[-_]", re.I)  # says what a wrapper holds, not what it is
 HEADING_WORDS = frozenset("header heading headline title byline".split())
 BAD_WORD, GOOD_WORD = -6.0, 2.0
 STRONG = 4.0  # an element at or beyond this decides for what is inside, unless something stronger does
@@ -63,6 +64,7 @@ HIDDEN = -8.0
 LINKED, LONG, SENTENCE, HEADING, LEGAL = -4.0, 2.5, 0.5, 0.8, -3.0
 OUTSIDE = -3.0  # for a block outside the article of a page that marks one
 LONG_WORDS = 30
+ENDS = ".!?…\"'”»"  # of a sentence
 ADJACENT = (1.0, 0.5, 0.2)  # edge to the block before: same parent, same grandparent, else
 NEAR = 0.4  # edge to the last earlier block of the same parent with others between
 
@@ -74,6 +76,7 @@ class Element:
     inside_main: bool
     fixed: bool  # below navigation and the like, which nothing inside can undo
     number: int = 0
+    named_bad: bool = False  # judged boilerplate by its class, id or role alone
 
 
 @dataclass
@@ -87,13 +90,15 @@ class Block:
     tag: str = ""
     verdict: float = 0.0
     inside_main: bool = False
+    named_bad: tuple[int, ...] = ()  # elements around it that are judged by their names alone
 
     @property
     def text(self) -> str:
         return " ".join(unescape("".join(self.parts)).split())
 
 
-def _element(name: str, attrs: str, above: Element) -> Element:
+def _element(name: str, attrs: str, above: Element, excused: bool) -> Element:
+    named_bad = False
     weight = BY_TAG.get(name, 0.0)
     hard = weight <= -STRONG and name != "header"
     if name == "header" and above.inside_main:
@@ -102,12 +107,16 @@ def _element(name: str, attrs: str, above: Element) -> Element:
         named = {key.lower(): value.strip("\"'") for key, value in ATTRIBUTE.findall(attrs)}
         words = {
             word.lower() for key in ("class", "id", "role", "itemprop", "aria-label")
-            for word in NAME_PART.findall(named.get(key, ""))}
+            for part in named.get(key, "").split() if not MODIFIER.match(part) for word in NAME_PART.findall(part)}
         style = named.get("style", "").replace(" ", "").lower()
         if "display:none" in style or "visibility:hidden" in style or named.get("aria-hidden", "").lower() == "true":
             weight, hard = HIDDEN, True
         elif words & BAD_WORDS and not (above.inside_main and words & HEADING_WORDS):
-            weight = min(weight, 0.0) + BAD_WORD
+            named_bad = name not in BY_TAG
+            if not (named_bad and excused):
+                weight = min(weight, 0.0) + BAD_WORD
+            elif words & GOOD_WORDS:
+                weight += GOOD_WORD
         elif words & GOOD_WORDS:
             weight += GOOD_WORD
     verdict = above.verdict
@@ -118,14 +127,15 @@ def _element(name: str, attrs: str, above: Element) -> Element:
     else:
         verdict = above.verdict + weight
     main = (above.inside_main or name in ("article", "main")) and verdict > -STRONG
-    return Element(name, verdict, main, above.fixed or hard)
+    return Element(name, verdict, main, above.fixed or hard, named_bad=named_bad)
 
 
-def blocks_of(html: str) -> list[Block]:
+def blocks_of(html: str, excused: frozenset[int] = frozenset()) -> list[Block]:
     """The blocks of a page in order. Scripts, styles, controls and comments leave no text.
 
     What an element without text holds ends with it or with the block around it, whichever comes first;
-    one that ends nowhere in the rest of the page holds nothing.
+    one that ends nowhere in the rest of the page holds nothing. The names of elements whose numbers are
+    ``excused`` do not make them boilerplate.
     """
     root = Element("", 0.0, False, False)
     stack, found, current = [root], [], Block()
@@ -148,6 +158,7 @@ def blocks_of(html: str) -> list[Block]:
             current.parent, current.tag = boxes[-1].number, boxes[-1].name
             current.grandparent = boxes[-2].number if len(boxes) > 1 else 0
             current.verdict, current.inside_main = min(own.verdict, boxes[-1].verdict), own.inside_main
+            current.named_bad = tuple(element.number for element in stack if element.named_bad)
             found.append(current)
         current = Block()
 
@@ -211,7 +222,7 @@ def blocks_of(html: str) -> list[Block]:
                     elif stack[place].name in SCOPES or stack[place].name not in ("a", "span"):
                         break
             counter += 1
-            element = _element(name, match["attrs"] or "", stack[-1])
+            element = _element(name, match["attrs"] or "", stack[-1], counter in excused)
             element.number = counter
             stack.append(element)
         depth_a = sum(element.name == "a" for element in stack)
@@ -226,7 +237,7 @@ def log_odds(block: Block, text: str, marked: bool) -> float:
     odds = block.verdict + LINKED * linked
     if linked < 0.5:
         odds += LONG * min(1.0, words / LONG_WORDS)
-        odds += SENTENCE if text[-1:] in ".!?…\"'”»" else 0.0
+        odds += SENTENCE if text[-1:] in ENDS else 0.0
     if block.tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
         odds += HEADING
     if not block.inside_main:
@@ -323,11 +334,30 @@ def _source_side(nodes: list[int], odds: list[float], ties: list[dict[int, float
     return set(nodes) - lost
 
 
+def _wrappers(blocks: list[tuple[Block, str]]) -> frozenset[int]:
+    """Elements that are boilerplate by their names alone, but hold most of the page's sentence text."""
+    held, total = {}, 0
+    for block, text in blocks:
+        if text[-1:] in ENDS and 2 * block.linked < len(text):
+            total += len(text)
+            for number in block.named_bad:
+                held[number] = held.get(number, 0) + len(text)
+    return frozenset(number for number, size in held.items() if 2 * size > total)
+
+
 def main_text(html: str) -> str:
-    """The blocks labelled content, joined by one space."""
-    blocks = [(block, block.text) for block in blocks_of(html)]
-    blocks = [(block, text) for block, text in blocks if text]
+    """The blocks labelled content, joined by one space.
+
+    On a page that marks no article, a wrapper around most of its sentences is no boilerplate, whatever
+    its class says; the page is then read again without that verdict.
+    """
+    def read(excused: frozenset[int]) -> list[tuple[Block, str]]:
+        return [(block, text) for block in blocks_of(html, excused) if (text := block.text)]
+
+    blocks = read(frozenset())
     marked = any(block.inside_main for block, _ in blocks)
+    if not marked and (excused := _wrappers(blocks)):
+        blocks = read(excused)
     odds = [log_odds(block, text, marked) for block, text in blocks]
     labels = minimum_cut(odds, edges_of([block for block, _ in blocks]))
     return " ".join(text for (_, text), content in zip(blocks, labels) if content)
