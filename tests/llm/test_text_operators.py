@@ -526,3 +526,12 @@ def test_languages_of_odd_texts(spark):
     assert all(row["lang_pred"] in ("en", "und") for row in found.values())
     unknown = by_id(language_id.predictions(rows.selectExpr("doc_id", "text", "cast(null as string) lang")))
     assert all(row["lang_pred"] == "und" and row["score"] == 0 for row in unknown.values())
+
+
+def test_long_documents_and_many_languages_are_learned_from(spark):
+    rows = [(number, f"{number} words " * (5000 if number % 7 == 0 else 20), f"l{number % 210}") for number in range(1500)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    learned = [row for row in rows if zlib.crc32(str(row[0]).encode()) % HELD_OUT_OF != 1]
+    samples = language_id.sample_texts(frame, 2)
+    assert set(samples) == {lang for _, _, lang in learned} and len(samples) > language_id.MAX_LANGUAGES
+    assert all(text in {row[1] for row in learned if row[2] == lang} for lang, texts in samples.items() for text in texts)
