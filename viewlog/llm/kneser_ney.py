@@ -38,8 +38,9 @@ from viewlog.session import scratch_path
 ORDER = 2
 HELD_OUT_OF = 10  # documents with crc32(doc_id) mod 10 = 0 are never learned from
 SMOOTHING = 0.1  # of the base model: added to every word's count
-PER_SHARD = 1 << 23  # words of the training texts per shard
-MERGED = 1 << 20  # n-grams whose sides are added up before they are sent on
+PER_SHARD = 1 << 21  # words of the training texts per shard
+COUNTED = 1 << 20  # words whose n-grams are added up before they are sent on
+MERGED = 1 << 18  # n-grams whose sides are added up before they are sent on
 SCORES = T.StructType([
     T.StructField("n_tokens", T.LongType()),
     T.StructField("n_known", T.LongType()),
@@ -104,7 +105,7 @@ def _count_grams(model: Model) -> Callable:
     """Counts of the n-grams of highest order of every block."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(map(_texts, batches), model.order):
+        for block in blocks(map(_texts, batches), model.order, COUNTED):
             ends = np.flatnonzero(block.row >= 0)
             size, code, bound = len(block.hashes), np.zeros(len(ends), dtype=np.int64), 1
             for back in range(model.order - 1, -1, -1):
@@ -143,6 +144,12 @@ def discounts_of(seen: list[int]) -> tuple[float, float, float]:
 PROFILE = ("total", "kinds", "once", "twice")
 
 
+def _discounted(found: dict, discounts: tuple[float, float, float]):
+    """What the discounts take from all n-grams of a context; over their total, the lower level's weight."""
+    return discounts[0] * found["once"] + discounts[1] * found["twice"] + discounts[2] * (
+        found["kinds"] - found["once"] - found["twice"])
+
+
 def _merged(runs: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """Batches joined to some of at least ``size`` rows."""
     held: list[pa.RecordBatch] = []
@@ -193,11 +200,12 @@ def _level(spark: SparkSession, folder: str, model: Model, grams: DataFrame, len
     found = {name: value or 0 for name, value in seen.get.items()}
     discounts = discounts_of([found[name] for name in ("once", "twice", "thrice", "four")])
     if length == 1:
-        backoff = _backoff(*(np.array([float(found[name])]) for name in PROFILE), discounts)
-        return Level(hash_arrays.published(spark, table), None, discounts, float(found["total"]), float(backoff[0])), None
-    contexts = hash_arrays.table(
-        folder, f"contexts{length}", model.tokens, PER_SHARD, total="float", kinds="float", once="float", twice="float")
-    hash_arrays.store(both.where(~F.col("suffix")).withColumn("hash", F.xxhash64(*rest)), contexts)
+        backoff = _discounted(found, discounts) / max(found["total"], 1) if found["total"] else 1.0
+        return Level(hash_arrays.published(spark, table), None, discounts, float(found["total"]), backoff), None
+    contexts = hash_arrays.table(folder, f"contexts{length}", model.tokens, PER_SHARD, total="float", backoff="float")
+    profile = {name: F.col(name) for name in PROFILE}
+    hash_arrays.store(both.where(~F.col("suffix")).select(
+        F.xxhash64(*rest).alias("hash"), "total", (_discounted(profile, discounts) / F.col("total")).alias("backoff")), contexts)
     # What starts a text has no word before it, so there its occurrences count.
     lower = F.when(F.col("w0") == model.start, F.col("total")).otherwise(F.col("kinds"))
     below = both.where("suffix").select(*rest, lower.alias("count"))
@@ -214,6 +222,8 @@ def learn(documents: DataFrame, order: int = ORDER) -> Model:
     sums = counted.agg(F.sum("count").alias("tokens"), F.count(F.lit(1)).alias("words")).first()
     tokens, vocabulary = sums["tokens"] or 0, sums["words"]
     words = hash_arrays.table(folder, "words", vocabulary, PER_SHARD, count="bigint")
+    if not tokens:
+        return Model(order, words, (), 0, 0)
     hash_arrays.store(counted.withColumnRenamed("word", "hash"), words)
     model = Model(order, hash_arrays.published(spark, words), (), tokens, vocabulary)
 
@@ -225,12 +235,6 @@ def learn(documents: DataFrame, order: int = ORDER) -> Model:
     return Model(order, model.words, tuple(levels), tokens, vocabulary)
 
 
-def _backoff(total, kinds, once, twice, discounts):
-    """The weight of the lower level after a context; 1 after one that was never seen."""
-    taken = discounts[0] * once + discounts[1] * twice + discounts[2] * (kinds - once - twice)
-    return np.where(total > 0, taken / np.maximum(total, 1), 1.0)
-
-
 def probabilities(model: Model, block: Block, numbers: np.ndarray) -> np.ndarray:
     """The probability of every word of a block after the words before it, in order."""
     ends = np.flatnonzero(block.row >= 0)
@@ -249,8 +253,8 @@ def probabilities(model: Model, block: Block, numbers: np.ndarray) -> np.ndarray
         if level.contexts is None:
             total, weight = np.full(len(ends), level.total), np.full(len(ends), level.backoff)
         else:
-            profile = looked_up(level.contexts, length - 1, 1, *PROFILE)
-            total, weight = profile[0], _backoff(*profile, level.discounts)
+            total, weight = looked_up(level.contexts, length - 1, 1, "total", "backoff")
+            weight = np.where(total > 0, weight, 1.0)  # after a context never seen, the lower level decides alone
         # What was not seen has the discount of 0 here.
         taken = np.array([0.0, *level.discounts])[np.minimum(count, 3).astype(np.int64)]
         low = np.where(total > 0, (count - taken) / np.maximum(total, 1), 0.0) + weight * low

@@ -17,9 +17,9 @@ import xxhash
 
 from viewlog.llm.hash_arrays import hash_numbers
 
-PIECE = 1 << 20  # bytes handled at once; a text may have several pieces
+PIECE = 1 << 19  # bytes handled at once; a text may have several pieces
 LONG = 1 << 12
-BLOCK = 1 << 20  # words per block
+BLOCK = 1 << 18  # words per block
 BASE = 0x9DDFEA08EB382D69  # odd, so that its powers can be divided by
 
 _LOWER = np.arange(256, dtype=np.uint8)
