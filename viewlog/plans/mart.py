@@ -11,7 +11,7 @@ from viewlog import schema
 from viewlog.functions import calendar, measures
 from viewlog.operators import aggregates, rows
 from viewlog.plans import warehouse as wh
-from viewlog.sinks.versioned import Table, VersionedStore
+from viewlog.sinks.versioned import Table, VersionedStore, given
 
 ANALYTICS = "dm_contract_analytics"
 DAILY = "dm_daily_summary"
@@ -20,10 +20,12 @@ MEDIA = "media_report"
 
 # The analytics files are sorted by contract, so a one-contract report skips most row groups.
 TABLES = (
-    Table(ANALYTICS, schema.DM_CONTRACT_ANALYTICS, dated_by="DateValue", sort_by=("ContractID",)),
-    Table(DAILY, schema.DM_DAILY_SUMMARY, dated_by="DateValue"),
-    Table(TREND, schema.DM_CONTENT_TYPE_TREND, dated_by="DateValue"),
+    Table(ANALYTICS, schema.DM_CONTRACT_ANALYTICS, dated_by="DateValue", sort_by=("ContractID",),
+          rules=given("DateValue", "ContractID", "TotalDevices")),
+    Table(DAILY, schema.DM_DAILY_SUMMARY, dated_by="DateValue", rules=given("DateValue"), unique=("DateValue",)),
+    Table(TREND, schema.DM_CONTENT_TYPE_TREND, dated_by="DateValue", rules=given("DateValue", "ContentType")),
 )
+SOURCE = "warehouse"  # the name under which the marts note which of its runs they have taken in
 
 
 def mart_store(spark: SparkSession, root: str) -> VersionedStore:
@@ -121,13 +123,13 @@ def trend_rows(facts: DataFrame, small: wh.SmallDims) -> DataFrame:
     return with_calendar(facts, small.date).join(F.broadcast(types), "ContentTypeKey")
 
 
-def known_logs(logs: DataFrame) -> DataFrame:
+def known_logs(logs: DataFrame, calendar_range: tuple[str, str] = schema.CALENDAR) -> DataFrame:
     """Log rows that would reach the facts, with their category.
 
     The calendar is one unbroken range and the application list is fixed, so membership is a
     predicate that reaches the scan, and no dimension has to be joined.
     """
-    calendar_days = rows.between(logs, schema.CALENDAR_START, schema.CALENDAR_END, "EventDate")
+    calendar_days = rows.between(logs, *calendar_range, "EventDate")
     listed = rows.complete(calendar_days, "Contract", "Mac").where(F.col("AppName").isin(*schema.KNOWN_APPS))
     return listed.withColumn("AppCategory", measures.category_of("AppName"))
 
@@ -182,12 +184,15 @@ def load_mart(
 
     Activation counts from the contract's first date in the whole history; with
     ``first_date_scope="filtered"`` it counts from its first date among the loaded ones.
-    Returns the rows written per table.
+    All is read from the warehouse as it is at the start; the marts note that they have taken it in if
+    the given dates hold all that it changed since they last did. Returns the rows written per table.
     """
     if first_date_scope not in ("history", "filtered"):
         raise ValueError(f"first_date_scope must be 'history' or 'filtered', not {first_date_scope!r}")
     if process_date is not None:
         process_dates = [rows.as_date(process_date)]
+    warehouse = warehouse.snapshot()
+    taken = {SOURCE: warehouse.last_run()} if _covers(process_dates, warehouse, mart) else None
     small = wh.SmallDims.build(spark, calendar=calendar_range)
     summary = _on_keys(warehouse.read(wh.SUMMARY), process_dates)
     facts = _on_keys(warehouse.read(wh.FACTS), process_dates)
@@ -203,17 +208,56 @@ def load_mart(
     run.write(ANALYTICS, contract_analytics(days))
     run.write(DAILY, daily_summary(with_calendar(summary, small.date)))
     run.write(TREND, content_type_trend(trend_rows(facts, small)))
-    run.publish(replaces=process_dates)
+    run.publish(replaces=process_dates, taken=taken)
     return run.counts
 
 
-def moved_dates(warehouse: VersionedStore) -> list[date]:
-    """All dates of the contracts whose first date the newest load moved.
+def _covers(dates: list[date] | None, warehouse: VersionedStore, mart: VersionedStore) -> bool:
+    """Whether loading these dates takes in all that the warehouse has changed."""
+    if dates is None:
+        return True
+    changed = loaded_dates(warehouse, mart)
+    return changed is not None and {*changed} <= {*dates} and {*moved_dates(warehouse, mart.taken(SOURCE))} <= {*dates}
+
+
+def loaded_dates(warehouse: VersionedStore, mart: VersionedStore) -> list[date] | None:
+    """The dates of all warehouse loads that the marts have not taken in; None meaning every date."""
+    loads = warehouse.loads_after(mart.taken(SOURCE))
+    if any(load.dates is None for load in loads):
+        return None
+    return sorted({day for load in loads for day in load.dates})
+
+
+def pending_dates(warehouse: VersionedStore, mart: VersionedStore) -> list[date] | None:
+    """The dates the marts have to rebuild to be those of the warehouse; None meaning every date.
+
+    These are the dates of the loads they have not taken in, and where such a load moved a contract's
+    first date, its other dates. How many loads there were, and whether they were folded since, does
+    not matter.
+    """
+    dates = loaded_dates(warehouse, mart)
+    return None if dates is None else sorted({*dates, *moved_dates(warehouse, mart.taken(SOURCE))})
+
+
+def catch_up(
+    spark: SparkSession, warehouse: VersionedStore, mart: VersionedStore, calendar_range: tuple[str, str] = schema.CALENDAR,
+) -> dict[str, int]:
+    """Take in whatever the warehouse has changed since the marts last did; nothing if it has not."""
+    warehouse = warehouse.snapshot()
+    dates = pending_dates(warehouse, mart)
+    if dates == []:
+        return {table.name: 0 for table in TABLES}
+    return load_mart(spark, warehouse, mart, process_dates=dates, calendar_range=calendar_range)
+
+
+def moved_dates(warehouse: VersionedStore, after: int | None = None) -> list[date]:
+    """All dates of the contracts whose first date was moved by the newest load, or by runs after ``after``.
 
     Their activation changes on every date. New contracts have no other dates, so they are not looked
     up; at most one entry per calendar day comes back.
     """
-    changes = warehouse.read(wh.FIRST, with_run=True).where(F.col("run") == warehouse.last_run())
+    after = warehouse.last_run() - 1 if after is None else after
+    changes = warehouse.read(wh.FIRST, with_run=True).where(wh.change_run() > after)
     moved = changes.where(F.col("WasDateKey").isNotNull()).select("ContractKey")
     dates = warehouse.read(wh.SUMMARY).join(moved, "ContractKey", "left_semi").select("DateKey").distinct()
     return [date.fromisoformat(str(row.DateKey)) for row in dates.collect()]

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from viewlog.operators import profile, rows
 from viewlog.operators.aggregates import table_counts
 from viewlog.plans import mart, quality, warehouse
+from viewlog.plans.journal import Journal
 from viewlog.schema import CALENDAR
 from viewlog.sinks import files
 from viewlog.sinks.versioned import VersionedStore
@@ -81,15 +82,19 @@ def refresh(
 ) -> dict[str, int]:
     """Rebuild warehouse, media report and marts from staging for the given dates, None meaning all.
 
-    Where a contract's first date moved, in either direction, its other dates follow in the marts.
+    Where a contract's first date moved, in either direction, its other dates follow in the marts. The
+    journal of the root says which dates were begun: those of a refresh that failed, wherever it did,
+    are done by the next one, whatever its own dates are. One refresh of a root at a time.
     """
-    store, marts = stores(spark, root)
+    log = Journal(spark, root)
+    dates = log.begin(dates)
+    (store, marts), reports = stores(spark, root), media(spark, root)
     staged = files.read_staging(spark, staging_folder(root))
     counts = warehouse.load_warehouse(spark, staged, store, process_dates=dates, calendar=calendar)
-    counts |= mart.load_media_report(spark, staged, media(spark, root), process_dates=dates)
-    if dates is not None:
-        dates = sorted({*dates, *mart.moved_dates(store)})
-    return counts | mart.load_mart(spark, store, marts, process_dates=dates, calendar_range=calendar)
+    counts |= mart.load_media_report(spark, staged, reports, process_dates=dates)
+    counts |= mart.catch_up(spark, store, marts, calendar)
+    log.end(warehouse=store.position(), mart=marts.position(), media=reports.position())
+    return counts
 
 
 def run_with_checks(
@@ -104,6 +109,25 @@ def run_with_checks(
     return before, after
 
 
+def compact(spark: SparkSession, root: str) -> None:
+    """Fold the three stores of a root; what ``committed`` gave before stays readable until the next time."""
+    for store in (*stores(spark, root), media(spark, root)):
+        store.compact(retain=1)
+
+
+def committed(spark: SparkSession, root: str) -> tuple[VersionedStore, VersionedStore, VersionedStore]:
+    """Warehouse, marts and media report as the last whole refresh left them.
+
+    The three fit each other: what a refresh that is running, or has failed, has published in some of
+    them is not seen. Without any refresh they are as they are.
+    """
+    at = Journal(spark, root).committed()
+    (store, marts), reports = stores(spark, root), media(spark, root)
+    if at is None:
+        return store, marts, reports
+    return store.snapshot(at["warehouse"]), marts.snapshot(at["mart"]), reports.snapshot(at["media"])
+
+
 def staging_folder(root: str) -> str:
     return f"{root}/staging_raw"
 

@@ -24,8 +24,8 @@ MEDIA_VIEW = "Fact_MediaReport"
 
 
 def register_views(spark: SparkSession, root: str) -> list[str]:
-    """Register every table below ``root`` as it is visible now; returns the view names."""
-    store, marts = pipeline.stores(spark, root)
+    """Register every table below ``root`` as the last whole refresh left it; returns the view names."""
+    store, marts, reports = pipeline.committed(spark, root)
     small = wh.SmallDims.build(spark)
     views: dict[str, DataFrame] = {
         "Staging_RawData": files.read_staging(spark, pipeline.staging_folder(root)),
@@ -34,7 +34,7 @@ def register_views(spark: SparkSession, root: str) -> list[str]:
         "DimContentType": small.content_type,
         **{view: store.read(table) for view, table in WAREHOUSE_VIEWS.items()},
         **{view: marts.read(table) for view, table in MART_VIEWS.items()},
-        MEDIA_VIEW: pipeline.media(spark, root).read(mart.MEDIA),
+        MEDIA_VIEW: reports.read(mart.MEDIA),
     }
     for name, frame in views.items():
         frame.createOrReplaceTempView(name)

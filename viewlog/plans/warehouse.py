@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewlog import schema
 from viewlog.functions import measures
 from viewlog.operators import aggregates, rows
 from viewlog.plans import dims
-from viewlog.sinks.versioned import Run, Table, VersionedStore
+from viewlog.sinks.versioned import Rule, Run, Table, VersionedStore, given
 
 FACTS = "fact_viewing_session"
 SUMMARY = "fact_contract_summary"
@@ -20,18 +20,27 @@ CONTRACTS = "dim_contract"
 DEVICES = "dim_device"
 FIRST = "contract_first_date"
 
+# Which columns are always given, which values occur once and which keys point to members is fixed by the schema.
 TABLES = (
-    Table(CONTRACTS, schema.DIM_CONTRACT),
-    Table(DEVICES, schema.DIM_DEVICE),
-    Table(FACTS, schema.FACT_VIEWING_SESSION, dated_by="DateKey"),
-    Table(SUMMARY, schema.FACT_CONTRACT_SUMMARY, dated_by="DateKey"),
-    Table(FIRST, schema.FIRST_DATE, fold=lambda changes: _newest_first(changes).withColumn(
-        "WasDateKey", F.lit(None).cast("int"))),
+    Table(CONTRACTS, schema.DIM_CONTRACT, rules=given("ContractID"), key="ContractKey", unique=("ContractID",)),
+    Table(DEVICES, schema.DIM_DEVICE, rules=given("MacAddress"), key="DeviceKey", unique=("MacAddress",),
+          references=(("ContractKey", CONTRACTS),)),
+    Table(FACTS, schema.FACT_VIEWING_SESSION, dated_by="DateKey",
+          rules=given("DateKey", "AppKey", "ContentTypeKey", "TotalDuration", "SessionCount"),
+          references=(("ContractKey", CONTRACTS), ("DeviceKey", DEVICES))),
+    Table(SUMMARY, schema.FACT_CONTRACT_SUMMARY, dated_by="DateKey",
+          rules=given("DateKey", "TotalDevices", "TotalDuration_All"), references=(("ContractKey", CONTRACTS),)),
+    Table(FIRST, schema.FIRST_DATE, references=(("ContractKey", CONTRACTS),),
+          fold=lambda changes: newest_changes(changes).where(F.col("FirstDateKey").isNotNull())),
 )
 
 
-def warehouse_store(spark: SparkSession, root: str) -> VersionedStore:
-    return VersionedStore(spark, root, TABLES)
+def warehouse_store(
+    spark: SparkSession, root: str, rules: dict[str, tuple[Rule, ...]] | None = None
+) -> VersionedStore:
+    """The warehouse below a folder; ``rules`` adds rules to those of its tables, by table name."""
+    more = rules or {}
+    return VersionedStore(spark, root, [replace(table, rules=(*table.rules, *more.get(table.name, ()))) for table in TABLES])
 
 
 @dataclass(frozen=True)
@@ -108,6 +117,17 @@ def first_dates(store: VersionedStore) -> DataFrame:
     return _newest_first(store.read(FIRST, with_run=True))
 
 
+def change_run() -> Column:
+    """The run that made a change, folded or not."""
+    return F.coalesce("ChangeRun", "run")
+
+
+def newest_changes(changes: DataFrame) -> DataFrame:
+    """The newest change of every contract, with the run that made it."""
+    made = F.struct("FirstDateKey", "WasDateKey", change_run().alias("ChangeRun"))
+    return changes.groupBy("ContractKey").agg(F.max_by(made, "run").alias("_newest")).select("ContractKey", "_newest.*")
+
+
 def _newest_first(changes: DataFrame) -> DataFrame:
     newest = changes.groupBy("ContractKey").agg(F.max_by("FirstDateKey", "run").alias("FirstDateKey"))
     return newest.where(F.col("FirstDateKey").isNotNull())
@@ -132,7 +152,8 @@ def first_date_changes(run: Run, dates: list[date] | None) -> DataFrame:
         rest = rest.groupBy("ContractKey").agg(F.min("DateKey").alias("_rest"))
         moved = both.join(rest, "ContractKey", "left").withColumn(
             "FirstDateKey", F.when(lost, F.least("_loaded", "_rest")).otherwise(F.least("_loaded", "WasDateKey")))
-    return moved.where(~F.col("FirstDateKey").eqNullSafe(F.col("WasDateKey"))).select(*schema.FIRST_DATE.names)
+    changed = moved.where(~F.col("FirstDateKey").eqNullSafe(F.col("WasDateKey")))
+    return changed.withColumn("ChangeRun", F.lit(None).cast("int")).select(*schema.FIRST_DATE.names)
 
 
 def load_warehouse(
@@ -148,8 +169,9 @@ def load_warehouse(
 
     Dimensions only gain members; facts and summaries of the loaded dates are replaced, so loading
     a date again changes nothing. Everything is written under a new run number and becomes visible
-    in one step at the end. ``calendar`` gives the first and last day of the date dimension. Returns
-    the rows written per table, and the sessions that each dimension turned away.
+    in one step at the end, if no row breaks a rule. A load of other dates at the same time makes this
+    one begin again, one of the same dates refuses it. ``calendar`` gives the first and last day of the
+    date dimension. Returns the rows written per table, and the sessions that each dimension turned away.
     """
     small = SmallDims.build(spark, unknown, calendar)
     if process_date is not None:
@@ -158,15 +180,18 @@ def load_warehouse(
     if unknown == "error":
         logs = logs.withColumn("AppName", measures.known_app_or_other("AppName"))
 
-    run = store.begin()
-    grain = run.scratch("session_grain", aggregates.session_grain(logs), schema.SESSION_GRAIN)
-    run.write(CONTRACTS, dims.new_contracts(grain, run.before(CONTRACTS)))
-    contracts = run.before(CONTRACTS).unionByName(run.read(CONTRACTS))
-    owned = run.scratch("owned_pairs", dims.owned_pairs(grain, contracts), schema.OWNED_PAIRS)
-    run.write(DEVICES, dims.new_devices(owned, run.before(DEVICES)))
-    devices = run.before(DEVICES).unionByName(run.read(DEVICES))
-    run.write(FACTS, fact_viewing_session(grain, small, dims.pair_keys(owned, devices)))
-    run.write(SUMMARY, fact_contract_summary(run.read(FACTS), small))
-    run.write(FIRST, first_date_changes(run, process_dates))
-    run.publish(replaces=process_dates)
-    return run.counts | turned_away(grain, small)
+    def load(run: Run) -> None:
+        grain = run.scratch("session_grain", aggregates.session_grain(logs), schema.SESSION_GRAIN)
+        run.write(CONTRACTS, dims.new_contracts(grain, run.before(CONTRACTS)))
+        contracts = run.before(CONTRACTS).unionByName(run.read(CONTRACTS))
+        owned = run.scratch("owned_pairs", dims.owned_pairs(grain, contracts), schema.OWNED_PAIRS)
+        run.write(DEVICES, dims.new_devices(owned, run.before(DEVICES)))
+        devices = run.before(DEVICES).unionByName(run.read(DEVICES))
+        run.write(FACTS, fact_viewing_session(grain, small, dims.pair_keys(owned, devices)))
+        run.write(SUMMARY, fact_contract_summary(run.read(FACTS), small))
+        run.write(FIRST, first_date_changes(run, process_dates))
+        turned.update(turned_away(grain, small))
+        run.publish(replaces=process_dates)
+
+    turned: dict[str, int] = {}
+    return store.load(load).counts | turned

@@ -85,7 +85,8 @@ SESSION_GRAIN = columns(EventDate="date", Contract="string", Mac="string", AppNa
 OWNED_PAIRS = columns(Contract="string", Mac="string", ContractKey="bigint")
 
 # One row per change: the newest run of a contract says which date is its first; NULL: it has none left.
-FIRST_DATE = columns(ContractKey="bigint", FirstDateKey="int", WasDateKey="int")
+# ChangeRun is the run of the change where another run has folded it, else NULL.
+FIRST_DATE = columns(ContractKey="bigint", FirstDateKey="int", WasDateKey="int", ChangeRun="int")
 
 DIM_CONTRACT = columns(ContractKey="bigint", ContractID="string")
 DIM_DEVICE = columns(DeviceKey="bigint", MacAddress="string", ContractKey="bigint")

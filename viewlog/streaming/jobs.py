@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from viewlog.functions import measures
 from viewlog.operators import rows
 from viewlog.plans import pipeline
-from viewlog.schema import CALENDAR_END, CALENDAR_START, RAW
+from viewlog.plans.journal import Journal
+from viewlog.schema import CALENDAR, RAW
 from viewlog.sinks import files
 from viewlog.sources import landing
 
@@ -70,11 +71,13 @@ def ingest_and_refresh(
     run_date: date | str | None = None,
     level: str = "file",
     per_batch: int | None = None,
+    calendar: tuple[str, str] = CALENDAR,
 ) -> None:
     """Ingest new files and rebuild warehouse and marts for the dates they touch.
 
     A date is rebuilt from all of its staging rows, so a late file simply touches its date again, and
-    a file that is read again touches the dates it had before as well.
+    a file that is read again touches the dates it had before as well. The dates are put down in the
+    journal before staging changes: a batch that fails anywhere and is repeated loses none.
     """
 
     def append_and_refresh(batch: DataFrame, number: int) -> None:
@@ -82,16 +85,18 @@ def ingest_and_refresh(
             return
         staging = pipeline.staging_folder(root)
         before = files.dates_held(spark, staging, batch)
-        files.append_staging(batch, staging, "stream", checked=True)
         # At most one value per calendar day; dates outside the calendar reach no table.
-        touched = rows.between(batch, CALENDAR_START, CALENDAR_END, "EventDate").select("EventDate").distinct()
-        pipeline.refresh(spark, root, sorted({row.EventDate for row in touched.collect()} | set(before)))
+        touched = rows.between(batch, *calendar, "EventDate").select("EventDate").distinct()
+        dates = sorted({row.EventDate for row in touched.collect()} | set(before))
+        Journal(spark, root).begin(dates)
+        files.append_staging(batch, staging, "stream", checked=True)
+        pipeline.refresh(spark, root, dates, calendar)
 
     stream = rows.staging_rows(new_files(spark, folder, level, per_batch), run_date)
     _run(stream, append_and_refresh, checkpoint)
 
 
-def daily_totals(logs: DataFrame, late: str | None = None) -> DataFrame:
+def daily_totals(logs: DataFrame, late: str | None = None, calendar: tuple[str, str] = CALENDAR) -> DataFrame:
     """Running seconds, sessions and estimated contracts per event date and category.
 
     Days may come in any order. The state is a row per calendar day and category, so it is bounded
@@ -100,7 +105,7 @@ def daily_totals(logs: DataFrame, late: str | None = None) -> DataFrame:
     out as well, and finished days leave the state.
     """
     midnight = F.timestamp_seconds(F.unix_date("EventDate") * 86400)
-    dated = rows.with_category(rows.between(logs, CALENDAR_START, CALENDAR_END, "EventDate")).withColumn("day", midnight)
+    dated = rows.with_category(rows.between(logs, *calendar, "EventDate")).withColumn("day", midnight)
     return (
         (dated.withWatermark("day", late) if late else dated)
         .groupBy("day", "Type")
