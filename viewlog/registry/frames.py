@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,7 @@ LOADED_BEFORE = "2024-01-02"  # earlier dates count as loaded when increments ar
 ONE_DAY = "2024-01-16"
 RANGE = ("2024-01-05", "2024-01-20")
 ONE_CONTRACT = "C00007"
+SHORT = "TotalDuration < 3600"  # a rule that some session breaks
 ORDERS_AS_OF = "2028-12-31"
 ORDERS_DAYS = 3650  # reaches back before the first order line
 
@@ -42,6 +44,11 @@ class Frames:
     def staging(self) -> DataFrame:
         return adapter.log_from_events(self.events)
 
+    @cached_property
+    def days(self) -> list[date]:
+        """The dates of the log: one per calendar day at most."""
+        return [row.EventDate for row in self.staging.select("EventDate").distinct().orderBy("EventDate").collect()]
+
     @cached_property
     def order_log(self) -> DataFrame:
         tables = [self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet") for name in ("lineitem", "orders")]

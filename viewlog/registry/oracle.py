@@ -7,7 +7,7 @@ Every statement starts from the same chain of common table expressions: the log
 from __future__ import annotations
 
 from viewlog import schema
-from viewlog.registry.frames import AS_OF, LOADED_BEFORE, ONE_CONTRACT, ONE_DAY, ORDERS_AS_OF, ORDERS_DAYS, RANGE
+from viewlog.registry.frames import AS_OF, LOADED_BEFORE, ONE_CONTRACT, ONE_DAY, ORDERS_AS_OF, ORDERS_DAYS, RANGE, SHORT
 from viewlog.sources.adapter import SHIFT_DAYS
 
 _APPS = ", ".join(f"'{app}'" for app in schema.KNOWN_APPS)
@@ -500,6 +500,17 @@ UNION ALL SELECT 'device', MacAddress FROM dim_device""",
     "load_mart_daily": "SELECT * FROM daily",
     "load_mart_trend": "SELECT * FROM trend",
     "refresh_late_and_corrected": "SELECT * FROM analytics",
+    "load_mart_behind": "SELECT * FROM analytics",
+    "refresh_resumed": "SELECT * FROM analytics",
+    "stream_refresh": "SELECT * FROM analytics",
+    "load_side_by_side": """
+SELECT * FROM daily WHERE DateValue IN (SELECT DISTINCT EventDate FROM staging ORDER BY EventDate LIMIT 2)""",
+    "load_audited": f"""
+SELECT 'kept' AS Load, CAST(NULL AS VARCHAR) AS TableName, CAST(NULL AS VARCHAR) AS Rule, CAST(0 AS BIGINT) AS RowsBroken,
+  count(*) AS RowsVisible FROM fact JOIN dim_date USING (DateKey) WHERE DateValue = {_DAY}
+UNION ALL
+SELECT 'broken', 'fact_viewing_session', 'sessions are short', count(*), 0
+FROM fact JOIN dim_date USING (DateKey) WHERE DateValue = {_DAY} AND NOT ({SHORT})""",
     "run_pipeline_range": f"SELECT * FROM daily WHERE {_IN_RANGE}",
     "run_pipeline_media": _MEDIA,
     "load_staging_undated": "SELECT * FROM staging",

@@ -12,9 +12,21 @@ from viewlog.functions import calendar, measures
 from viewlog.operators import aggregates, joins, keys, profile, rows
 from viewlog.plans import dims, mart, pipeline, quality, report
 from viewlog.plans import warehouse as wh
-from viewlog.registry.frames import AS_OF, LOADED_BEFORE, ONE_CONTRACT, ONE_DAY, ORDERS_AS_OF, ORDERS_DAYS, RANGE, Frames
+from viewlog.plans.journal import Journal
+from viewlog.registry.frames import (
+    AS_OF,
+    LOADED_BEFORE,
+    ONE_CONTRACT,
+    ONE_DAY,
+    ORDERS_AS_OF,
+    ORDERS_DAYS,
+    RANGE,
+    SHORT,
+    Frames,
+)
 from viewlog.session import scratch_path
 from viewlog.sinks import files
+from viewlog.sinks.versioned import Refused, Rule, RulesBroken
 from viewlog.sources import adapter, landing
 from viewlog.streaming import jobs
 
@@ -588,6 +600,68 @@ def refresh_late_and_corrected(f: Frames) -> DataFrame:
     return marts.read(mart.ANALYTICS)
 
 
+@query
+def load_mart_behind(f: Frames) -> DataFrame:
+    """Marts that take in two late loads at once, though the warehouse was folded between them."""
+    store, marts = pipeline.stores(f.spark, scratch_path(f.spark, "behind"))
+    early, late = f.days[:4], f.days[4:]
+    wh.load_warehouse(f.spark, f.staging, store, process_dates=late)
+    mart.catch_up(f.spark, store, marts)
+    wh.load_warehouse(f.spark, f.staging, store, process_dates=early[:2])
+    store.compact()
+    wh.load_warehouse(f.spark, f.staging, store, process_dates=early[2:])
+    mart.catch_up(f.spark, store, marts)
+    return marts.read(mart.ANALYTICS)
+
+
+@query
+def refresh_resumed(f: Frames) -> DataFrame:
+    """A refresh of the first days that ended after its warehouse load, and one of another day after it."""
+    root = scratch_path(f.spark, "resumed")
+    store, _ = pipeline.stores(f.spark, root)
+    files.append_staging(f.staging, pipeline.staging_folder(root), "main", mixed_dates=True)
+    pipeline.refresh(f.spark, root, f.days[4:])
+    lost = Journal(f.spark, root).begin(f.days[:4])
+    wh.load_warehouse(f.spark, f.staging, store, process_dates=lost)
+    pipeline.refresh(f.spark, root, [rows.as_date(ONE_DAY)])
+    return pipeline.committed(f.spark, root)[1].read(mart.ANALYTICS)
+
+
+@query
+def load_side_by_side(f: Frames) -> DataFrame:
+    """Two mart loads of different days begun at once stay; a third of one of these days is refused."""
+    _, marts = pipeline.stores(f.spark, scratch_path(f.spark, "together"))
+    runs = [(marts.begin(), day) for day in (*f.days[:2], f.days[0])]
+    for run, day in runs:
+        run.write(mart.DAILY, f.daily.where(F.col("DateValue") == day))
+        for name in (mart.ANALYTICS, mart.TREND):
+            run.write(name, marts.read(name))
+    for run, day in runs[:2]:
+        run.publish(replaces=[day])
+    try:
+        runs[2][0].publish(replaces=[runs[2][1]])
+    except Refused:
+        return marts.read(mart.DAILY)
+    raise AssertionError("a load of a day that was replaced meanwhile was published")
+
+
+@query
+def load_audited(f: Frames) -> DataFrame:
+    """A load that keeps the rules of its tables, and one that breaks another rule and stays invisible."""
+    lines = []
+    for name, rules in (("kept", {}), ("broken", {wh.FACTS: (Rule("sessions are short", SHORT),)})):
+        store = wh.warehouse_store(f.spark, scratch_path(f.spark, f"audited-{name}"), rules)
+        broken: dict[tuple[str, str], int] = {}
+        try:
+            wh.load_warehouse(f.spark, f.staging, store, ONE_DAY)
+        except RulesBroken as error:
+            broken = error.broken
+        said = [(name, *rule, count) for rule, count in broken.items()] or [(name, None, None, 0)]
+        lines += [(*line, store.read(wh.FACTS).count()) for line in said]
+    return f.spark.createDataFrame(
+        lines, "Load string, TableName string, Rule string, RowsBroken bigint, RowsVisible bigint")
+
+
 @query
 def mart_clear(f: Frames) -> DataFrame:
     _, marts = f.loaded()
@@ -856,6 +930,13 @@ def dq_not_null(f: Frames) -> DataFrame:
 # --- Streaming -----------------------------------------------------------------------------
 
 
+@query
+def stream_refresh(f: Frames) -> DataFrame:
+    root = scratch_path(f.spark, "stream-refresh")
+    jobs.ingest_and_refresh(f.spark, f.landing, root, f"{root}/checkpoint", level="folder")
+    return pipeline.committed(f.spark, root)[1].read(mart.ANALYTICS)
+
+
 @query
 def incremental_ingest(f: Frames) -> DataFrame:
     root = scratch_path(f.spark, "stream")
