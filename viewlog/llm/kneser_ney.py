@@ -31,14 +31,14 @@ from pyspark.sql import types as T
 
 from viewlog.llm import hash_arrays
 from viewlog.llm.hash_arrays import HashTable, Reader, hash_numbers
-from viewlog.llm.tables import stored, text_of
+from viewlog.llm.tables import discard, stored, text_of
 from viewlog.llm.word_hashes import START, Block, blocks
 from viewlog.session import scratch_path
 
 ORDER = 2
 HELD_OUT_OF = 10  # documents with crc32(doc_id) mod 10 = 0 are never learned from
 SMOOTHING = 0.1  # of the base model: added to every word's count
-PER_SHARD = 1 << 21  # words of the training texts per shard
+PER_SHARD = 1 << 20  # words of the training texts per shard
 COUNTED = 1 << 20  # words whose n-grams are added up before they are sent on
 MERGED = 1 << 18  # n-grams whose sides are added up before they are sent on
 SCORES = T.StructType([
@@ -163,8 +163,8 @@ def _merged(runs: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatc
 
 
 def _sides(length: int) -> Callable:
-    """Per context, and per n-gram without its first word: occurrences and kinds of n-grams, and how
-    many kinds were seen once, twice, three and four times.
+    """Per context: occurrences and kinds of n-grams, and how many kinds were seen once, twice, three and
+    four times; per n-gram without its first word: occurrences and kinds.
 
     With single words there is one side, the empty context. Counts of three and four are only used in sum.
     """
@@ -179,7 +179,9 @@ def _sides(length: int) -> Callable:
                 chosen = [columns[name] for name in names]
                 key = hash_numbers(chosen) if chosen else np.zeros(len(count), dtype=np.int64)
                 distinct, first, back = np.unique(key, return_index=True, return_inverse=True)
-                sums = [np.bincount(back, count), np.bincount(back), *(np.bincount(back, count == n) for n in (1, 2, 3, 4))]
+                sums = [np.bincount(back, count), np.bincount(back)]
+                # Of the lower level's n-grams no more is asked.
+                sums += [np.zeros(len(distinct)) if suffix else np.bincount(back, count == n) for n in (1, 2, 3, 4)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(distinct), suffix)), *(pa.array(column[first]) for column in chosen),
                      *(pa.array(total.astype(np.int64)) for total in sums)],
@@ -188,8 +190,8 @@ def _sides(length: int) -> Callable:
     return sides
 
 
-def _level(spark: SparkSession, folder: str, model: Model, grams: DataFrame, length: int) -> tuple[Level, DataFrame | None]:
-    """One level stored, and the n-grams of the next lower one with their counts."""
+def _level(spark: SparkSession, folder: str, model: Model, grams: DataFrame, length: int) -> tuple[Level, DataFrame | None, DataFrame]:
+    """One level stored, the n-grams of the next lower one with their counts, and the table they are read from."""
     rest = _ids(length)[:-1]
     table = hash_arrays.table(folder, f"grams{length}", model.tokens, PER_SHARD, count="float")
     seen = Observation()
@@ -201,7 +203,7 @@ def _level(spark: SparkSession, folder: str, model: Model, grams: DataFrame, len
     discounts = discounts_of([found[name] for name in ("once", "twice", "thrice", "four")])
     if length == 1:
         backoff = _discounted(found, discounts) / max(found["total"], 1) if found["total"] else 1.0
-        return Level(hash_arrays.published(spark, table), None, discounts, float(found["total"]), backoff), None
+        return Level(hash_arrays.published(spark, table), None, discounts, float(found["total"]), backoff), None, both
     contexts = hash_arrays.table(folder, f"contexts{length}", model.tokens, PER_SHARD, total="float", backoff="float")
     profile = {name: F.col(name) for name in PROFILE}
     hash_arrays.store(both.where(~F.col("suffix")).select(
@@ -209,7 +211,7 @@ def _level(spark: SparkSession, folder: str, model: Model, grams: DataFrame, len
     # What starts a text has no word before it, so there its occurrences count.
     lower = F.when(F.col("w0") == model.start, F.col("total")).otherwise(F.col("kinds"))
     below = both.where("suffix").select(*rest, lower.alias("count"))
-    return Level(hash_arrays.published(spark, table), hash_arrays.published(spark, contexts), discounts), below
+    return Level(hash_arrays.published(spark, table), hash_arrays.published(spark, contexts), discounts), below, both
 
 
 def learn(documents: DataFrame, order: int = ORDER) -> Model:
@@ -225,13 +227,17 @@ def learn(documents: DataFrame, order: int = ORDER) -> Model:
     if not tokens:
         return Model(order, words, (), 0, 0)
     hash_arrays.store(counted.withColumnRenamed("word", "hash"), words)
+    discard(counted)
     model = Model(order, hash_arrays.published(spark, words), (), tokens, vocabulary)
 
     grams = texts.mapInArrow(_count_grams(model), _longs(*_ids(order), "count"))
-    levels = []
+    levels, done = [], []
     for length in range(order, 0, -1):
-        level, grams = _level(spark, folder, model, grams, length)
+        level, grams, both = _level(spark, folder, model, grams, length)
         levels.insert(0, level)
+        done.append(both)
+    for both in done:  # all tables are complete
+        discard(both)
     return Model(order, model.words, tuple(levels), tokens, vocabulary)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 import viewlog
-from viewlog.session import scratch_path
+from viewlog.session import scratch_path, shared_folder
 
 WORD = r"[^\x20\x09-\x0D]+"  # a word is a run of anything but the six ASCII white-space characters
 HELD_OUT_OF = 3  # documents with crc32(doc_id) mod 3 = 1 are never learned from
@@ -46,6 +46,16 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def discard(frame: DataFrame) -> None:
+    """Delete the folder of a frame that ``stored`` gave and that no later job reads."""
+    spark = frame.sparkSession
+    kept = f"{shared_folder(spark)}/viewlog/llm/"
+    for name in {os.path.dirname(file) for file in frame.inputFiles()}:
+        if kept.removeprefix("file:").lstrip("/") in name:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_of(frame: DataFrame, column: str = "text") -> Column:
     """The column as a string, empty where it is NULL."""
     return F.coalesce(frame[column].cast("string"), F.lit(""))
