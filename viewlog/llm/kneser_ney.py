@@ -142,6 +142,8 @@ def discounts_of(seen: list[int]) -> tuple[float, float, float]:
 
 
 PROFILE = ("total", "kinds", "once", "twice")
+SUMS = ("once", "twice", "more", "extra")  # what is shuffled for them: nearly always 1, 0, 0, 0, which packs well
+KINDS_SEEN, OCCURRENCES = "once + twice + more", "once + twice + more + extra"
 
 
 def _discounted(found: dict, discounts: tuple[float, float, float]):
@@ -163,8 +165,8 @@ def _merged(runs: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatc
 
 
 def _sides(length: int) -> Callable:
-    """Per context: occurrences and kinds of n-grams, and how many kinds were seen once, twice, three and
-    four times; per n-gram without its first word: occurrences and kinds.
+    """Per context: how many kinds of n-grams were seen once, twice, more often, and their occurrences
+    beyond the first; per n-gram without its first word the same, with all kinds in the place of ``once``.
 
     With single words there is one side, the empty context. Counts of three and four are only used in sum.
     """
@@ -179,13 +181,14 @@ def _sides(length: int) -> Callable:
                 chosen = [columns[name] for name in names]
                 key = hash_numbers(chosen) if chosen else np.zeros(len(count), dtype=np.int64)
                 distinct, first, back = np.unique(key, return_index=True, return_inverse=True)
-                sums = [np.bincount(back, count), np.bincount(back)]
-                # Of the lower level's n-grams no more is asked.
-                sums += [np.zeros(len(distinct)) if suffix else np.bincount(back, count == n) for n in (1, 2, 3, 4)]
+                kinds, none = np.bincount(back), np.zeros(len(distinct))
+                once, twice, thrice, four = (
+                    (kinds, none, none, none) if suffix else (np.bincount(back, count == n) for n in (1, 2, 3, 4)))
+                sums = [once, twice, kinds - once - twice, np.bincount(back, count) - kinds, thrice, four]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(distinct), suffix)), *(pa.array(column[first]) for column in chosen),
                      *(pa.array(total.astype(np.int64)) for total in sums)],
-                    ["suffix", *ids[:-1], *PROFILE, "thrice", "four"])
+                    ["suffix", *ids[:-1], *SUMS, "thrice", "four"])
 
     return sides
 
@@ -195,11 +198,15 @@ def _level(spark: SparkSession, folder: str, model: Model, grams: DataFrame, len
     rest = _ids(length)[:-1]
     table = hash_arrays.table(folder, f"grams{length}", model.tokens, PER_SHARD, count="float")
     seen = Observation()
-    layout = T.StructType([T.StructField("suffix", T.BooleanType()), *_longs(*rest, *PROFILE, "thrice", "four").fields])
+    layout = T.StructType([T.StructField("suffix", T.BooleanType()), *_longs(*rest, *SUMS, "thrice", "four").fields])
     sides = hash_arrays.write(grams, table, _ids(length), _sides(length), layout).observe(
-        seen, *[F.sum(F.when(~F.col("suffix"), F.col(name))).alias(name) for name in (*PROFILE, "thrice", "four")])
-    both = stored(sides.groupBy("suffix", *rest).agg(*[F.sum(name).alias(name) for name in PROFILE]), "ngram-sides")
+        seen, *[F.sum(F.when(~F.col("suffix"), F.col(name))).alias(name) for name in (*SUMS, "thrice", "four")])
+    added = sides.groupBy("suffix", *rest).agg(*[F.sum(name).alias(name) for name in SUMS])
+    both = stored(added.select(
+        "suffix", *rest, F.expr(OCCURRENCES).alias("total"), F.expr(KINDS_SEEN).alias("kinds"), "once", "twice"), "ngram-sides")
     found = {name: value or 0 for name, value in seen.get.items()}
+    found["kinds"] = found["once"] + found["twice"] + found["more"]
+    found["total"] = found["kinds"] + found["extra"]
     discounts = discounts_of([found[name] for name in ("once", "twice", "thrice", "four")])
     if length == 1:
         backoff = _discounted(found, discounts) / max(found["total"], 1) if found["total"] else 1.0
