@@ -39,7 +39,7 @@ ORDER = 2
 HELD_OUT_OF = 10  # documents with crc32(doc_id) mod 10 = 0 are never learned from
 SMOOTHING = 0.1  # of the base model: added to every word's count
 PER_SHARD = 1 << 20  # words of the training texts per shard
-COUNTED = 1 << 20  # words whose n-grams are added up before they are sent on
+COUNTED = 1 << 20  # words of which counts are added up before they are sent on
 MERGED = 1 << 18  # n-grams whose sides are added up before they are sent on
 SCORES = T.StructType([
     T.StructField("n_tokens", T.LongType()),
@@ -89,7 +89,7 @@ def _texts(batch: pa.RecordBatch) -> pa.StringArray:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for block in blocks(map(_texts, batches), 1):
+    for block in blocks(map(_texts, batches), 1, COUNTED):
         counts = np.bincount(block.local, minlength=len(block.hashes))
         yield pa.RecordBatch.from_arrays([pa.array(block.hashes), pa.array(counts)], ["word", "count"])
 
