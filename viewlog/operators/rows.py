@@ -16,22 +16,24 @@ def as_date(day: date | str) -> date:
 
 
 def flatten(raw: DataFrame) -> DataFrame:
-    """The fields of ``_source`` as columns, plus ``DateValue`` and ``SourceFile`` when the reader added them."""
-    extra = [name for name in ("DateValue", "SourceFile") if name in raw.columns]
+    """The fields of ``_source`` as columns, plus ``DateValue``, ``SourceFile``, ``Line`` and ``Reason`` if there."""
+    extra = [name for name in ("DateValue", "SourceFile", "Line", "Reason") if name in raw.columns]
     return raw.select("_source.*", *extra).withColumn("TotalDuration", measures.whole_seconds("TotalDuration"))
 
 
-def staging_rows(raw: DataFrame, run_date: date | str | None = None) -> DataFrame:
+def staging_rows(raw: DataFrame, run_date: date | str | None = None, rejected: bool = False) -> DataFrame:
     """Raw records as staging rows.
 
     The event date is the record's own ``Date``, else the file-name date, else ``run_date``. Lines
     that did not parse are left out; ``landing.line_counts`` counts them. ``SourceFile`` stays if it is there.
+    With ``rejected``, which needs ``landing.parse_lines``, these lines stay, with ``Line`` and ``Reason``.
     """
-    flat = flatten(raw.where(F.col("_source").isNotNull()))
+    flat = flatten(raw if rejected else raw.where(F.col("_source").isNotNull()))
     days = [calendar.parse_day(name) for name in ("Date", "DateValue") if name in flat.columns]
     days.append(F.lit(run_date).cast("date"))
-    source = ["SourceFile"] if "SourceFile" in flat.columns else []
-    return flat.select("Contract", "Mac", "AppName", "TotalDuration", F.coalesce(*days).alias("EventDate"), *source)
+    extra = [name for name in ("SourceFile",) if name in flat.columns] + (["Line", "Reason"] if rejected else [])
+    day = F.when(F.col("Reason").isNull(), F.coalesce(*days)) if rejected else F.coalesce(*days)
+    return flat.select("Contract", "Mac", "AppName", "TotalDuration", day.alias("EventDate"), *extra)
 
 
 def on_date(rows: DataFrame, day: date | str | None, column: str = "EventDate") -> DataFrame:

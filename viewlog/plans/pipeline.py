@@ -43,18 +43,19 @@ def load_staging(
     The event date is the record's own, else that of the file name (``level="folder"``: of the folder
     name), else ``run_date``. A missing or broken file raises, or with ``skip_unreadable`` is left out
     whole, unless it is the first. No files, or files without a usable record, raise ``ValueError``.
+    Lines without a record are stored in the same pass and read by ``files.read_rejected``.
     Returns the skipped paths and the number of lines, bad lines and bad durations.
     """
     skipped: list[str] = []
     if skip_unreadable and paths:
         paths, skipped = landing.readable(spark, paths)
-    raw = landing.read_files(spark, paths)
-    if rows.staging_rows(raw).isEmpty():
+    lines = landing.read_lines(spark, paths)
+    if rows.staging_rows(landing.parse_lines(lines)).isEmpty():
         raise ValueError("nothing to load into staging")
     seen = Observation()
-    counted = landing.with_source(raw, level).observe(seen, *landing.line_counts())
-    shaped = rows.staging_rows(counted, run_date)
-    files.append_staging(shaped, staging_root, "files", files=raw.inputFiles(), checked=True)
+    counted = landing.parse_lines(landing.with_source(lines, level)).observe(seen, *landing.line_counts())
+    shaped = rows.staging_rows(counted, run_date, rejected=True)
+    files.append_staging(shaped, staging_root, "files", files=lines.inputFiles(), checked=True)
     return seen.get | {"Skipped": skipped}
 
 

@@ -79,6 +79,9 @@ RAW = T.StructType([T.StructField("_source", SOURCE)])
 STAGING = columns(Contract="string", Mac="string", AppName="string",
                   TotalDuration="bigint", EventDate="date")
 
+# Landing lines that gave no record.
+REJECTED = columns(SourceFile="string", Line="string", Reason="string")
+
 SESSION_GRAIN = columns(EventDate="date", Contract="string", Mac="string", AppName="string",
                         TotalDuration="bigint", SessionCount="bigint")
 

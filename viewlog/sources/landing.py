@@ -7,6 +7,7 @@ whose ``_source`` is NULL.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
@@ -14,11 +15,14 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from viewlog.functions.calendar import day_from_name
 from viewlog.functions.measures import whole_seconds
 from viewlog.schema import RAW
 
+NOT_JSON, NO_RECORD = "not JSON", "no record"  # why a line is rejected
+
 
 def read_file(spark: SparkSession, path: str) -> DataFrame:
     """One landing file, or a folder of them."""
@@ -32,22 +36,66 @@ def read_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return spark.read.schema(RAW).json(list(paths))
 
 
+def read_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Many landing files as their lines, in the column ``value``; otherwise as ``read_files``."""
+    if not paths:
+        raise ValueError("no landing file to read")
+    return spark.read.text(list(paths))
+
+
+def parse_lines(lines: DataFrame) -> DataFrame:
+    """Lines as raw records; a line without one stays, as ``Line``, with the ``Reason``.
+
+    Blank lines are passed over. A line may hold an array of records, as for ``read_files``; then the line
+    stands with each of them that cannot be used. Other columns of the lines are kept.
+    """
+    kept = [name for name in lines.columns if name != "value"]
+    parsed = lines.where(F.col("value").rlike(r"\S")).withColumn("_records", F.from_json("value", T.ArrayType(RAW)))
+    each = parsed.select("*", F.explode_outer("_records").alias("_record"))
+    reason = F.when(F.col("_records").isNull(), NOT_JSON).when(F.col("_record._source").isNull(), NO_RECORD)
+    return each.withColumn("Reason", reason).select(
+        F.col("_record._source").alias("_source"), F.when(F.col("Reason").isNotNull(), F.col("value")).alias("Line"),
+        "Reason", *kept)
+
+
 def readable(spark: SparkSession, paths: Sequence[str]) -> tuple[list[str], list[str]]:
     """The paths that can be read to their end, and those that cannot.
 
-    A file is taken whole or not at all. Each path is read once for this, so it is for the caller
-    who would rather load without a broken file than not at all. The first path has to be readable.
+    A file is taken whole or not at all. All paths are read in one job, for the caller who would rather
+    load without a broken file than not at all. A job that meets a broken or missing file ends and names
+    it, and the others are read again without it: a job more for each such file, none for the rest. The
+    first path has to be readable.
     """
-    good, bad = [], []
+    good, bad = list(paths), []
+    while good:
+        try:
+            spark.read.text(good).agg(F.sum(F.length("value"))).collect()
+            break
+        except (PySparkException, Py4JJavaError) as error:  # not found, or broken on the way
+            broken = _named_in(str(error), good) or _first_broken(spark, good)
+            if broken is None or broken == paths[0]:
+                raise
+            good = [path for path in good if path != broken]
+            bad.append(broken)
+    return good, [path for path in paths if path in set(bad)]
+
+
+def _named_in(message: str, paths: Sequence[str]) -> str | None:
+    """The path that an error is about; the longest one where one begins another."""
+    def named(path: str) -> bool:
+        return re.search(re.escape(re.sub("^[a-z][a-z0-9+.-]*:/+", "/", path)) + r"(?![\w-])", message) is not None
+
+    return max(filter(named, paths), key=len, default=None)
+
+
+def _first_broken(spark: SparkSession, paths: Sequence[str]) -> str | None:
+    """Where an error names no path, such as for patterns: the first that fails by itself."""
     for path in paths:
         try:
             spark.read.text(path).agg(F.sum(F.length("value"))).collect()
-            good.append(path)
-        except (PySparkException, Py4JJavaError):  # not found, or broken on the way
-            if not good:
-                raise
-            bad.append(path)
-    return good, bad
+        except (PySparkException, Py4JJavaError):
+            return path
+    return None
 
 
 def read_folder(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:

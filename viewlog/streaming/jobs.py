@@ -17,17 +17,18 @@ from viewlog.functions import measures
 from viewlog.operators import rows
 from viewlog.plans import pipeline
 from viewlog.plans.journal import Journal
-from viewlog.schema import CALENDAR, RAW
+from viewlog.schema import CALENDAR
 from viewlog.sinks import files
 from viewlog.sources import landing
 
 
 def new_files(spark: SparkSession, folder: str, level: str = "file", per_batch: int | None = None) -> DataFrame:
-    """Stream of raw records from landing files, with the path and the date of their name."""
-    reader = spark.readStream.schema(RAW).option("recursiveFileLookup", "true")
+    """Stream of raw records from landing files, with the path and the date of their name, and of rejected lines."""
+    reader = spark.readStream.option("recursiveFileLookup", "true")
     if per_batch:
         reader = reader.option("maxFilesPerTrigger", per_batch)
-    return landing.with_source(reader.json(folder, pathGlobFilter="*.json"), level)
+    lines = reader.text(folder, pathGlobFilter="*.json")
+    return landing.parse_lines(landing.with_source(lines, level))
 
 
 def _run(stream: DataFrame, per_batch, checkpoint: str, mode: str = "append") -> None:
@@ -59,7 +60,7 @@ def ingest_new_files(
         if not batch.isEmpty():
             files.append_staging(batch, staging_root, "stream", checked=True)
 
-    stream = rows.staging_rows(new_files(spark, folder, level, per_batch), run_date)
+    stream = rows.staging_rows(new_files(spark, folder, level, per_batch), run_date, rejected=True)
     _run(stream, append, checkpoint)
 
 
@@ -92,7 +93,7 @@ def ingest_and_refresh(
         files.append_staging(batch, staging, "stream", checked=True)
         pipeline.refresh(spark, root, dates, calendar)
 
-    stream = rows.staging_rows(new_files(spark, folder, level, per_batch), run_date)
+    stream = rows.staging_rows(new_files(spark, folder, level, per_batch), run_date, rejected=True)
     _run(stream, append_and_refresh, checkpoint)
 
 
