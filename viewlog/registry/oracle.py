@@ -517,6 +517,12 @@ FROM fact JOIN dim_date USING (DateKey) WHERE DateValue = {_DAY} AND NOT ({SHORT
     "load_staging_overlap": "SELECT * FROM staging",
     "run_pipeline": "SELECT * FROM daily",
     "load_staging": "SELECT * FROM staging",
+    "staging_folded": "SELECT * FROM staging",
+    "staging_rejected": """
+SELECT CASE WHEN TotalDuration % 10 = 3 THEN 'not JSON' WHEN TotalDuration % 10 = 4 THEN 'no record' END AS Reason,
+  CASE WHEN TotalDuration % 10 = 3 THEN '{"_source": ' || Contract
+    WHEN TotalDuration % 10 = 4 THEN '{"other": "' || Contract || '"}' ELSE Contract END AS Line, count(*) AS Lines
+FROM staging GROUP BY ALL""",
     "run_with_checks": """
 SELECT 'TotalRows' AS CheckName, count(*) AS CheckValue FROM staging
 UNION ALL SELECT 'MinDate', CAST(strftime(min(EventDate), '%Y%m%d') AS BIGINT) FROM staging

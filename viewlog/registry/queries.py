@@ -723,6 +723,35 @@ def load_staging(f: Frames) -> DataFrame:
     return files.read_staging(f.spark, root)
 
 
+@query
+def staging_folded(f: Frames) -> DataFrame:
+    """Parts of the log as loads that are merged two at a time; the first part is loaded wrongly at first."""
+    root = scratch_path(f.spark, "folded")
+    part = F.pmod(F.xxhash64("Contract"), F.lit(4))
+    files.append_staging(f.staging.where(part == 1), root, "part0", mixed_dates=True, fan_in=2)
+    for n in range(4):
+        files.append_staging(f.staging.where(part == n), root, f"part{n}", mixed_dates=True, fan_in=2)
+    return files.read_staging(f.spark, root)
+
+
+@query
+def staging_rejected(f: Frames) -> DataFrame:
+    """Landing lines of which some are broken or hold no record: by contract what is staged, and what is rejected."""
+    folder, root = scratch_path(f.spark, "lines"), scratch_path(f.spark, "staging")
+    last = F.col("TotalDuration") % 10
+    record = F.to_json(F.struct(F.struct("Contract", "Mac", "AppName", "TotalDuration").alias("_source")))
+    lines = f.staging.select(
+        F.when(last == 3, F.concat(F.lit('{"_source": '), "Contract"))
+        .when(last == 4, F.concat(F.lit('{"other": "'), "Contract", F.lit('"}')))
+        .otherwise(record))
+    lines.write.text(folder)
+    pipeline.load_staging(f.spark, [folder], root, run_date=ONE_DAY)
+    staged = files.read_staging(f.spark, root).select(
+        F.lit(None).cast("string").alias("Reason"), F.col("Contract").alias("Line"))
+    rejected = files.read_rejected(f.spark, root).select("Reason", "Line")
+    return staged.unionByName(rejected).groupBy("Reason", "Line").agg(F.count("*").alias("Lines"))
+
+
 @query
 def run_with_checks(f: Frames) -> DataFrame:
     store = wh.warehouse_store(f.spark, scratch_path(f.spark, "checked"))

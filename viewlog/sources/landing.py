@@ -47,7 +47,8 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     """Lines as raw records; a line without one stays, as ``Line``, with the ``Reason``.
 
     Blank lines are passed over. A line may hold an array of records, as for ``read_files``; then the line
-    stands with each of them that cannot be used. Other columns of the lines are kept.
+    stands with each of them that cannot be used. Values are those ``read_files`` gives, but for an object in
+    the place of a text, which is written without blanks. Other columns of the lines are kept.
     """
     kept = [name for name in lines.columns if name != "value"]
     parsed = lines.where(F.col("value").rlike(r"\S")).withColumn("_records", F.from_json("value", T.ArrayType(RAW)))
