@@ -8,6 +8,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 from conftest import SF_DIR
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from viewlog.llm import components, near_dup, packing, sharding, vector_dup
@@ -273,6 +274,19 @@ def test_shards_of_the_test_data(spark):
     assert max(sizes) - min(sizes) <= 2 * max(row[1] for row in found)
 
 
+def test_shards_of_rows_that_stand_often(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "RUN", 7)
+    rows = [(1, "a")] * 7 + [(2, "bcd")] * 50 + [(None, None)] * 29 + [(3, "e")] * 8 + [(4, "f")]
+    assert shard_rows(sharding.byte_shards(docs(spark, *rows), 5)) == plain_shards(rows, 5)
+
+
+def test_shards_of_one_row_repeated(spark):
+    one = spark.range(400_000).select(F.lit(7).cast("bigint").alias("doc_id"), F.lit("same").alias("text"))
+    found = sharding.byte_shards(one, 4).groupBy("shard").agg(
+        F.count("*").alias("rows"), F.count_distinct("slot").alias("slots"), F.max("slot").alias("last"))
+    assert sorted(tuple(row) for row in found.collect()) == [(n, 100_000, 100_000, 99_999) for n in range(4)]
+
+
 def test_shards_of_nothing(spark):
     assert sharding.byte_shards(documents(spark).limit(0)).collect() == []
     with pytest.raises(ValueError):

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from viewlog.llm.tables import stored, text_of
 
 ROW_BYTES = 8  # what a document counts for besides its text
+RUN = 10_000  # equal rows that are numbered at once
 
 
 def byte_shards(docs: DataFrame, shards: int = 24, partitions: int | None = None) -> DataFrame:
@@ -25,8 +26,9 @@ def byte_shards(docs: DataFrame, shards: int = 24, partitions: int | None = None
 
     A NULL text has no bytes and the checksum of the empty text. Rows that agree in id, size and
     checksum are told apart by nothing but their number: they are counted first and take
-    consecutive places, so a row repeated any number of times is split over tasks and shards like
-    the rest. A NULL id sorts first. Other columns are ignored; no rows give no rows.
+    consecutive places. Those of a row repeated any number of times are numbered in runs of ``RUN``,
+    and the runs of a row with several are dealt to all tasks. A NULL id sorts first. Other columns are
+    ignored; no rows give no rows.
     """
     if shards < 1:
         raise ValueError("there is at least one shard")
@@ -51,14 +53,22 @@ def byte_shards(docs: DataFrame, shards: int = 24, partitions: int | None = None
             Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"))
 
     within = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    placed = (
+    starting = (
         laid.withColumn("byte", F.coalesce(F.sum(F.col("size") * F.col("copies")).over(within), F.lit(0)))
         .withColumn("row", F.coalesce(F.sum("copies").over(within), F.lit(0)))
-        .join(F.broadcast(starts), "part")  # a row per range partition
-        .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+        .join(F.broadcast(starts), "part"))  # a row per range partition
+    often = F.col("copies") > RUN
+    one_run = starting.where(~often).withColumn("run", F.lit(0).cast("bigint"))
+    first_of_run = F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1, F.lit(RUN).cast("bigint"))
+    runs = (
+        starting.where(often).withColumn("run", F.explode(first_of_run))
+        .repartition(partitions, *order, "run"))
+    last = F.least(F.col("run") + F.lit(RUN), F.col("copies")) - 1
+    placed = (
+        one_run.unionByName(runs)
+        .withColumn("copy", F.explode(F.sequence(F.col("run"), last)))
         .withColumn("first_byte", F.col("part_byte") + F.col("byte") + F.col("copy") * F.col("size"))
-        .withColumn("number", F.col("part_row") + F.col("row") + F.col("copy"))
-    )
+        .withColumn("number", F.col("part_row") + F.col("row") + F.col("copy")))
     cut = F.expr(f"int(least((2 * first_byte + size) * {shards} div (2 * total), {shards} - 1))")
     placed = stored(placed.select(*order, "first_byte", "number", cut.alias("shard")), "shard-places")
     firsts = placed.groupBy("shard").agg(F.min("number").alias("first"))
