@@ -194,8 +194,8 @@ def load_mart(
     warehouse = warehouse.snapshot()
     taken = {SOURCE: warehouse.last_run()} if _covers(process_dates, warehouse, mart) else None
     small = wh.SmallDims.build(spark, calendar=calendar_range)
-    summary = _on_keys(warehouse.read(wh.SUMMARY), process_dates)
-    facts = _on_keys(warehouse.read(wh.FACTS), process_dates)
+    summary = on_keys(warehouse.read(wh.SUMMARY), process_dates)
+    facts = on_keys(warehouse.read(wh.FACTS), process_dates)
 
     days = contract_summary_days(summary, small.date, warehouse.read(wh.CONTRACTS))
     if first_date_scope == "filtered":
@@ -263,7 +263,7 @@ def moved_dates(warehouse: VersionedStore, after: int | None = None) -> list[dat
     return [date.fromisoformat(str(row.DateKey)) for row in dates.collect()]
 
 
-def _on_keys(facts: DataFrame, process_dates: list[date] | None) -> DataFrame:
+def on_keys(facts: DataFrame, process_dates: list[date] | None) -> DataFrame:
     """Fact rows of the given dates, as a plain predicate on the partition column."""
     if process_dates is None:
         return facts

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from viewlog.operators import profile, rows
 from viewlog.operators.aggregates import table_counts
-from viewlog.plans import mart, quality, warehouse
+from viewlog.plans import mart, quality, rollups, warehouse
 from viewlog.plans.journal import Journal
 from viewlog.schema import CALENDAR
 from viewlog.sinks import files
@@ -98,6 +98,12 @@ def refresh(
     return counts
 
 
+def refresh_rollups(spark: SparkSession, root: str, calendar: tuple[str, str] = CALENDAR) -> dict[str, int]:
+    """Bring the rollups of a root to what its last whole refresh left; their reports are right without it as well."""
+    store, marts, _ = committed(spark, root)
+    return rollups.refresh(spark, store, marts, rolled_up(spark, root), calendar)
+
+
 def run_with_checks(
     spark: SparkSession, staging: DataFrame, store: VersionedStore, process_date: date | str | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -139,3 +145,7 @@ def media(spark: SparkSession, root: str) -> VersionedStore:
 
 def stores(spark: SparkSession, root: str) -> tuple[VersionedStore, VersionedStore]:
     return (warehouse.warehouse_store(spark, f"{root}/warehouse"), mart.mart_store(spark, f"{root}/mart"))
+
+
+def rolled_up(spark: SparkSession, root: str) -> VersionedStore:
+    return rollups.rollup_store(spark, f"{root}/rollups")

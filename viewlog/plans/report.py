@@ -78,11 +78,16 @@ def _top(grouped: DataFrame, measure: str, n: int) -> DataFrame:
 
 
 def contract_leaderboard(analytics: DataFrame, as_of: Day, n: int = 10, days: int = 30) -> DataFrame:
-    """Contracts with the most hours in the trailing window.
+    """Contracts with the most hours in the trailing window."""
+    return leaderboard(rows.trailing(analytics, as_of, days), n)
+
+
+def leaderboard(window: DataFrame, n: int = 10) -> DataFrame:
+    """Contracts with the most hours among the given rows of the mart, or of rollups of it.
 
     The two text columns are the largest values in binary order, as the dashboard defines them.
     """
-    grouped = rows.trailing(analytics, as_of, days).groupBy("ContractID").agg(
+    grouped = window.groupBy("ContractID").agg(
         F.sum("TotalDevices").alias("TotalDevices"),
         _sum_hours("Duration_Total").alias("TotalDuration_Hours"),
         _sum_hours("Duration_TruyenHinh").alias("Duration_TH_Hours"),
@@ -141,7 +146,12 @@ def contract_details(
     analytics: DataFrame, as_of: Day, n: int = 20, days: int = 30, include_boundary: bool = False
 ) -> DataFrame:
     """Contracts with the most hours, with the hours of every category."""
-    grouped = rows.trailing(analytics, as_of, days, include_boundary=include_boundary).groupBy("ContractID").agg(
+    return details(rows.trailing(analytics, as_of, days, include_boundary=include_boundary), n)
+
+
+def details(window: DataFrame, n: int = 20) -> DataFrame:
+    """The same for the given rows of the mart, or of rollups of it."""
+    grouped = window.groupBy("ContractID").agg(
         F.sum("TotalDevices").alias("TotalDevices"),
         _sum_hours("Duration_Total").alias("TotalDuration_Hours"),
         *[_sum_hours(f"Duration_{suffix}").alias(f"{tag}_Hours") for suffix, tag in TAGS.items()],

@@ -225,6 +225,10 @@ SELECT ContractID, CAST(SUM(TotalDevices) AS BIGINT) AS TotalDevices,
 FROM analytics WHERE {_from(30)} GROUP BY ContractID ORDER BY TotalDuration_Hours DESC, ContractID"""
 
 
+_ACTIVE = """CAST(SUM(TotalDuration) AS BIGINT) AS TotalDuration, CAST(SUM(SessionCount) AS BIGINT) AS TotalSessions,
+  count(DISTINCT ContractKey) AS UniqueContracts"""
+
+
 def _per_day(*expressions: str) -> str:
     return f"SELECT EventDate, {', '.join(expressions)}, count(*) AS RowsCount FROM staging GROUP BY ALL"
 
@@ -580,6 +584,21 @@ SELECT DateValue AS time, TotalContracts, TotalDevices, {_hours('TotalDuration_A
 FROM daily WHERE {_after(1)} ORDER BY 1 DESC""",
     "realtime_types": f"""
 SELECT ContentType, {_sum_hours('TotalDuration', 'Duration_Hours')} FROM trend WHERE {_after(1)} GROUP BY ContentType""",
+    # Rollups
+    "rollup_leaderboard": f"{_LEADERBOARD} LIMIT 10",
+    "rollup_details": f"""
+SELECT ContractID, CAST(SUM(TotalDevices) AS BIGINT) AS TotalDevices,
+  {_sum_hours('Duration_Total', 'TotalDuration_Hours')},
+  {', '.join(_sum_hours(f'Duration_{suffix}', f'{tag}_Hours') for suffix, tag in _TAGS.items())}
+FROM analytics WHERE {_after(30)} GROUP BY ContractID ORDER BY TotalDuration_Hours DESC, ContractID LIMIT 20""",
+    "active_contracts": f"""
+SELECT t.TypeName AS ContentType, {_ACTIVE}
+FROM fact f JOIN dim_date d USING (DateKey) JOIN dim_content_type t USING (ContentTypeKey)
+WHERE d.DateValue BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}' GROUP BY t.TypeName""",
+    "active_contracts_by_period": " UNION ALL ".join(f"""
+SELECT '{level}' AS Level, CAST(date_trunc('{level}', d.DateValue) AS DATE) AS PeriodStart, {_ACTIVE}
+FROM fact f JOIN dim_date d USING (DateKey) GROUP BY ALL""" for level in ("day", "week", "month")),
+    "partial_distinct": f"SELECT DateKey, ContentTypeKey, {_ACTIVE} FROM fact GROUP BY DateKey, ContentTypeKey",
     # Data quality
     "dq_staging_profile": """
 SELECT count(*) AS TotalRows, min(EventDate) AS MinDate, max(EventDate) AS MaxDate,

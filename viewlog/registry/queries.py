@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from viewlog import schema
 from viewlog.functions import calendar, measures
 from viewlog.operators import aggregates, joins, keys, profile, rows
-from viewlog.plans import dims, mart, pipeline, quality, report
+from viewlog.plans import dims, mart, pipeline, quality, report, rollups
 from viewlog.plans import warehouse as wh
 from viewlog.plans.journal import Journal
 from viewlog.registry.frames import (
@@ -34,6 +35,10 @@ Query = Callable[[Frames], DataFrame]
 _REGISTERED: dict[str, Query] = {}
 
 
+def calendar_day(day: str, days: int) -> date:
+    return date.fromisoformat(day) + timedelta(days=days)
+
+
 def query(build: Query) -> Query:
     _REGISTERED[build.__name__] = build
     return build
@@ -844,6 +849,50 @@ def realtime_types(f: Frames) -> DataFrame:
     return report.realtime_types(f.trend, AS_OF)
 
 
+# --- Rollups -------------------------------------------------------------------------------
+
+
+@query
+def rollup_leaderboard(f: Frames) -> DataFrame:
+    _, marts = pipeline.stores(f.spark, f.rolled_up)
+    first = calendar_day(AS_OF, -30)
+    return report.leaderboard(rollups.contract_window(marts, pipeline.rolled_up(f.spark, f.rolled_up), first))
+
+
+@query
+def rollup_details(f: Frames) -> DataFrame:
+    _, marts = pipeline.stores(f.spark, f.rolled_up)
+    first = calendar_day(AS_OF, -29)
+    return report.details(rollups.contract_window(marts, pipeline.rolled_up(f.spark, f.rolled_up), first))
+
+
+@query
+def active_contracts(f: Frames) -> DataFrame:
+    """Different contracts per category of a window that begins and ends within weeks."""
+    store, _ = pipeline.stores(f.spark, f.rolled_up)
+    window = rollups.active_window(f.spark, store, pipeline.rolled_up(f.spark, f.rolled_up), *RANGE)
+    return rollups.counted(window, "ContentType")
+
+
+@query
+def active_contracts_by_period(f: Frames) -> DataFrame:
+    """Different contracts of every day, week and month, from refreshed rollups."""
+    rolled = pipeline.rolled_up(f.spark, f.rolled_up)
+    rollups.refresh(f.spark, *pipeline.stores(f.spark, f.rolled_up), rolled)
+    return rows.union_by_name(*[
+        rollups.active_periods(rolled, level).select(F.lit(level).alias("Level"), "*") for level in rollups.ACTIVE])
+
+
+@query
+def partial_distinct(f: Frames) -> DataFrame:
+    """Different contracts per day and category from the states of four parts of the log, one of them replaced."""
+    by = ("Part", "DateKey", "ContentTypeKey")
+    facts = f.stored_facts.withColumn("Part", F.pmod("DeviceKey", F.lit(4)))
+    states = f.written("states", rollups.active_state(facts.where(f"Part <> 1 OR {SHORT}"), *by))
+    again = rollups.active_state(facts.where("Part = 1"), *by)
+    return rollups.counted(states.where("Part <> 1").unionByName(again), *by[1:])
+
+
 # --- The same jobs on the larger log derived from orders -----------------------------------
 
 

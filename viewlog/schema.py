@@ -64,6 +64,7 @@ _TYPES = {
     "int": T.IntegerType(),
     "bigint": T.LongType(),
     "date": T.DateType(),
+    "binary": T.BinaryType(),
 }
 
 
@@ -121,3 +122,11 @@ DM_CONTENT_TYPE_TREND = columns(
 
 MEDIA_REPORT = columns(ReportDate="date", AppName="string",
                        TotalDuration="bigint", TotalAccess="bigint")
+
+# Rollups: rows of a contract over a week or month, and the contracts active in a period as bitmaps of their keys.
+ROLLUP_CONTRACT = columns(
+    PeriodStart="date", ContractID="string", TotalDevices="bigint", **_MART_SUMS, Duration_Total="bigint",
+    MostWatchContentType="string", MostWatchDuration="bigint", ActivationDays="int", ActivationLevel="string")
+ROLLUP_ACTIVE = columns(
+    PeriodStart="date", ContentType="string", Bucket="bigint", Contracts="binary",
+    TotalDuration="bigint", TotalSessions="bigint")
