@@ -149,34 +149,41 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, size: int = SAMPLE_DOCS)
     """At most ``size`` labelled documents that are not held out: text and quality.
 
     Labels of one id are averaged and rounded, a half counting as 1; NULL labels are passed over. The
-    ids are those of the smallest hash, so the choice depends on neither order nor partitions.
+    ids are those of the smallest hash, so the choice depends on neither order nor partitions. Labels of
+    documents that are not there, or too long to be learned from, do not take the place of others.
     """
+    texts = docs.select(docs["doc_id"], text_of(docs).alias("text")).where(F.length("text") <= SAMPLE_CHARS)
     marked = (
         labels.select(labels["doc_id"], labels["quality"].cast("double").alias("quality"))
         .where(~is_held_out(F.col("doc_id")) & F.col("quality").isNotNull())
         .groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("quality")))
-    chosen = marked.orderBy(F.xxhash64("doc_id", F.lit("quality")), "doc_id").limit(size)
-    texts = docs.select(docs["doc_id"], text_of(docs).alias("text")).where(F.length("text") <= SAMPLE_CHARS)
+    there = marked.join(texts.select("doc_id"), "doc_id", "left_semi")
+    chosen = there.orderBy(F.xxhash64("doc_id", F.lit("quality")), "doc_id").limit(size)
     # At most ``size`` rows are broadcast, and an id that stands many times is learned from once.
     return texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(
         F.min(F.struct("text", "quality")).alias("row")).select("doc_id", "row.*")
 
 
 def learn(docs: DataFrame, labels: DataFrame, size: int = SAMPLE_DOCS) -> Machine:
-    """The machine of a bounded sample. Executors turn the texts into features, the driver gets those."""
-    schema = "doc_id bigint, quality int, places array<int>, weights array<float>"
+    """The machine of a bounded sample. Executors turn the texts into features, the driver gets those.
+
+    A document has at most ``FEATURES`` of them, of six bytes each: 0.3 GB for a whole sample of the worst.
+    """
+    schema = "doc_id bigint, quality int, places binary, weights binary"
 
     def rows(batches):
         for batch in batches:
             found = [features(text) for text in batch["text"]]
             yield pd.DataFrame({
                 "doc_id": batch["doc_id"], "quality": batch["quality"],
-                "places": [places for places, _ in found], "weights": [values for _, values in found]})
+                "places": [places.astype(np.int16).tobytes() for places, _ in found],
+                "weights": [values.astype(np.float32).tobytes() for _, values in found]})
 
     sample = sample_labelled(docs, labels, size).mapInPandas(rows, schema).collect()
     sample.sort(key=lambda row: row["doc_id"])
     return fit(
-        [(np.array(row["places"], np.int64), np.array(row["weights"], np.float64)) for row in sample],
+        [(np.frombuffer(row["places"], np.int16).astype(np.int64),
+          np.frombuffer(row["weights"], np.float32).astype(np.float64)) for row in sample],
         np.array([row["quality"] for row in sample], np.float64))
 
 
