@@ -6,6 +6,7 @@ import base64
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -208,6 +209,49 @@ def test_wrappers_of_most_sentences_are_no_boilerplate(wrapper):
     assert text == " ".join([re.sub("<.*?>", "", LONG)] * 3)
 
 
+PLAIN = re.sub("<.*?>", "", LONG)
+
+
+@pytest.mark.parametrize("inner", [f"<div id='content'>{LONG * 3}</div>", f"<main>{LONG * 3}</main>", LONG * 3])
+def test_a_form_around_the_page_is_no_boilerplate(inner):
+    page = (f"<body><form id='aspnetForm' action='x'><div id='menu'><a href='1'>Home</a></div>{inner}"
+            "<footer>Imprint</footer></form></body>")
+    assert html_mincut.main_text(page) == " ".join([PLAIN] * 3)
+    inside = f"<main><h1>Title</h1><form>{LONG * 3}</form><form class='search'><p>Search for it here.</p></form></main>"
+    assert html_mincut.main_text(inside) == " ".join(["Title"] + [PLAIN] * 3)
+    hidden = f"<body><form style='display:none'>{LONG * 3}</form><div>{LONG}</div></body>"
+    assert html_mincut.main_text(hidden) == PLAIN
+
+
+@pytest.mark.parametrize("opening", [
+    "<section id='related-work'>", "<section id='search'>", "<div class='section' id='register-allocation'>",
+    "<section id='discussion-2'>", "<section id='legal'>", "<section><h2 id='share-prices'>"])
+def test_ids_made_from_headings_are_no_boilerplate(opening):
+    page = f"<body><main>{opening}{LONG}<p>Another one follows here.</p></section></main></body>"
+    assert html_mincut.main_text(page).startswith(PLAIN)
+    assert html_mincut.main_text(page.replace("main>", "article>")).startswith(PLAIN)
+
+
+@pytest.mark.parametrize("name", ["id='comments'", "id='related-posts'", "class='search' id='x'", "id='newsletter'"])
+def test_ids_that_say_boilerplate_as_a_whole(name):
+    page = f"<body><article>{LONG * 2}<section {name}><p>Something else that is said here.</p></section></article></body>"
+    assert html_mincut.main_text(page) == f"{PLAIN} {PLAIN}"
+
+
+@pytest.mark.parametrize("start, end", [
+    ("<div>", ""), ("<span>", "<p>x"), ("<div>", "</p>"), ("<a><p><span>", "</a>"), ("<div class='ad'>", "<p>A b."), ("<form>", "x")])
+def test_time_grows_with_the_page_whatever_is_open(start, end):
+    def seconds(size):
+        page = "<body>" + (start + "text ") * size + end * size
+        begun = time.process_time()
+        html_mincut.blocks_of(page)
+        html_mincut._wrappers([(block, "A b.") for block in html_mincut.blocks_of(page)], False)
+        return time.process_time() - begun
+
+    seconds(1000)
+    assert seconds(40_000) < 40 * max(seconds(4_000), 0.02)
+
+
 def test_head_need_not_end():
     page = f"<html><head><title>T</title><meta charset=utf-8><script>'<p>no'</script><body><article>{LONG}</article>"
     assert html_mincut.main_text(page) == re.sub("<.*?>", "", LONG)
@@ -311,6 +355,15 @@ def test_held_out_labels_are_not_learned(spark):
     assert fm_quality.sample_labelled(texts, labels, 5).count() == 5
 
 
+def test_labels_of_absent_documents_take_no_place(spark):
+    texts = docs(spark, *[f"text number {n}" for n in range(60)], "long " * 30_000)
+    labels = spark.createDataFrame([(n, n % 2) for n in range(3000)], "doc_id bigint, quality int")
+    sample = fm_quality.sample_labelled(texts, labels, 20).collect()
+    assert len(sample) == 20 and all(row["doc_id"] < 60 for row in sample)
+    alone = fm_quality.sample_labelled(texts, labels.where("doc_id < 60"), 20).collect()
+    assert sorted(sample) == sorted(alone)
+
+
 def test_scores_of_odd_texts(spark):
     labels = spark.createDataFrame([(0, None), (1, 1), (1, 1), (3, 0), (77, 1)], "doc_id bigint, quality int")
     found = by_id(fm_quality.scores(docs(spark, *ODD), labels))

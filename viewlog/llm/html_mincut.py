@@ -31,7 +31,7 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
 CLOSES_ITSELF = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
 }
-SCOPES = frozenset("table ul ol dl menu td th body html".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 TRACKED = BLOCKS | {"a", "span"}
 
 TOKEN = re.compile(
@@ -57,6 +57,13 @@ BAD_WORDS = frozenset(
     "dialog form feedback paywall toc tags outbrain taboola".split())
 GOOD_WORDS = frozenset("article articlebody content post entry story maincontent prose".split())
 MODIFIER = re.compile(r"(?:has|have|with|without|no|is|not)[-_]", re.I)  # says what a wrapper holds, not what it is
+# Words that say nothing about what an element holds. An id of an article's section is made from its heading, so it
+# is boilerplate only as a whole: "related-posts", not "related-work"; nor is one word that is often a heading.
+LAYOUT_WORDS = frozenset("area article articles block bottom box container content inner left link links list news "
+                         "panel post posts right section stories thread top wrap wrapper".split())
+HEADINGS_TOO = frozenset("alert banner cookie cookies copyright dialog discussion feedback follow form legal menu menus "
+                         "modal navigation notice overlay pager pagination popular popup register reply search skip "
+                         "social tags toolbar widget widgets".split())
 HEADING_WORDS = frozenset("header heading headline title byline".split())
 BAD_WORD, GOOD_WORD = -6.0, 2.0
 STRONG = 4.0  # an element at or beyond this decides for what is inside, unless something stronger does
@@ -76,7 +83,9 @@ class Element:
     inside_main: bool
     fixed: bool  # below navigation and the like, which nothing inside can undo
     number: int = 0
-    named_bad: bool = False  # judged boilerplate by its class, id or role alone
+    named_bad: bool = False  # judged boilerplate by its class, id or role alone, or as a form
+    place: int = 0  # in the stack of open elements
+    outer: Element | None = None  # the nearest one around it that is judged by its name
 
 
 @dataclass
@@ -90,29 +99,44 @@ class Block:
     tag: str = ""
     verdict: float = 0.0
     inside_main: bool = False
-    named_bad: tuple[int, ...] = ()  # elements around it that are judged by their names alone
+    held_by: Element | None = None  # the nearest element around it that is judged by its name
 
     @property
     def text(self) -> str:
         return " ".join(unescape("".join(self.parts)).split())
 
 
+def _words(names: str) -> set[str]:
+    return {word.lower() for part in names.split() if not MODIFIER.match(part) for word in NAME_PART.findall(part)}
+
+
+def _is_anchor(name: str, words: set[str], classes: set[str]) -> bool:
+    """Whether an id inside an article may be made from a heading."""
+    if name != "section" and name not in HEADINGS and not (name == "div" and "section" in classes):
+        return False
+    named = {word for word in words if not word.isdigit()}
+    return not named <= BAD_WORDS | LAYOUT_WORDS or len(named) == 1 and named <= HEADINGS_TOO
+
+
 def _element(name: str, attrs: str, above: Element, excused: bool) -> Element:
-    named_bad = False
+    named_bad = name == "form"
     weight = BY_TAG.get(name, 0.0)
+    if name == "form" and excused:
+        weight = 0.0
     hard = weight <= -STRONG and name != "header"
     if name == "header" and above.inside_main:
         weight = 0.0  # the head of the article itself
     if attrs and "=" in attrs and name not in ("html", "body"):
         named = {key.lower(): value.strip("\"'") for key, value in ATTRIBUTE.findall(attrs)}
-        words = {
-            word.lower() for key in ("class", "id", "role", "itemprop", "aria-label")
-            for part in named.get(key, "").split() if not MODIFIER.match(part) for word in NAME_PART.findall(part)}
+        words = _words(" ".join(named.get(key, "") for key in ("class", "role", "itemprop", "aria-label")))
+        by_id = _words(named.get("id", ""))
+        if not (above.inside_main and _is_anchor(name, by_id, words)):
+            words |= by_id
         style = named.get("style", "").replace(" ", "").lower()
         if "display:none" in style or "visibility:hidden" in style or named.get("aria-hidden", "").lower() == "true":
             weight, hard = HIDDEN, True
         elif words & BAD_WORDS and not (above.inside_main and words & HEADING_WORDS):
-            named_bad = name not in BY_TAG
+            named_bad = named_bad or name not in BY_TAG
             if not (named_bad and excused):
                 weight = min(weight, 0.0) + BAD_WORD
             elif words & GOOD_WORDS:
@@ -139,7 +163,9 @@ def blocks_of(html: str, excused: frozenset[int] = frozenset()) -> list[Block]:
     """
     root = Element("", 0.0, False, False)
     stack, found, current = [root], [], Block()
-    counter, at, skipping, depth_a = 0, 0, "", 0
+    boxes = [root]  # the open elements that are not inline
+    opened: dict[str, list[Element]] = {}  # by name
+    counter, at, skipping = 0, 0, ""
     inside: dict[str, int] = {}  # blocks open within what is skipped
     last_end: dict[str, int] = {}
     lowered = html.lower() if html.isascii() else re.sub("[A-Z]+", lambda found: found[0].lower(), html)
@@ -147,21 +173,28 @@ def blocks_of(html: str, excused: frozenset[int] = frozenset()) -> list[Block]:
     def text(piece: str) -> None:
         if not skipping and piece:
             current.parts.append(piece)
-            if depth_a:
+            if opened.get("a"):
                 current.linked += len(piece.strip())
 
     def close() -> None:
         nonlocal current
         if any(part and not part.isspace() for part in current.parts):
-            boxes = [element for element in stack if element.name not in ("a", "span")]
             own = stack[-1]
             current.parent, current.tag = boxes[-1].number, boxes[-1].name
             current.grandparent = boxes[-2].number if len(boxes) > 1 else 0
             current.verdict, current.inside_main = min(own.verdict, boxes[-1].verdict), own.inside_main
-            current.named_bad = tuple(element.number for element in stack if element.named_bad)
+            current.held_by = own if own.named_bad else own.outer
             found.append(current)
         current = Block()
 
+    def shut_from(place: int) -> None:
+        """Close the element at a place of the stack and all inside it."""
+        while len(stack) > place:
+            element = stack.pop()
+            opened[element.name].pop()
+            if element is boxes[-1]:
+                boxes.pop()
+
     length = len(html)
     while at < length:
         match = TOKEN.search(html, at)
@@ -183,7 +216,7 @@ def blocks_of(html: str, excused: frozenset[int] = frozenset()) -> list[Block]:
             if not ending or inside.get(name, 0):
                 inside[name] = max(0, inside.get(name, 0) + (-1 if ending else 1))
                 continue
-            if not any(element.name == name for element in stack):
+            if not opened.get(name):
                 continue
             skipping = ""
         if name in NEVER_TEXT:
@@ -207,25 +240,22 @@ def blocks_of(html: str, excused: frozenset[int] = frozenset()) -> list[Block]:
         if name in BLOCKS:
             close()
         if ending:
-            for place in range(len(stack) - 1, 0, -1):
-                if stack[place].name == name:
-                    del stack[place:]
-                    break
-                if name in ("a", "span") and stack[place].name in BLOCKS:
-                    break  # an inline end does not close a block
+            inner = opened.get(name)
+            if inner and (name in BLOCKS or inner[-1].place > boxes[-1].place):  # an inline end closes no block
+                shut_from(inner[-1].place)
         else:
             if name in BLOCKS:
-                shut = CLOSES_ITSELF.get(name, ())
-                for place in range(len(stack) - 1, 0, -1):
-                    if stack[place].name == "p" or stack[place].name in shut:
-                        del stack[place:]
-                    elif stack[place].name in SCOPES or stack[place].name not in ("a", "span"):
-                        break
+                while boxes[-1].name == "p" or boxes[-1].name in CLOSES_ITSELF.get(name, ()):
+                    shut_from(boxes[-1].place)
             counter += 1
-            element = _element(name, match["attrs"] or "", stack[-1], counter in excused)
-            element.number = counter
+            above = stack[-1]
+            element = _element(name, match["attrs"] or "", above, counter in excused)
+            element.number, element.place = counter, len(stack)
+            element.outer = above if above.named_bad else above.outer
             stack.append(element)
-        depth_a = sum(element.name == "a" for element in stack)
+            opened.setdefault(name, []).append(element)
+            if name in BLOCKS:
+                boxes.append(element)
     close()
     return found
 
@@ -238,7 +268,7 @@ def log_odds(block: Block, text: str, marked: bool) -> float:
     if linked < 0.5:
         odds += LONG * min(1.0, words / LONG_WORDS)
         odds += SENTENCE if text[-1:] in ENDS else 0.0
-    if block.tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
+    if block.tag in HEADINGS:
         odds += HEADING
     if not block.inside_main:
         odds += OUTSIDE if marked else 0.0
@@ -334,30 +364,42 @@ def _source_side(nodes: list[int], odds: list[float], ties: list[dict[int, float
     return set(nodes) - lost
 
 
-def _wrappers(blocks: list[tuple[Block, str]]) -> frozenset[int]:
-    """Elements that are boilerplate by their names alone, but hold most of the page's sentence text."""
-    held, total = {}, 0
+def _wrappers(blocks: list[tuple[Block, str]], marked: bool) -> frozenset[int]:
+    """Elements that are boilerplate by their names, but hold most of the page's sentence text.
+
+    On a page that marks its article these are forms only.
+    """
+    held: dict[int, int] = {}
+    known: dict[int, Element] = {}
+    total = 0
     for block, text in blocks:
         if text[-1:] in ENDS and 2 * block.linked < len(text):
             total += len(text)
-            for number in block.named_bad:
-                held[number] = held.get(number, 0) + len(text)
-    return frozenset(number for number, size in held.items() if 2 * size > total)
+            element = block.held_by
+            if element:
+                held[element.number] = held.get(element.number, 0) + len(text)
+            while element and element.number not in known:
+                known[element.number], element = element, element.outer
+    for number in sorted(known, reverse=True):  # what is inside has the larger number
+        if outer := known[number].outer:
+            held[outer.number] = held.get(outer.number, 0) + held[number]
+    return frozenset(number for number, size in held.items()
+                     if 2 * size > total and (not marked or known[number].name == "form"))
 
 
 def main_text(html: str) -> str:
     """The blocks labelled content, joined by one space.
 
-    On a page that marks no article, a wrapper around most of its sentences is no boilerplate, whatever
-    its class says; the page is then read again without that verdict.
+    A form around most of a page's sentences is no boilerplate, nor, on a page that marks no article, a
+    wrapper around them, whatever its class says; the page is then read again without that verdict.
     """
-    def read(excused: frozenset[int]) -> list[tuple[Block, str]]:
-        return [(block, text) for block in blocks_of(html, excused) if (text := block.text)]
+    def read(excused: frozenset[int]) -> tuple[list[tuple[Block, str]], bool]:
+        blocks = [(block, text) for block in blocks_of(html, excused) if (text := block.text)]
+        return blocks, any(block.inside_main for block, _ in blocks)
 
-    blocks = read(frozenset())
-    marked = any(block.inside_main for block, _ in blocks)
-    if not marked and (excused := _wrappers(blocks)):
-        blocks = read(excused)
+    blocks, marked = read(frozenset())
+    if excused := _wrappers(blocks, marked):
+        blocks, marked = read(excused)
     odds = [log_odds(block, text, marked) for block, text in blocks]
     labels = minimum_cut(odds, edges_of([block for block, _ in blocks]))
     return " ".join(text for (_, text), content in zip(blocks, labels) if content)
