@@ -330,6 +330,15 @@ def test_packing_of_a_small_table(spark):
     assert [row["n_words"] for row in sorted((r for r in found if r["doc_id"] == 901), key=lambda r: r["piece"])] == [32] * 4 + [9]
 
 
+def test_packing_of_rows_that_stand_very_often(spark, monkeypatch):
+    monkeypatch.setattr(packing, "RUN", 7)
+    rows = [(None, "")] * 50 + [(None, "a b")] * 7 + [(1, "a b c")] * 64 + [(2, None)] * 8 + [(3, "w " * 20)] * 15
+    assert_packed(packing.pack(docs(spark, *rows), (8, 16), group_pieces=20).collect(), rows, (8, 16))
+    monkeypatch.setattr(packing, "RUN", 10_000)
+    one = spark.range(3_000_000).selectExpr("cast(null as bigint) doc_id", "'' text")
+    assert packing.pack(one).count() == 3_000_000
+
+
 def test_packing_of_the_test_data(spark):
     rows = [(row["doc_id"], row["text"]) for row in documents(spark).collect()]
     found = all_queries()["op1_best_fit_packing"](spark, SF_DIR).collect()

@@ -24,6 +24,7 @@ CAPACITIES = (512, 1024, 2048, 4096, 8192)  # permitted lengths, in words
 OVERHEAD = 64  # what a sequence costs besides its length
 GROUP_PIECES = 4096  # pieces packed together; the loss by splitting is below a bin in a hundred
 BIN_NUMBERS = 1 << 32  # bin numbers per group
+RUN = 10_000  # copies of one row that one task numbers
 
 PACKED = ("has_id boolean, doc_id bigint, piece int, first_word bigint, n_words bigint, bin_id bigint, capacity int, "
           "bin_offset bigint, bin_words bigint")
@@ -119,8 +120,15 @@ def pack(
     pieces_of = F.greatest(F.ceil(F.col("n_words") / largest), F.lit(1)).cast("bigint")
     size = lengths.agg(F.sum(F.col("copies") * pieces_of).alias("pieces")).first()["pieces"] or 0
     groups = max(1, -(-size // group_pieces))
+    # One task numbers at most RUN copies; the runs of a row with more are dealt to all tasks.
+    often = F.col("copies") > RUN
+    one_run = lengths.where(~often).withColumn("run", F.lit(1).cast("bigint"))
+    first_of_run = F.sequence(F.lit(1).cast("bigint"), F.col("copies"), F.lit(RUN).cast("bigint"))
+    runs = lengths.where(often).withColumn("run", F.explode(first_of_run)).repartition("doc_id", "n_words", "run")
+    last = F.least(F.col("run") + F.lit(RUN) - 1, F.col("copies"))
     pieces = (
-        lengths.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+        one_run.unionByName(runs)
+        .withColumn("copy", F.explode(F.sequence(F.col("run"), last)))
         .withColumn("piece", F.explode(F.sequence(F.lit(0), pieces_of.cast("int") - 1)))
         .withColumn("first_word", F.col("piece").cast("bigint") * largest)
         .withColumn("n_words", F.least(F.col("n_words") - F.col("first_word"), F.lit(largest).cast("bigint")))
