@@ -588,3 +588,23 @@ def test_long_documents_and_many_languages_are_learned_from(spark):
     samples = language_id.sample_texts(frame, 2)
     assert set(samples) == {lang for _, _, lang in learned} and len(samples) > language_id.MAX_LANGUAGES
     assert all(text in {row[1] for row in learned if row[2] == lang} for lang, texts in samples.items() for text in texts)
+
+
+def test_long_documents_beside_short_ones_are_learned_from(spark):
+    """A language of long texts and a few short ones, which say little, is learned from all of them."""
+    rows = [(row["doc_id"], (row["text"] + " ") * (1 + 21_000 // len(row["text"])) if row["lang"] == "de" else row["text"], row["lang"])
+            for row in documents(spark).where("length(text) > 0").collect()]
+    rows += [(900_000 + n, "ok 12", "de") for n in range(9)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    found = by_id(language_id.predictions(frame))
+    judged = [found[doc_id]["lang_pred"] == lang for doc_id, text, lang in rows if held_out(doc_id) and text != "ok 12"]
+    assert sum(judged) >= 0.97 * len(judged)
+
+
+def test_the_sample_is_bounded_in_characters(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "SAMPLE_CHARS", 100)
+    rows = [(n, "x" * (20 if n % 3 else 1000), "a" if n % 2 else "b") for n in range(6000)]
+    samples = language_id.sample_texts(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), 50)
+    for texts in samples.values():
+        assert 20 <= len(texts) <= 80 and {len(text) for text in texts} == {20, 1000}
+        assert sum(map(len, texts)) <= 2 * 50 * 100

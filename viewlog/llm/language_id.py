@@ -27,7 +27,7 @@ from viewlog.llm.tables import is_held_out, text_of
 ORDER = 3  # bytes of the longest context
 START = b"\n" * ORDER
 SAMPLE_DOCS = 300  # documents learned from per language, in expectation
-SAMPLE_CHARS = 20_000  # longer documents are only learned from where a language has no shorter ones
+SAMPLE_CHARS = 20_000  # a document of n times as many is chosen n times less often, but taken whole
 MAX_LANGUAGES = 200  # with more, each gets a smaller share of the sample
 FIT_SHARE, FIT_MARGIN = 0.98, 1.5  # of unseen documents of a language, and how far above them is still its own
 FIT_BITS = 64.0  # that a text may cost besides, which decides for very short ones only
@@ -202,31 +202,23 @@ def sample_texts(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> dict[str,
     """About ``per_language`` texts of each language, chosen by a hash of the id, one at least.
 
     Only documents that are not held out, with a language and a text, are looked at, and a chosen text
-    is taken whole. Those of more than ``SAMPLE_CHARS`` characters serve languages without shorter ones,
-    about as many as have the characters that ``per_language`` of the longest others would have. The
-    share taken of a language follows from its count, and is smaller where there are more than
-    ``MAX_LANGUAGES``, so the sample is bounded whatever the size of the corpus.
+    is taken whole. Texts of all lengths take part; one of more than ``SAMPLE_CHARS`` characters is
+    chosen less often by as much as it is longer. So a language gives about ``per_language`` times
+    ``SAMPLE_CHARS`` characters at most, and less where there are more than ``MAX_LANGUAGES``, whatever the
+    size of the corpus. The share taken of a language follows from its count.
     """
     text, scale = text_of(docs), 1 << 30
-    rows = docs.select(
-        docs["lang"].alias("lang"), text.alias("text"), F.length(text).alias("size"),
-        F.pmod(F.xxhash64(docs["doc_id"], F.lit("sample")), F.lit(scale)).alias("place"),
-    ).where(~is_held_out(docs["doc_id"]) & docs["lang"].isNotNull() & (F.length(text) > 0))
-    short = F.col("size") <= SAMPLE_CHARS
-    sizes = rows.groupBy("lang").agg(
-        F.count(F.when(short, 1)).alias("n"), F.min(F.when(short, F.col("place"))).alias("first"),
-        F.sum("size").alias("chars"), F.min("place").alias("first_long")).orderBy("lang").collect()
+    place = F.pmod(F.xxhash64(docs["doc_id"], F.lit("sample")), F.lit(scale))
+    longer = F.greatest(F.length(text) / SAMPLE_CHARS, F.lit(1.0))
+    rows = docs.select(docs["lang"].alias("lang"), text.alias("text"), (place * longer).alias("place")).where(
+        ~is_held_out(docs["doc_id"]) & docs["lang"].isNotNull() & (F.length(text) > 0))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("place").alias("first")).orderBy("lang").collect()
     if not sizes:
         return {}
     wanted = per_language * min(1.0, MAX_LANGUAGES / len(sizes))
-    limits = []
-    for row in sizes:
-        share, first = (wanted / row["n"], row["first"]) if row["n"] else (wanted * SAMPLE_CHARS / row["chars"], row["first_long"])
-        limits += [row["lang"], max(first, int(scale * min(1.0, share)))]
-    long = [row["lang"] for row in sizes if not row["n"]]
-    whole = short | F.col("lang").isin(long) if long else short
-    limit = F.create_map(*[F.lit(x) for x in limits])
-    taken = rows.where(whole & (F.col("place") <= limit[F.col("lang")])).select("lang", "text")
+    limit = F.create_map(*[
+        F.lit(value) for row in sizes for value in (row["lang"], max(row["first"], scale * wanted / row["n"]))])
+    taken = rows.where(F.col("place") <= limit[F.col("lang")]).select("lang", "text")
     out: dict[str, list[str]] = {row["lang"]: [] for row in sizes}
     for row in taken.collect():
         out[row["lang"]].append(row["text"])
