@@ -114,3 +114,36 @@ def test_states_of_files_unite_exactly(spark):
     again = first.where("File <> 'b'").unionByName(state(*sessions("b", 3)))
     assert values(rollups.counted(again, "Type")) == [("VOD", 60, 6, 4)]
     assert values(rollups.counted(again.where("false"), "Type")) == []
+
+
+def test_weeks_and_months_from_one_pass(spark, root):
+    """Both are those of the days, with the largest texts and NULLs; the days are shuffled once, no row is sorted."""
+    days = pipeline.stores(spark, root)[1].read(mart.ANALYTICS)
+    extra = days.limit(1).select(*[
+        F.lit(None).cast("string").alias(name) if name in ("MostWatchContentType", "ActivationLevel") else F.col(name)
+        for name in days.columns]).withColumn("ContractID", F.lit("C-none"))
+    plan = rollups.contract_periods(days)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "SortAggregate" not in plan
+    days = days.unionByName(extra)
+    found = rollups.contract_periods(days)
+    names = [name for name in found.columns if name not in ("Level", "PeriodStart", "ContractID")]
+    for level in rollups.LEVELS:
+        largest = ("MostWatchContentType", "ActivationDays", "ActivationLevel")
+        wanted = days.groupBy(F.trunc("DateValue", level), "ContractID").agg(
+            *[(F.max if name in largest else F.sum)(name) for name in names])
+        got = found.where(F.col("Level") == level).select("PeriodStart", "ContractID", *names)
+        assert values(got) == values(wanted)
+
+
+def test_a_text_without_a_place_is_no_silent_loss(spark, root):
+    days = pipeline.stores(spark, root)[1].read(mart.ANALYTICS).withColumn("ActivationLevel", F.lit("other"))
+    with pytest.raises(Exception, match="unknown ActivationLevel: other"):
+        rollups.merged_contracts(days, "ContractID").collect()
+
+
+def test_trend_of_dense_keys_shuffles_no_contract(spark, root):
+    facts, small = pipeline.stores(spark, root)[0].read(wh.FACTS), wh.SmallDims.build(spark)
+    found = mart.keyed_trend(facts, small)
+    assert values(found) == values(mart.content_type_trend(mart.trend_rows(facts, small))) != []
+    shuffled = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning" in line]
+    assert shuffled and not any("ContractKey" in line for line in shuffled)

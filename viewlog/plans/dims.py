@@ -48,6 +48,11 @@ def dim_content_type(spark: SparkSession) -> DataFrame:
     return _listing(spark, rows, ["ContentTypeKey", "TypeName", "Description"])
 
 
+def seen_pairs(rows: DataFrame) -> DataFrame:
+    """Every contract with every device it was seen with, NULL among them: all that the dimensions need of ``rows``."""
+    return rows.where(F.col("Contract").isNotNull()).select("Contract", "Mac").distinct()
+
+
 def new_contracts(rows: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Contracts in ``rows`` that the dimension lacks, with keys that continue after its largest."""
     ids = rows.where(F.col("Contract").isNotNull()).select(F.col("Contract").alias("ContractID")).distinct()

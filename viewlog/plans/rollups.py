@@ -18,14 +18,17 @@ from __future__ import annotations
 import calendar as months
 from collections.abc import Iterable, Sequence
 from datetime import date, timedelta
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewlog import schema
 from viewlog.operators import rows
+from viewlog.operators.states import active_state, counted, merged_state
 from viewlog.plans import mart
 from viewlog.plans import warehouse as wh
+from viewlog.session import together
 from viewlog.sinks.versioned import Run, Table, VersionedStore, given
 
 LEVELS = ("month", "week")  # the larger first; days are what both are made of
@@ -40,7 +43,9 @@ TABLES = (
             rules=given("PeriodStart", "ContentType", "Bucket", "Contracts")) for name in ACTIVE.values()),
 )
 
-_LARGEST = ("MostWatchContentType", "ActivationDays", "ActivationLevel")
+# Of the text columns, all values in ascending order.
+_TEXTS = {"MostWatchContentType": sorted(schema.category_labels()), "ActivationLevel": sorted(schema.SINCE_FIRST_LEVELS)}
+_LARGEST = ("ActivationDays", *_TEXTS)
 _ADDED = tuple(name for name in schema.ROLLUP_CONTRACT.names if name not in ("PeriodStart", "ContractID", *_LARGEST))
 
 
@@ -83,35 +88,35 @@ def _period(level: str) -> Column:
 # --- States that merge ---------------------------------------------------------------------
 
 
-def active_state(keyed: DataFrame, *by: str) -> DataFrame:
-    """Seconds, sessions and active contracts per group and bucket of contract keys.
+def merged_contracts(days: DataFrame, *by: str | Column) -> DataFrame:
+    """Rows of contracts added up per group; the text columns are the largest values, as in the reports.
 
-    ``keyed`` holds sessions with ``ContractKey``, ``TotalDuration`` and ``SessionCount``. Every task adds up
-    its own rows first, and a group passes on at most one bitmap per task and bucket.
+    Texts are compared by their places among all values: the largest text would need every row to be sorted.
     """
-    return keyed.groupBy(*by, F.bitmap_bucket_number("ContractKey").alias("Bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("ContractKey")).alias("Contracts"),
-        F.sum("TotalDuration").alias("TotalDuration"), F.sum("SessionCount").alias("TotalSessions"))
+    merged = days.withColumns({name: _place(name) for name in _TEXTS}).groupBy(*by).agg(
+        *[F.sum(name).alias(name) for name in _ADDED], *[F.max(name).alias(name) for name in _LARGEST])
+    return merged.withColumns({name: F.get(_texts(name), (F.col(name) - 1).cast("int")) for name in _TEXTS})
+
 
+def contract_periods(days: DataFrame) -> DataFrame:
+    """Rows of contracts added up per week and per month, ``Level`` telling which.
 
-def merged_state(states: DataFrame, *by: str | Column) -> DataFrame:
-    """States of parts, such as files or days, united per group: as if all rows had been read at once."""
-    return states.groupBy(*by, "Bucket").agg(
-        F.bitmap_or_agg("Contracts").alias("Contracts"),
-        F.sum("TotalDuration").alias("TotalDuration"), F.sum("TotalSessions").alias("TotalSessions"))
+    The days are read and shuffled once: what a week and a month share is added up first, and goes to both.
+    A contract has no more rows than the calendar has days, so none burdens a task.
+    """
+    shared = merged_contracts(
+        days.repartition("ContractID"), *[_period(level).alias(level) for level in LEVELS], "ContractID")
+    starts = F.array(*[F.struct(F.lit(level).alias("Level"), F.col(level).alias("PeriodStart")) for level in LEVELS])
+    return merged_contracts(shared.select("*", F.inline(starts)), "Level", "PeriodStart", "ContractID")
 
 
-def counted(states: DataFrame, *by: str) -> DataFrame:
-    """Seconds, sessions and the exact number of different contracts per group."""
-    return merged_state(states, *by).groupBy(*by).agg(
-        F.sum("TotalDuration").alias("TotalDuration"), F.sum("TotalSessions").alias("TotalSessions"),
-        F.coalesce(F.sum(F.bitmap_count("Contracts")), F.lit(0)).alias("UniqueContracts"))
+def _texts(name: str) -> Column:
+    return F.array(*[F.lit(text) for text in _TEXTS[name]])
 
 
-def merged_contracts(days: DataFrame, *by: str | Column) -> DataFrame:
-    """Rows of contracts added up per group; the text columns are the largest values, as in the reports."""
-    return days.groupBy(*by).agg(
-        *[F.sum(name).alias(name) for name in _ADDED], *[F.max(name).alias(name) for name in _LARGEST])
+def _place(name: str) -> Column:
+    place = F.array_position(_texts(name), F.col(name))
+    return F.when(place == 0, F.raise_error(F.concat(F.lit(f"unknown {name}: "), F.col(name)))).otherwise(place)
 
 
 # --- Load ----------------------------------------------------------------------------------
@@ -143,15 +148,28 @@ def refresh(
         dates = {day for found in changed for day in found}
         starts = sorted(dates | {start_of(level, day) for level in LEVELS for day in dates})
     run = rollups.begin()
-    run.write(ACTIVE["day"], _active_days(spark, warehouse, starts, calendar_range))
-    for level in LEVELS:
-        inside = None if starts is None else [
-            day for start in starts if start == start_of(level, start) for day in days_of(level, start)]
-        united = merged_state(
-            rows.on_dates(_all_days(run, starts), inside, "DateValue"), _period(level).alias("PeriodStart"), "ContentType")
-        run.write(ACTIVE[level], united)
-        days = rows.on_dates(marts.read(mart.ANALYTICS), inside, "DateValue")
-        run.write(CONTRACTS[level], merged_contracts(days, _period(level).alias("PeriodStart"), "ContractID"))
+    begun = {level: None if starts is None else [day for day in starts if day == start_of(level, day)] for level in LEVELS}
+    inside = {level: None if begun[level] is None else [day for start in begun[level] for day in days_of(level, start)]
+              for level in LEVELS}
+
+    def active() -> None:
+        run.write(ACTIVE["day"], _active_days(spark, warehouse, starts, calendar_range))
+        together(spark, *[partial(active_periods_of, level) for level in LEVELS])
+
+    def active_periods_of(level: str) -> None:
+        days = rows.on_dates(_all_days(run, starts), inside[level], "DateValue")
+        run.write(ACTIVE[level], merged_state(days, _period(level).alias("PeriodStart"), "ContentType"))
+
+    def contracts() -> None:
+        wanted = None if starts is None else sorted({day for level in LEVELS for day in inside[level]})
+        days = rows.on_dates(marts.read(mart.ANALYTICS), wanted, "DateValue")
+        periods = run.scratch("contract_periods", contract_periods(days), schema.ROLLUP_LEVELS)
+        together(spark, *[partial(contract_periods_of, level, periods) for level in LEVELS])
+
+    def contract_periods_of(level: str, periods: DataFrame) -> None:
+        run.write(CONTRACTS[level], rows.on_dates(periods.where(F.col("Level") == level), begun[level], "PeriodStart"))
+
+    together(spark, active, contracts)
     run.publish(replaces=starts, taken={WAREHOUSE: warehouse.position(), MARTS: marts.position()})
     return run.counts
 
@@ -161,8 +179,8 @@ def _active_days(
 ) -> DataFrame:
     """Activity of the given dates, from the facts."""
     facts = mart.on_keys(warehouse.read(wh.FACTS), dates)
-    days = mart.trend_rows(facts, wh.SmallDims.build(spark, calendar=calendar_range))
-    return active_state(days.withColumnRenamed("DateValue", "PeriodStart"), "PeriodStart", "ContentType")
+    found = active_state(facts, "DateKey", "ContentTypeKey")
+    return mart.trend_rows(found, wh.SmallDims.build(spark, calendar=calendar_range)).withColumnRenamed("DateValue", "PeriodStart")
 
 
 def _all_days(run: Run, replaced: list[date] | None) -> DataFrame:

@@ -86,6 +86,7 @@ REJECTED = columns(SourceFile="string", Line="string", Reason="string")
 SESSION_GRAIN = columns(EventDate="date", Contract="string", Mac="string", AppName="string",
                         TotalDuration="bigint", SessionCount="bigint")
 
+SEEN_PAIRS = columns(Contract="string", Mac="string")
 OWNED_PAIRS = columns(Contract="string", Mac="string", ContractKey="bigint")
 
 # One row per change: the newest run of a contract says which date is its first; NULL: it has none left.
@@ -127,6 +128,7 @@ MEDIA_REPORT = columns(ReportDate="date", AppName="string",
 ROLLUP_CONTRACT = columns(
     PeriodStart="date", ContractID="string", TotalDevices="bigint", **_MART_SUMS, Duration_Total="bigint",
     MostWatchContentType="string", MostWatchDuration="bigint", ActivationDays="int", ActivationLevel="string")
+ROLLUP_LEVELS = T.StructType([T.StructField("Level", T.StringType()), *ROLLUP_CONTRACT])
 ROLLUP_ACTIVE = columns(
     PeriodStart="date", ContentType="string", Bucket="bigint", Contracts="binary",
     TotalDuration="bigint", TotalSessions="bigint")

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Adaptive execution sizes and splits the shuffle partitions at run time; the time zone is pinned
@@ -31,6 +34,17 @@ def build_session(app: str = "viewlog", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def together(spark: SparkSession, *works: Callable[[], object]) -> None:
+    """Do works that need nothing of each other side by side, so that one fills the cores another leaves idle.
+
+    All have ended when this returns; if any failed, the first error is raised.
+    """
+    with ThreadPoolExecutor(len(works)) as pool:
+        begun = [pool.submit(inheritable_thread_target(spark)(work)) for work in works]
+    for work in begun:
+        work.result()
+
+
 _local_folders: dict[str, str] = {}
 
 
