@@ -190,3 +190,15 @@ def test_a_longer_calendar_and_what_is_turned_away(spark, staged, tmp_path):
     counts = wh.load_warehouse(spark, logs, store, calendar=("2020-01-01", "2035-12-31"))
     assert counts["TurnedAwayDate"] == 1 and counts[wh.FACTS] == 2
     assert 20310505 in {row.DateKey for row in store.read(wh.FACTS).collect()}
+
+
+def test_dimensions_need_the_pairs_only(spark, staged):
+    """A contract without a device is a member; a row without a contract brings none."""
+    logs = staged(
+        ("C1", "M1", "VOD", 5, "2024-01-01"), ("C1", "M1", "CHILD", 5, "2024-01-02"), ("C2", None, "VOD", 5, "2024-01-01"),
+        (None, "M2", "VOD", 5, "2024-01-01"), ("C3", "M1", None, None, None))
+    seen = dims.seen_pairs(logs)
+    assert values(seen) == [("C1", "M1"), ("C2", None), ("C3", "M1")]
+    contracts = dims.new_contracts(logs)
+    assert values(dims.new_contracts(seen)) == values(contracts)
+    assert values(dims.owned_pairs(seen, contracts)) == values(dims.owned_pairs(logs, contracts))

@@ -12,6 +12,7 @@ from viewlog import schema
 from viewlog.functions import measures
 from viewlog.operators import aggregates, rows
 from viewlog.plans import dims
+from viewlog.session import together
 from viewlog.sinks.versioned import Rule, Run, Table, VersionedStore, given
 
 FACTS = "fact_viewing_session"
@@ -182,16 +183,19 @@ def load_warehouse(
 
     def load(run: Run) -> None:
         grain = run.scratch("session_grain", aggregates.session_grain(logs), schema.SESSION_GRAIN)
-        run.write(CONTRACTS, dims.new_contracts(grain, run.before(CONTRACTS)))
+        together(spark, lambda: load_facts(run, grain), lambda: turned.update(turned_away(grain, small)))
+        run.publish(replaces=process_dates)
+
+    def load_facts(run: Run, grain: DataFrame) -> None:
+        seen = run.scratch("seen_pairs", dims.seen_pairs(grain), schema.SEEN_PAIRS)
+        run.write(CONTRACTS, dims.new_contracts(seen, run.before(CONTRACTS)))
         contracts = run.before(CONTRACTS).unionByName(run.read(CONTRACTS))
-        owned = run.scratch("owned_pairs", dims.owned_pairs(grain, contracts), schema.OWNED_PAIRS)
+        owned = run.scratch("owned_pairs", dims.owned_pairs(seen, contracts), schema.OWNED_PAIRS)
         run.write(DEVICES, dims.new_devices(owned, run.before(DEVICES)))
         devices = run.before(DEVICES).unionByName(run.read(DEVICES))
         run.write(FACTS, fact_viewing_session(grain, small, dims.pair_keys(owned, devices)))
         run.write(SUMMARY, fact_contract_summary(run.read(FACTS), small))
         run.write(FIRST, first_date_changes(run, process_dates))
-        turned.update(turned_away(grain, small))
-        run.publish(replaces=process_dates)
 
     turned: dict[str, int] = {}
     return store.load(load).counts | turned
