@@ -104,3 +104,12 @@ def test_anti_and_semi(spark):
     known = spark.createDataFrame([("a",), ("a",)], "id string")
     assert values(joins.only_in(rows, known, "k", "id")) == [("a",)]
     assert values(joins.not_in(rows.where("k IS NOT NULL"), known, "k", "id")) == [("b",)]
+
+
+def test_few_rows_have_no_heavy_key(spark):
+    """Then nothing is grouped, and a join with what comes back costs nothing."""
+    rows = spark.range(10).select(F.lit("a").alias("key"))
+    heavy = joins.heavy_keys(rows, "key", target=10)
+    assert heavy.columns == ["key", "_slots"] and heavy.count() == 0
+    assert heavy._jdf.queryExecution().optimizedPlan().toString().startswith("LocalRelation <empty>")
+    assert [tuple(row) for row in joins.heavy_keys(rows, "key", target=9).collect()] == [("a", 2)]

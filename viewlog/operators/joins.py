@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from viewlog.operators.rows import nothing
+
 TARGET_ROWS = 1_000_000  # rows of one key that a task takes without being split
 MAX_HEAVY = 10_000  # bounds the heavy keys, and so what is broadcast, by raising the target
 
@@ -20,14 +22,16 @@ def heavy_keys(
 
     Keys above a target are at most all rows / target; where that could exceed ``limit``, the target is
     raised to all rows / limit. So any key that would burden a task is among them, however many there
-    are, and its slots hold the target on average.
+    are, and its slots hold the target on average. Rows that are no more than a target hold no such key.
     """
     counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
-    target = max(target, -(-rows.count() // limit))
+    total = rows.count()
+    target = max(target, -(-total // limit))
     heavy = counts.where(F.col("_rows") > target).select(
         key, F.ceil(F.col("_rows") / target).cast("int").alias("_slots"))
     # At most ``limit`` rows; as literal rows they are counted once, however often a plan uses them.
-    return rows.sparkSession.createDataFrame(heavy.collect(), heavy.schema)
+    found = heavy.collect() if total > target else []
+    return rows.sparkSession.createDataFrame(found, heavy.schema) if found else nothing(rows.sparkSession, heavy.schema)
 
 
 def lookup(

@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from viewlog.functions import calendar, measures
 
 
+def nothing(spark: SparkSession, layout: T.StructType) -> DataFrame:
+    """An empty frame that the optimizer knows to be empty, so that joins and unions with it cost nothing."""
+    return spark.range(1).select(*[F.lit(None).cast(one.dataType).alias(one.name) for one in layout]).limit(0)
+
+
 def as_date(day: date | str) -> date:
     """A date from itself or from ISO text; other text raises ``ValueError``."""
     return date.fromisoformat(day) if isinstance(day, str) else day
