@@ -222,6 +222,73 @@ def test_audit_sees_small_groups(first):
     assert vector_dup._audit(Forgetful(exact, first), exact, exact, 0.95, np.arange(len(exact))) >= 128
 
 
+def test_no_row_holds_a_graph_and_graphs_have_bounded_bytes(spark, monkeypatch):
+    widest, built, stored = {}, [], vector_dup.stored
+
+    def noted(frame, name):
+        frame = stored(frame, name)
+        widest[name] = frame.agg(F.max(F.length(F.to_json(F.struct("*"))))).first()[0] or 0
+        if name == "graphs":
+            built.extend(frame.collect())
+        return frame
+
+    monkeypatch.setattr(vector_dup, "stored", noted)
+    monkeypatch.setattr(vector_dup, "SHARD_BYTES", 100 * 24 * 4, raising=False)
+    chance = np.random.default_rng(9)
+    base = chance.normal(size=(500, 24))
+    rows = [(n, list(vector)) for n, vector in enumerate(np.concatenate([base, base + chance.normal(0, 0.01, base.shape)]))]
+    rows += [(2000, [1.0, 2.0]), (2001, [1.0, 2.0])]
+    found = {row["vec_id"]: row for row in vector_dup.near_duplicates(vectors(spark, rows), shards=1, slice_rows=64).collect()}
+    assert max(widest.values()) < 1500  # a vector of 24 doubles in decimal has 500
+    assert sum(row["rows"] for row in built) == 1001 and max(row["rows"] for row in built) < 200
+    assert all(found[n]["component_id"] == n % 500 and found[n]["n_links"] == 1 for n in range(1000))
+    assert found[2000]["n_links"] == 1 and found[2001]["component_id"] == 2000
+
+
+def test_single_and_double_precision_give_the_same_groups(spark):
+    chance = np.random.default_rng(10)
+    base = chance.normal(size=(40, 8)).astype(np.float32)
+    rows = [(n, [float(x) for x in vector]) for n, vector in enumerate(np.concatenate([base, base, base * np.float32(0.25)]))]
+    single = vectors(spark, rows).select("vec_id", F.col("embedding").cast("array<float>"))
+    one, two = (sorted(map(tuple, vector_dup.near_duplicates(frame).collect())) for frame in (vectors(spark, rows), single))
+    assert one == two and len({row[2] for row in one}) == len({n % 40 for n in range(120)})
+
+
+class Recorded(Forgetful):
+    """A search that finds everything and keeps how wide it was asked to be."""
+
+    def __init__(self, exact):
+        super().__init__(exact, len(exact))
+        self.beams = []
+
+    def search(self, queries, beam):
+        self.beams.append(beam)
+        return super().search(queries, beam)
+
+
+def test_no_beam_grows_with_a_group():
+    chance = np.random.default_rng(11)
+    exact = vector_dup._unit(np.concatenate([np.ones((1500, 16)) + chance.normal(0, 0.01, (1500, 16)), chance.normal(size=(500, 16))]))
+    graph = Recorded(exact)
+    pairs = sum(len(row) for row, _ in vector_dup._links(graph, exact, exact[1400:1600], 0.95, vector_dup.FIRST_BEAM))
+    assert pairs == (exact[1400:1600] @ exact.T >= 0.95).sum()
+    assert max(graph.beams) < 256
+
+
+@pytest.mark.parametrize("copied", [False, True])
+def test_arrays_of_graphs(spark, tmp_path, copied):
+    graphs = vector_dup.Graphs(f"file://{tmp_path}/graphs{copied}", copied)
+    wanted = np.arange(12, dtype=np.float32).reshape(4, 3)
+    for _ in range(2):  # a repeated task replaces what is there
+        graphs.put(3, 5, "vector", wanted)
+    files = sorted((tmp_path / f"graphs{copied}").iterdir())
+    assert len(files) == 1
+    if copied:
+        spark.sparkContext.addFile(str(files[0]))
+    read = spark.sparkContext.parallelize([0], 1).map(lambda _: graphs.get(3, 5, "vector")[1:3].tolist()).first()
+    assert read == wanted[1:3].tolist()
+
+
 def test_full_nodes_keep_edges_that_lead_out():
     graph = vector_dup.Graph.__new__(vector_dup.Graph)
     graph.vectors = vector_dup._unit(np.array([[1, 0.01, 0], [1, 0.02, 0], [1, 0.03, 0], [1, 0, 1], [1, 0.025, 0]])).astype(np.float32)

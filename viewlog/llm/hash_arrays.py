@@ -90,7 +90,8 @@ def table(folder: str, name: str, rows: int, per_shard: int, **columns: str) ->
     return HashTable(folder, name, max(0, (-(-rows // per_shard) - 1).bit_length()), tuple(columns.items()))
 
 
-def _files(uri: str) -> tuple[pa.fs.FileSystem, str]:
+def file_system(uri: str) -> tuple[pa.fs.FileSystem, str]:
+    """The file system of a path, and the path in it."""
     return pa.fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (pa.fs.LocalFileSystem(), uri)
 
 
@@ -99,7 +100,7 @@ class _Shard:
 
     def __init__(self, target: HashTable, number: int):
         self.target, self.number, self.token = target, number, uuid.uuid4().hex
-        self.files, self.path = _files(target.folder)
+        self.files, self.path = file_system(target.folder)
         self.files.create_dir(self.path, recursive=True)
         self.kinds = target.kinds
         self.streams = {name: self.files.open_output_stream(f"{self.path}/_{self.token}-{name}") for name in self.kinds}
@@ -193,13 +194,19 @@ def store(rows: DataFrame, target: HashTable) -> None:
 
 def published(spark: SparkSession, target: HashTable) -> HashTable:
     """The table, once all of it is written, in a form that every worker can open."""
-    if urlparse(target.folder).scheme in ("", "file"):
-        return target
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target.folder)
-    for entry in folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder):
-        if entry.getPath().getName().startswith(f"{target.name}-"):
+    copied = copied_files(spark, target.folder, target.name)
+    return HashTable(target.folder, target.name, target.bits, target.columns, copied=True) if copied else target
+
+
+def copied_files(spark: SparkSession, folder: str, name: str) -> bool:
+    """Whether workers cannot open the folder; then they get copies of its files whose names begin with ``name-``."""
+    if urlparse(folder).scheme in ("", "file"):
+        return False
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    for entry in path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path):
+        if entry.getPath().getName().startswith(f"{name}-"):
             spark.sparkContext.addFile(entry.getPath().toString())
-    return HashTable(target.folder, target.name, target.bits, target.columns, copied=True)
+    return True
 
 
 class Reader:
@@ -222,7 +229,7 @@ class Reader:
 
     def _path(self, shard: int, column: str) -> str:
         name = self.target.file(shard, column)
-        return SparkFiles.get(name) if self.target.copied else f"{_files(self.target.folder)[1]}/{name}"
+        return SparkFiles.get(name) if self.target.copied else f"{file_system(self.target.folder)[1]}/{name}"
 
     def _shard(self, number: int) -> dict[str, np.ndarray]:
         if number not in self.maps:

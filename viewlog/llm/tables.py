@@ -6,7 +6,7 @@ import functools
 import os
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import viewlog
@@ -52,8 +52,13 @@ def discard(frame: DataFrame) -> None:
     kept = f"{shared_folder(spark)}/viewlog/llm/"
     for name in {os.path.dirname(file) for file in frame.inputFiles()}:
         if kept.removeprefix("file:").lstrip("/") in name:
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            delete(spark, name)
+
+
+def delete(spark: SparkSession, name: str) -> None:
+    """Delete a folder of the shared folder; none is no error."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_of(frame: DataFrame, column: str = "text") -> Column:

@@ -5,28 +5,42 @@ layers, every layer the first sixteenth of the one below in a random order. Ever
 every shard by beam search. A beam that is full of links is widened until it is not, and a sample of
 queries is audited against all vectors of the shard: if the audit fails, the beam is widened for all.
 Links are verified by cosine in double precision, and their components are the groups of copies.
+
+A graph has a bounded number of bytes and lies in the shared folder, as files of plain arrays that
+workers map into memory. Only its place travels: a task gets the numbers of a slice of vectors and of
+the graphs to ask, so neither graphs nor vectors are shuffled once per question.
 """
 
 from __future__ import annotations
 
-import pickle
+import os
+import uuid
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark import SparkFiles
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewlog.llm.components import components
-from viewlog.llm.tables import stored
+from viewlog.llm.hash_arrays import copied_files, file_system
+from viewlog.llm.tables import delete, discard, stored
+from viewlog.session import scratch_path
 
 COSINE = 0.95
-SHARDS = 8  # graphs of a small table; larger ones get as many as SHARD_ROWS asks for
-SHARD_ROWS = 100_000  # vectors in one graph, which bounds a task's memory
-SLICE_ROWS = 16_384  # queries one task asks one shard
+SHARDS = 8  # graphs of a small table; larger ones get as many as the two bounds below ask for
+SHARD_ROWS, SHARD_BYTES = 100_000, 1 << 25  # vectors in one graph, and bytes of them in single precision
+SLICE_ROWS, SLICE_BYTES = 16_384, 1 << 25  # queries one task asks one shard, and bytes of them in double precision
+SEARCHES, MOST_TASKS = 4_096, 10_000  # queries of one graph that are worth a task; tasks at most
 DEGREE = 16  # neighbours per vector; twice as many at the bottom
 LAYER = 16  # a layer holds this share of the one below
 BUILD_BEAM, FIRST_BEAM = 48, 32
-BATCH = 512  # vectors inserted or searched together
+WIDEST = 256  # a beam this wide takes longer than comparing with all of the shard
+BATCH, BATCH_NUMBERS = 512, 1 << 17  # vectors inserted or searched together, and numbers in them
+BLOCK = 4_096  # vectors, or pairs of them, compared in double precision at once
 AUDITED, RECALL = 64, 0.98  # queries with links compared with brute force, and how many must find all theirs
 SLACK = 1e-5  # single-precision error of a cosine
 
@@ -37,17 +51,33 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
 
 
+def _directions(vectors: np.ndarray, kind: type) -> np.ndarray:
+    """Unit vectors of the rows; nothing but the result is as large as they are."""
+    out = np.empty(vectors.shape, kind)
+    for low in range(0, len(vectors), BLOCK):
+        out[low:low + BLOCK] = _unit(vectors[low:low + BLOCK].astype(np.float64))
+    return out
+
+
+def _batch(size: int) -> int:
+    """Vectors of so many components that are inserted or searched together."""
+    return max(8, min(BATCH, BATCH_NUMBERS // max(1, size)))
+
+
+def _layer_sizes(count: int) -> list[int]:
+    """Nodes per layer, from the bottom."""
+    sizes = [count]
+    while sizes[-1] > LAYER:
+        sizes.append(-(-sizes[-1] // LAYER))
+    return sizes
+
+
 class Graph:
     """Layered small-world graph over unit vectors; node n is row n, layers are prefixes of the rows."""
 
     def __init__(self, vectors: np.ndarray):
-        self.vectors = vectors.astype(np.float32)
-        count, self.sizes = len(vectors), []
-        while True:
-            self.sizes.append(count)
-            if count <= LAYER:
-                break
-            count = -(-count // LAYER)
+        self.vectors = np.asarray(vectors, dtype=np.float32)
+        self.sizes = _layer_sizes(len(vectors))
         self.layers: list[np.ndarray] = [None] * len(self.sizes)
         for level in range(len(self.sizes) - 1, -1, -1):
             self._build(level)
@@ -111,11 +141,11 @@ class Graph:
         above = self.sizes[level + 1] if level + 1 < len(self.sizes) else 0
         self.layers[level] = np.full((size, degree), -1, dtype=np.int32)
         close = np.full((size, degree), -np.inf, dtype=np.float32)
-        start = 0
+        start, batch = 0, _batch(self.vectors.shape[1])
         while start < size:
-            stop = min(size, max(start + BATCH, above) if start == 0 else start + BATCH)
-            for low in range(start, stop, BATCH):
-                self._insert(level, close, np.arange(low, min(stop, low + BATCH)), start, stop)
+            stop = min(size, max(start + batch, above) if start == 0 else start + batch)
+            for low in range(start, stop, batch):
+                self._insert(level, close, np.arange(low, min(stop, low + batch)), start, stop)
             start = stop
 
     def _insert(self, level: int, close: np.ndarray, new: np.ndarray, start: int, stop: int) -> None:
@@ -162,8 +192,9 @@ class Graph:
             at, to, similar = at[new], to[new], similar[new]
             place = close[at].argmin(axis=1)
             full = np.flatnonzero(edges[at, place] >= 0)
-            for low in range(0, len(full), BATCH):
-                some = full[low:low + BATCH]
+            batch = _batch(self.vectors.shape[1])
+            for low in range(0, len(full), batch):
+                some = full[low:low + batch]
                 place[some] = self._spare(
                     np.column_stack([edges[at[some]], to[some]]), np.column_stack([close[at[some]], similar[some]]))
             kept = place < edges.shape[1]  # else it is the new one that is given up
@@ -204,21 +235,23 @@ class Groups:
 
 def _links(graph: Graph, exact: np.ndarray, queries: np.ndarray, cosine: float, start_beam: int):
     """Batches of (query rows, nodes): every pair found whose cosine is high enough."""
-    beam, size = start_beam, len(exact)
-    for low in range(0, len(queries), BATCH):
-        waiting, width = np.arange(low, min(low + BATCH, len(queries))), beam
+    beam, size, batch = start_beam, len(exact), _batch(queries.shape[1])
+    for low in range(0, len(queries), batch):
+        waiting, width = np.arange(low, min(low + batch, len(queries))), beam
         while len(waiting):
-            if width >= size:  # as wide as the shard: compare with all of it
-                for first in range(0, size, 4096):
-                    row, node = np.nonzero(queries[waiting] @ exact[first:first + 4096].T >= cosine)
+            if width >= min(size, WIDEST):  # compare with all of the shard
+                for first in range(0, size, BLOCK):
+                    row, node = np.nonzero(queries[waiting] @ exact[first:first + BLOCK].T >= cosine)
                     yield waiting[row], node + first
                 break
             nodes, near = graph.search(queries[waiting].astype(np.float32), width)
             full = (near >= cosine - SLACK).all(axis=1)
             row, place = np.nonzero((near >= cosine - SLACK) & ~full[:, None])
             row, node = waiting[row], nodes[row, place]
-            linked = (queries[row] * exact[node]).sum(axis=1) >= cosine
-            yield row[linked], node[linked]
+            for first in range(0, len(row), BLOCK):
+                some, others = row[first:first + BLOCK], node[first:first + BLOCK]
+                linked = (queries[some] * exact[others]).sum(axis=1) >= cosine
+                yield some[linked], others[linked]
             waiting, width = waiting[full], width * 2
 
 
@@ -233,9 +266,9 @@ def _audit(graph: Graph, exact: np.ndarray, queries: np.ndarray, cosine: float,
     for first in range(0, len(order), AUDITED):
         some = order[first:first + AUDITED]
         links = np.zeros(len(some), dtype=np.int64)
-        for low in range(0, len(exact), 4096):
+        for low in range(0, len(exact), BLOCK):
             # Rounding may decide otherwise for what is this close to the limit.
-            linked = queries[some] @ exact[low:low + 4096].T >= cosine + 1e-12
+            linked = queries[some] @ exact[low:low + BLOCK].T >= cosine + 1e-12
             at = np.flatnonzero((own[some] >= low) & (own[some] < low + linked.shape[1]))
             linked[at, own[some[at]] - low] = False
             links += linked.sum(axis=1)
@@ -245,7 +278,7 @@ def _audit(graph: Graph, exact: np.ndarray, queries: np.ndarray, cosine: float,
             break
     sample, true = np.concatenate(sample or [order]), np.concatenate(true or [order])
     beam = FIRST_BEAM
-    while beam < len(exact):
+    while beam < min(len(exact), WIDEST):
         found = np.zeros(len(sample), dtype=np.int64)
         for row, node in _links(graph, exact, queries[sample], cosine, beam):
             found += np.bincount(row[node != own[sample[row]]], minlength=len(sample))
@@ -255,32 +288,102 @@ def _audit(graph: Graph, exact: np.ndarray, queries: np.ndarray, cosine: float,
     return beam
 
 
-FOUND = "left bigint, right bigint, links bigint"
-
-
-def _build(rows: pd.DataFrame) -> pd.DataFrame:
-    """One shard's graph, in an order drawn from the ids, with what is needed to verify links."""
-    rows = rows.sort_values("node", kind="stable")
-    rows = rows.iloc[np.random.default_rng(len(rows)).permutation(len(rows))]
-    exact = _unit(np.stack(rows["vector"].to_numpy()).astype(np.float64))
-    graph = Graph(exact)
-    body = (rows["node"].to_numpy(np.int64), rows["copies"].to_numpy(np.int64), exact, graph.sizes, graph.layers)
-    return pd.DataFrame({"shard": [rows["shard"].iloc[0]], "graph": [pickle.dumps(body, protocol=5)]})
+@dataclass(frozen=True)
+class Graphs:
+    """Where the graphs of a run lie; small enough to travel with every task.
 
+    Tasks write an array under a name of their own that is renamed when it is complete: a repeated or
+    doubled task replaces files by equal ones.
+    """
 
-def _query(slice_rows: pd.DataFrame, graphs: pd.DataFrame, cosine: float) -> pd.DataFrame:
+    folder: str
+    copied: bool = False  # every executor has copies, as the folder is none that it can open
+
+    def _name(self, size: int, shard: int, what: str) -> str:
+        return f"{os.path.basename(self.folder)}-{size}.{shard}-{what}.npy"
+
+    def put(self, size: int, shard: int, what: str, array: np.ndarray) -> None:
+        files, folder = file_system(self.folder)
+        files.create_dir(folder, recursive=True)
+        with files.open_output_stream(begun := f"{folder}/_{uuid.uuid4().hex}") as out:
+            np.save(out, array)
+        files.move(begun, f"{folder}/{self._name(size, shard, what)}")
+
+    def get(self, size: int, shard: int, what: str) -> np.ndarray:
+        name = self._name(size, shard, what)
+        return np.load(SparkFiles.get(name) if self.copied else f"{file_system(self.folder)[1]}/{name}", mmap_mode="r")
+
+    def published(self, spark: SparkSession) -> Graphs:
+        """The graphs, once all are written, in a form that every worker can open."""
+        return Graphs(self.folder, copied_files(spark, self.folder, os.path.basename(self.folder)))
+
+
+BUILT, FOUND = "size int, shard int, rows bigint", "left bigint, right bigint, links bigint"
+
+
+def _build(batches: Iterator[pa.RecordBatch], graphs: Graphs) -> Iterator[pa.RecordBatch]:
+    """Write the graph of every shard of a partition whose rows come shard by shard; one is held at a time."""
+    held, parts = None, []
+
+    def end() -> Iterator[pa.RecordBatch]:
+        if parts:
+            rows = _write(graphs, *held, *(np.concatenate([part.pop() for part in parts]) for _ in range(3)))
+            yield pa.RecordBatch.from_pylist([{"size": held[0], "shard": held[1], "rows": rows}], pa.schema(
+                [("size", pa.int32()), ("shard", pa.int32()), ("rows", pa.int64())]))
+            parts.clear()
+
+    for batch in batches:
+        sizes, shards = batch.column("size").to_numpy(), batch.column("shard").to_numpy()
+        edges = np.flatnonzero(np.diff(sizes, prepend=-1) | np.diff(shards, prepend=-1))
+        for first, last in zip(edges, [*edges[1:], len(sizes)]):
+            if held != (here := (int(sizes[first]), int(shards[first]))):
+                yield from end()
+                held = here
+            some = batch.slice(first, last - first)
+            vectors = some.column("vector").flatten().to_numpy().reshape(-1, here[0])
+            # Copies, since views would hold on to whole batches; taken from the end.
+            parts.append([vectors.copy(), some.column("copies").to_numpy().copy(), some.column("node").to_numpy().copy()])
+    yield from end()
+
+
+def _write(graphs: Graphs, size: int, shard: int, node: np.ndarray, copies: np.ndarray, vectors: np.ndarray) -> int:
+    """Build and write one shard's graph, in an order drawn at random, with what is needed to verify links."""
+    order = np.random.default_rng(len(node)).permutation(len(node))
+    for what, array in ("node", node), ("copies", copies), ("vector", vectors):
+        graphs.put(size, shard, what, array[order])
+    exact = _directions(vectors, np.float32)[order]
+    del vectors, array
+    for level, edges in enumerate(Graph(exact).layers):
+        graphs.put(size, shard, f"layer{level}", edges)
+    return len(node)
+
+
+def _ask(slices: Iterator[pd.DataFrame], graphs: Graphs, cosine: float) -> Iterator[pd.DataFrame]:
+    """What slices of the vectors of shards find in others. A graph is read once for slices that ask it in turn."""
+    held = None
+    for rows in slices:
+        for size, asker, first, last, shard in rows[["size", "asker", "first", "last", "shard"]].itertuples(index=False):
+            if held != (size, shard):
+                held, graph, exact = None, None, None  # before the next is read
+                exact = _directions(graphs.get(size, shard, "vector"), np.float64)
+                graph = Graph.__new__(Graph)
+                graph.vectors, graph.sizes = exact.astype(np.float32), _layer_sizes(len(exact))
+                graph.layers = [np.array(graphs.get(size, shard, f"layer{level}")) for level in range(len(graph.sizes))]
+                ids, copies = (np.array(graphs.get(size, shard, what)) for what in ("node", "copies"))
+                held = size, shard
+            asked = np.array(graphs.get(size, asker, "node")[first:last])
+            queries = _directions(graphs.get(size, asker, "vector")[first:last], np.float64)
+            yield _query(asked, queries, graph, exact, ids, copies, cosine)
+
+
+def _query(
+    asked: np.ndarray, queries: np.ndarray, graph: Graph, exact: np.ndarray, ids: np.ndarray, copies: np.ndarray, cosine: float,
+) -> pd.DataFrame:
     """What a slice of queries finds in one shard: per query the number of links, and links that join.
 
     Links inside a large group would be as many as its square. They are merged here, and one link
     per document and group goes out.
     """
-    if not len(slice_rows) or not len(graphs):
-        return pd.DataFrame({"left": [], "right": [], "links": []}).astype("int64")
-    ids, copies, exact, sizes, layers = pickle.loads(graphs["graph"].iloc[0])
-    graph = Graph.__new__(Graph)
-    graph.vectors, graph.sizes, graph.layers = exact.astype(np.float32), sizes, layers
-    asked = slice_rows["node"].to_numpy(np.int64)
-    queries = _unit(np.stack(slice_rows["vector"].to_numpy()).astype(np.float64))
     names, place = np.unique(np.concatenate([asked, ids]), return_inverse=True)
     groups, counts = Groups(len(names)), np.zeros(len(asked), dtype=np.int64)
     order = np.argsort(ids)
@@ -305,6 +408,35 @@ def _usable(vector: Column) -> Column:
     return F.coalesce(~bad & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def _found(classes: DataFrame, cosine: float, shards: int, slice_rows: int) -> DataFrame:
+    """What all vectors find in all shards of their size; deletes the classes, which are not needed any more."""
+    spark = classes.sparkSession
+    per_size = stored(classes.groupBy(F.size("vector").alias("size")).agg(F.count("*").alias("rows")).select("size", F.greatest(
+        F.lit(shards), F.ceil(F.col("rows") / SHARD_ROWS), F.ceil(F.col("rows") * F.col("size") * 4 / SHARD_BYTES)).cast("int").alias("shards"),
+    ), "vector-sizes")
+    most = per_size.agg(F.max("shards")).first()[0] or 1
+    dealt = (
+        classes.withColumn("size", F.size("vector")).join(F.broadcast(per_size), "size")
+        .withColumn("shard", F.pmod(F.xxhash64("key"), "shards").cast("int"))
+        .repartitionById(most, "shard").sortWithinPartitions("size", "shard", "node", "key"))
+    graphs = Graphs(scratch_path(spark, "llm/vector-graphs"))
+    built = stored(dealt.select("size", "shard", "node", "copies", "vector").mapInArrow(
+        lambda batches: _build(batches, graphs), BUILT), "graphs")
+    discard(classes)
+
+    step = F.least(F.lit(slice_rows), F.greatest(F.lit(1), F.floor(F.lit(SLICE_BYTES) / (8 * F.col("size"))))).cast("bigint")
+    slices = built.withColumn("first", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("rows") - 1, step))).select(
+        "size", F.col("shard").alias("asker"), "first", F.least("rows", F.col("first") + step).alias("last"))
+    asks = slices.join(F.broadcast(built.select("size", "shard")), "size")
+    many, searches = asks.agg(F.count("*"), F.coalesce(F.sum(F.col("last") - F.col("first")), F.lit(0))).first()
+    tasks = max(1, min(many, -(-searches // SEARCHES), MOST_TASKS))
+    published = graphs.published(spark)
+    found = stored(asks.repartition(tasks).sortWithinPartitions("size", "shard").mapInPandas(
+        lambda rows: _ask(rows, published, cosine), FOUND), "vector-links")
+    delete(spark, graphs.folder)
+    return found
+
+
 def near_duplicates(
     vectors: DataFrame, column: str = "embedding", cosine: float = COSINE, shards: int = SHARDS,
     slice_rows: int = SLICE_ROWS,
@@ -320,9 +452,9 @@ def near_duplicates(
     has one whose id is NULL. Vectors of different length are not compared. Rows that share an id
     count as one vector with several values. Other columns are ignored; no rows give no rows.
     """
-    # Doubles before anything else: equal values of either precision are equal vectors.
-    rows = vectors.select(
-        vectors["vec_id"].cast("bigint").alias("vec_id"), vectors[column].cast("array<double>").alias("vector"))
+    # One type before anything else: equal values are equal vectors. Single precision stays as it is, at half the bytes.
+    kind = "array<float>" if vectors.select(vectors[column]).dtypes[0][1] == "array<float>" else "array<double>"
+    rows = vectors.select(vectors["vec_id"].cast("bigint").alias("vec_id"), vectors[column].cast(kind).alias("vector"))
     usable = F.col("vec_id").isNotNull() & _usable(F.col("vector"))
     # Two hashes make one key of 128 bits for the whole vector.
     keyed = rows.withColumn("usable", usable).withColumn("key", F.when(F.col("usable"), F.struct(
@@ -332,20 +464,7 @@ def near_duplicates(
         F.min("vec_id").alias("node"), F.count("*").alias("copies"), F.first("vector").alias("vector")), "vector-classes")
     members = stored(usable_rows.select("vec_id", "key").join(classes.select("key", "node", "copies"), "key").drop("key"), "vector-members")
 
-    count = classes.count()
-    shards = max(shards, -(-count // SHARD_ROWS))
-    slices = max(1, -(-count // slice_rows))
-    size = F.size("vector")
-    dealt = classes.withColumn("shard", F.concat_ws(".", size, F.pmod(F.xxhash64("key"), F.lit(shards))))
-    graphs = stored(dealt.groupBy("shard").applyInPandas(_build, "shard string, graph binary"), "graphs")
-    every_slice = F.explode(F.sequence(F.lit(0), F.lit(slices - 1)).cast("array<bigint>"))
-    asked = classes.select(
-        "node", "vector", F.pmod(F.xxhash64("key", F.lit("slice")), F.lit(slices)).alias("slice"),
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("_number"),
-    ).withColumn("shard", F.concat_ws(".", size, F.col("_number"))).select("shard", "slice", "node", "vector")
-    found = stored(
-        asked.groupBy("shard", "slice").cogroup(graphs.withColumn("slice", every_slice).groupBy("shard", "slice"))
-        .applyInPandas(lambda left, right: _query(left, right, cosine), FOUND), "vector-links")
+    found = _found(classes, cosine, shards, slice_rows)
 
     several = stored(members.groupBy("vec_id").agg(F.min("node").alias("left"), F.max("node").alias("right")).where(
         F.col("left") < F.col("right")), "several-vectors")
